@@ -115,11 +115,11 @@ def _within(intervals: list[_Interval]) -> Column:
     return keep
 
 
-def _with_bucket(data: DataFrame, splits: list[float]) -> DataFrame:
-    """Number of the interval between ``splits`` that holds ``x``."""
+def _with_bucket(data: DataFrame, splits: list[float], column: str, name: str) -> DataFrame:
+    """``name``: number of the interval between ``splits`` that holds ``column``."""
     if len(splits) == 2:
-        return data.withColumn("bucket", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol="x", outputCol="bucket").transform(data)
+        return data.withColumn(name, F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(data)
 
 
 def _count_intervals(active: DataFrame, opened: list[_Interval]) -> list[_Interval]:
@@ -133,7 +133,7 @@ def _count_intervals(active: DataFrame, opened: list[_Interval]) -> list[_Interv
     cuts.update(edge for i in opened for edge in (i.low, i.high))
     splits = sorted(cuts | {-_INF, _INF})
     counted = (
-        _with_bucket(active, splits)
+        _with_bucket(active, splits, "x", "bucket")
         .groupBy("bucket")
         .agg(F.count("x").alias("rows"), F.sum("w").alias("weight"))
         .collect()
@@ -163,12 +163,16 @@ def _rank_directly(
     counted = active.groupBy("x").agg(F.sum("w").alias("w"))
     running = Window.partitionBy("bucket").orderBy("x")
     spans = (
-        _with_bucket(counted, edges)
+        _with_bucket(counted, edges, "x", "bucket")
         .withColumn("end", F.sum("w").over(running))
         .withColumn("end", F.col("end") + F.get(offsets, F.col("bucket").cast("int")))
-        .withColumn("start", F.col("end") - F.col("w"))
+        .select("x", (F.col("end") - F.col("w") - 0.5).alias("a"), (F.col("end") - 0.5).alias("b"))
     )
-    wanted = F.array(*(F.lit(r).cast("long") for r in ranks))
-    hits = F.filter(wanted, lambda r: (r >= F.col("start")) & (r < F.col("end")))
-    rows = spans.select("x", F.explode(hits).alias("rank")).collect()
-    return {r["rank"]: r["x"] for r in rows}
+    # A value holds the ranks whose positions fall between its two ends.
+    marks = [-_INF, *map(float, ranks), _INF]
+    spans = _with_bucket(spans, marks, "a", "first")
+    spans = _with_bucket(spans, marks, "b", "last")
+    rows = spans.where(F.col("first") < F.col("last")).select("x", "first", "last").collect()
+    return {
+        rank: r["x"] for r in rows for rank in ranks[int(r["first"]) : int(r["last"])]
+    }

@@ -590,11 +590,11 @@ ORACLE_SQL: dict[str, str] = {
     "anomaly_examples": _select(ANOMALY_EXAMPLES),
     "invoice_basket_metric": _select(
         "SELECT * REPLACE (round(mean_price, 6) AS mean_price, "
-        "round(basket_value, 6) AS basket_value) FROM metric",
+        "round(basket_value, 6) + 0e0 AS basket_value) FROM metric",
         METRIC,
     ),
     "lines_with_basket": _select(
-        "SELECT tx.*, round(metric.basket_value, 6) AS basket_value "
+        "SELECT tx.*, round(metric.basket_value, 6) + 0e0 AS basket_value "
         "FROM tx LEFT JOIN metric USING (invoice)",
         METRIC,
     ),

@@ -10,11 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlint.sources.schema import LINE_COLUMNS
+from ledgerlint.sources.tables import spread
 
 YEAR_SPLIT = "1998-01-01 00:00:00"
 FIRST_YEARS, LAST_YEARS = "1995-1997", "1998-2001"
 DATE_MIN, DATE_MAX = "1995-01-01 00:00:00", "2001-08-01 00:00:00"
 
+# The columns in use; given so that no job has to infer them.
+_TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int",
+    "part": "p_partkey long, p_name string",
+}
+
 # Country by nation key; key 7 has none, all others are UK.
 _COUNTRIES = {
     1: "EIRE", 2: "Germany", 3: "France", 4: "Netherlands", 5: "Switzerland",
@@ -26,10 +36,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture view, exact duplicates included, in one pass over lineitem."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     joined = (
-        table("lineitem")
+        spread(table("lineitem"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -62,7 +72,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(negative, -quantity)
         .otherwise(quantity)
         .alias("quantity"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("invoicedate"),
+        F.col("o_orderdate").alias("invoicedate"),
         F.when((ok + 2 * pk) % 211 == 0, F.lit(0.0))
         .otherwise(F.col("l_extendedprice") / F.lit(10.0))
         .alias("price"),
