@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import BASKET_PERCENTILES, CAP_LABELS, RECOMMENDED_PERCENTILE
 from ledgerlint.functions.columns import finite, first_non_null, order_key, pct
+from ledgerlint.operators.joins import attach_group_values
 from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.sources.staging import stage
 
 
 def invoice_basket_metric(lines: DataFrame) -> DataFrame:
@@ -27,11 +29,10 @@ def invoice_basket_metric(lines: DataFrame) -> DataFrame:
 def lines_with_basket(lines: DataFrame) -> DataFrame:
     """Lines with the basket value of their invoice.
 
-    Lines of a hot invoice form a skewed join partition on the left, which
-    adaptive execution splits; the right side has one row per invoice.
+    Reads ``lines`` several times: pass a stored table.
     """
-    metric = invoice_basket_metric(lines).select("invoice", "basket_value")
-    return lines.join(metric, "invoice", "left")
+    metric = invoice_basket_metric(lines).select("invoice", "basket_value", "line_count")
+    return attach_group_values(lines, stage(metric, "metric"), ["invoice"], "line_count")
 
 
 def basket_rollup(lines: DataFrame) -> DataFrame:

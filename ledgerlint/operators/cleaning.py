@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ledgerlint.config import CleaningConfig
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import first_non_null, order_key, pct
+from ledgerlint.operators.joins import attach_group_values
 from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.sources.staging import stage
 
 PAIR = ("invoice", "stockcode")
 COPIES = "n_copies"
@@ -67,42 +69,51 @@ def drop_zero_price(lines: DataFrame) -> DataFrame:
     return lines.where(~p.is_zero_price_sale())
 
 
-def all_negative_invoices(lines: DataFrame) -> DataFrame:
-    """Invoices without the credit prefix whose lines are all negative."""
-    return (
+def _suspects_with_verdict(lines: DataFrame) -> DataFrame:
+    """Negative lines without the credit prefix; ``repaired`` says whether all
+    lines of their invoice are negative.
+
+    Only such lines can change in the repair or be dropped after it, so only
+    they are joined; ``lines`` is read for the verdict and for the join.
+    """
+    negatives = F.count_if(p.is_negative())
+    verdicts = (
         lines.where(~p.is_credit() & F.col("invoice").isNotNull())
         .groupBy("invoice")
-        .agg(F.bool_and(p.is_negative()).alias("all_negative"))
-        .where("all_negative")
-        .select("invoice")
+        .agg(negatives.alias("n"), (negatives == F.count(F.lit(1))).alias("repaired"))
+        .where(F.col("n") > 0)
     )
+    suspects = lines.where(p.is_negative_sale())
+    return attach_group_values(suspects, stage(verdicts, "verdicts"), ["invoice"], "n")
 
 
-def _with_repair_flag(suspects: DataFrame, repaired: DataFrame) -> DataFrame:
-    """Prefix suspect lines of repaired invoices; flag them in ``repaired``."""
-    return (
-        suspects.join(repaired.withColumn("repaired", F.lit(True)), "invoice", "left")
-        .withColumn("repaired", p.holds(F.col("repaired")))
-        .withColumn(
-            "invoice",
-            F.when(F.col("repaired"), F.concat(F.lit("C"), "invoice")).otherwise(
-                F.col("invoice")
-            ),
-        )
-    )
+def _prefixed() -> Column:
+    return F.concat(F.lit("C"), "invoice")
 
 
 def fix_credit_prefix(lines: DataFrame) -> DataFrame:
     """Prefix ``C`` to invoices whose lines are all negative.
 
-    Only negative lines without the prefix can change, so only those are
-    joined; all other lines pass through without a shuffle. Reads ``lines``
-    three times: pass a stored table.
+    Reads ``lines`` several times: pass a stored table.
     """
-    suspects = lines.where(p.is_negative_sale())
-    others = lines.where(~p.is_negative_sale())
-    touched = _with_repair_flag(suspects, all_negative_invoices(lines))
-    return others.unionByName(touched.drop("repaired").select(*lines.columns))
+    repaired = F.when(F.col("repaired"), _prefixed()).otherwise(F.col("invoice"))
+    touched = _suspects_with_verdict(lines).withColumn("invoice", repaired)
+    untouched = lines.where(~p.is_negative_sale())
+    return untouched.unionByName(touched.drop("repaired"))
+
+
+def resolve_negative_sales(lines: DataFrame) -> DataFrame:
+    """Prefix repair and removal of negative sales in one step.
+
+    A negative sale line survives exactly when its invoice is repaired.
+    """
+    kept = (
+        _suspects_with_verdict(lines)
+        .where("repaired")
+        .withColumn("invoice", _prefixed())
+        .drop("repaired")
+    )
+    return lines.where(~p.is_negative_sale()).unionByName(kept)
 
 
 def drop_negative_sales(lines: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import finite, truncate_ntz
+from ledgerlint.operators.joins import attach_group_values
 from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.sources.staging import stage
 
 MIN_SHARE = 1e-6
 GRID_STEPS = 100
@@ -139,9 +141,16 @@ def pseudonymise(lines: DataFrame, salt: str, unit: str = "DAY") -> DataFrame:
     )
 
 
+RETURN_KEY = ("customer_id", "stockcode", "invoicedate")
+
+
+def _is_sold() -> Column:
+    return ~p.is_credit() & p.holds(F.col("quantity") > 0) & F.col("invoice").isNotNull()
+
+
 def returned_since(lines: DataFrame) -> DataFrame:
-    """``(customer_id, stockcode, invoicedate, returned)``: quantity credited
-    on or after each date that occurs for the customer and stock code.
+    """Per customer, stock code and date: quantity ``returned`` by credit lines
+    on or after the date, and ``n_sold`` lines of that date.
 
     No sale is paired with single credits. Credits are summed per date, then
     summed backwards in two steps: over the days of the pair and over the
@@ -150,9 +159,9 @@ def returned_since(lines: DataFrame) -> DataFrame:
     pair = ["customer_id", "stockcode"]
     credited = F.when(p.is_credit() & p.is_negative(), -F.col("quantity")).otherwise(0)
     per_time = (
-        lines.dropna(subset=[*pair, "invoicedate"])
-        .groupBy(*pair, "invoicedate")
-        .agg(F.sum(credited).alias("credited"))
+        lines.dropna(subset=list(RETURN_KEY))
+        .groupBy(*RETURN_KEY)
+        .agg(F.sum(credited).alias("credited"), F.count_if(_is_sold()).alias("n_sold"))
         .withColumn("day", F.to_date("invoicedate"))
     )
     per_day = per_time.groupBy(*pair, "day").agg(F.sum("credited").alias("credited"))
@@ -168,8 +177,9 @@ def returned_since(lines: DataFrame) -> DataFrame:
     )
     rest_of_day = Window.partitionBy(*pair, "day").orderBy(F.desc("invoicedate"))
     within = per_time.withColumn("same_day", F.sum("credited").over(rest_of_day))
+    total = F.col("same_day") + F.col("after_day")
     return within.join(after, [*pair, "day"]).select(
-        *pair, "invoicedate", (F.col("same_day") + F.col("after_day")).alias("returned")
+        *RETURN_KEY, total.alias("returned"), "n_sold"
     )
 
 
@@ -177,14 +187,11 @@ def full_basket_return(lines: DataFrame) -> DataFrame:
     """``(invoice, full_basket_return)`` for every invoice with sold lines.
 
     1 when, for every sold line, credit lines of the same customer and stock
-    code dated on or after it return at least its quantity.
+    code dated on or after it return at least its quantity. Reads ``lines``
+    several times: pass a stored table.
     """
-    key = ["customer_id", "stockcode", "invoicedate"]
-    sold = (
-        lines.where(~p.is_credit() & (F.col("quantity") > 0) & F.col("invoice").isNotNull())
-        .groupBy("invoice", *key)
-        .agg(F.max("quantity").alias("sold"))
-    )
-    matched = sold.join(returned_since(lines), key, "left")
-    whole = F.bool_and(p.holds(F.col("returned") >= F.col("sold")))
+    returned = stage(returned_since(lines).where(F.col("n_sold") > 0), "returned")
+    sold = lines.where(_is_sold()).select("invoice", *RETURN_KEY, "quantity")
+    matched = attach_group_values(sold, returned, RETURN_KEY, "n_sold")
+    whole = F.bool_and(p.holds(F.col("returned") >= F.col("quantity")))
     return matched.groupBy("invoice").agg(whole.cast("int").alias("full_basket_return"))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
-from ledgerlint.functions import predicates as p
 from ledgerlint.operators import cleaning as c
 from ledgerlint.operators.checks import enforce, final_assertions
 from ledgerlint.operators.forest import remove_outliers
@@ -41,24 +40,11 @@ class CleaningRun:
     assertions: DataFrame
 
 
-def surviving_lines(labelled: DataFrame) -> DataFrame:
-    """Steps 5 and 6 on a stored labelled table: repair prefixes, drop the rest.
-
-    A negative sale line survives exactly when its invoice is repaired.
-    """
-    alive = labelled.where(F.col(LABEL).isNull()).drop(*AUDIT)
-    repaired = c.all_negative_invoices(alive)
-    suspects = alive.where(p.is_negative_sale())
-    kept = suspects.join(repaired, "invoice", "left_semi").withColumn(
-        "invoice", F.concat(F.lit("C"), "invoice")
-    )
-    return alive.where(~p.is_negative_sale()).unionByName(kept)
-
-
 def run_cleaning(lines: DataFrame, config: CleaningConfig) -> CleaningRun:
     """Clean ``lines``; every frame of the result is lazy over stored tables."""
     labelled = stage(label_lines(typed_lines(lines), config), "labelled")
-    kept = c.handle_missing_customer(surviving_lines(labelled), config)
+    alive = labelled.where(F.col(LABEL).isNull()).drop(*AUDIT)
+    kept = c.handle_missing_customer(c.resolve_negative_sales(alive), config)
     valued = stage(c.add_basket_value(kept), "valued")
 
     caps = c.cap_thresholds(valued, config)

@@ -16,20 +16,22 @@ from pyspark.sql import functions as F
 _CHUNK = 8 * 1024 * 1024
 
 
-def _digest(uri: str) -> str:
+def _digest(uri: str) -> tuple[int, str]:
     from pyarrow import fs
 
     filesystem, path = fs.FileSystem.from_uri(uri)
-    digest = hashlib.sha256()
+    digest, size = hashlib.sha256(), 0
     with filesystem.open_input_stream(path) as stream:
         while chunk := stream.read(_CHUNK):
             digest.update(chunk)
-    return digest.hexdigest()
+            size += len(chunk)
+    return size, digest.hexdigest()
 
 
 def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.assign(sha256=[_digest(uri) for uri in batch["uri"]])
+        done = [(uri, *_digest(uri)) for uri in batch["uri"]]
+        yield pd.DataFrame(done, columns=["uri", "n_bytes", "sha256"])
 
 
 def file_manifest(
@@ -39,10 +41,10 @@ def file_manifest(
 
     ``matches`` is null where no digest is expected for the file.
     """
-    # The content column is not selected, so listing reads no file.
-    listing = spark.read.format("binaryFile").load(path).select(
-        F.regexp_replace("path", "^file:/+", "file:///").alias("uri"),
-        F.col("length").alias("n_bytes"),
+    # From the file index: a scan would leave out empty files.
+    uris = spark.read.format("binaryFile").load(path).inputFiles()
+    listing = spark.createDataFrame([(uri,) for uri in uris], "uri string").select(
+        F.regexp_replace("uri", "^file:/+", "file:///").alias("uri")
     )
     hashed = listing.repartition("uri").mapInPandas(
         _hash_batches, "uri string, n_bytes long, sha256 string"
@@ -50,8 +52,10 @@ def file_manifest(
     digests = spark.createDataFrame(
         list((expected or {}).items()), "file_name string, expected_sha256 string"
     )
+    # URIs escape special characters; a plus sign stands for itself.
+    name = F.replace(F.element_at(F.split("uri", "/"), -1), F.lit("+"), F.lit("%2B"))
     return (
-        hashed.withColumn("file_name", F.element_at(F.split("uri", "/"), -1))
+        hashed.withColumn("file_name", F.url_decode(name))
         .join(digests, "file_name", "left")
         .select(
             "file_name",
