@@ -1,8 +1,10 @@
 """Null-safe row rules.
 
 A rule that *removes* rows must be false, never unknown, where its input is
-null: ``filter(~unknown)`` would silently drop the row. Every predicate here
-therefore returns true or false only.
+null: ``filter(~unknown)`` would silently drop the row. The ``is_`` and ``has_``
+predicates therefore return true or false only, for flags and counts. The
+``keeps_`` filters say the same in plain comparisons, which Parquet scans accept
+as pushed filters.
 """
 
 from __future__ import annotations
@@ -71,6 +73,37 @@ def is_nonpositive_price_sale() -> Column:
     return holds(F.col("price") <= 0) & ~is_credit()
 
 
+def _is_kept_as_credit() -> Column:
+    return F.col("invoice").startswith("C")
+
+
+def keeps_untechnical() -> Column:
+    quantity, text = F.col("quantity"), F.col("description")
+    placeholder = quantity.isin(PLACEHOLDER_QUANTITY, -PLACEHOLDER_QUANTITY)
+    return (quantity.isNull() | ~placeholder) & (
+        text.isNull() | ~text.rlike(_KEYWORD_PATTERN)
+    )
+
+
+def keeps_acceptable_price() -> Column:
+    return F.col("price") <= MAX_PRICE
+
+
+def keeps_priced() -> Column:
+    price = F.col("price")
+    return price.isNull() | (price != 0) | _is_kept_as_credit()
+
+
+def keeps_unsigned() -> Column:
+    """All but negative sales."""
+    quantity = F.col("quantity")
+    return quantity.isNull() | (quantity >= 0) | _is_kept_as_credit()
+
+
+def keeps_negative_sales() -> Column:
+    return (F.col("quantity") < 0) & ~is_credit()
+
+
 def line_basket_value() -> Column:
     return F.when(
         F.col("quantity") > 0, F.col("quantity") * F.col("price")

@@ -16,9 +16,7 @@ def add_anomaly_flags(lines: DataFrame) -> DataFrame:
     return lines.withColumns(anomaly_flags())
 
 
-def anomaly_summary(lines: DataFrame) -> DataFrame:
-    """Per flag: lines and share; the total counts a line once per flag."""
-    counts = counted(lines, "flag", anomaly_flags())
+def anomaly_report(counts: DataFrame) -> DataFrame:
     total = counts.agg(
         F.lit("total").alias("flag"),
         F.sum("row_count").alias("row_count"),
@@ -31,6 +29,11 @@ def anomaly_summary(lines: DataFrame) -> DataFrame:
     )
 
 
+def anomaly_summary(lines: DataFrame) -> DataFrame:
+    """Per flag: lines and share; the total counts a line once per flag."""
+    return anomaly_report(counted(lines, "flag", anomaly_flags()))
+
+
 def anomaly_examples(lines: DataFrame, k: int = 5) -> DataFrame:
     """The first ``k`` lines of every flag.
 

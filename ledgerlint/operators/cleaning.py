@@ -53,20 +53,21 @@ def collapse_lines(lines: DataFrame) -> DataFrame:
 
     Lines without an invoice or stock code vanish.
     """
-    return _collapse(lines.dropna(subset=list(PAIR)))
+    keyed = F.col("invoice").isNotNull() & F.col("stockcode").isNotNull()
+    return _collapse(lines.where(keyed))
 
 
 def drop_technical(lines: DataFrame) -> DataFrame:
-    return lines.where(~p.is_technical())
+    return lines.where(p.keeps_untechnical())
 
 
 def drop_extreme_price(lines: DataFrame) -> DataFrame:
     """Keeps prices up to the limit; a null price is dropped."""
-    return lines.where(p.is_acceptable_price())
+    return lines.where(p.keeps_acceptable_price())
 
 
 def drop_zero_price(lines: DataFrame) -> DataFrame:
-    return lines.where(~p.is_zero_price_sale())
+    return lines.where(p.keeps_priced())
 
 
 def _suspects_with_verdict(lines: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def _suspects_with_verdict(lines: DataFrame) -> DataFrame:
         .agg(negatives.alias("n"), (negatives == F.count(F.lit(1))).alias("repaired"))
         .where(F.col("n") > 0)
     )
-    suspects = lines.where(p.is_negative_sale())
+    suspects = lines.where(p.keeps_negative_sales())
     return attach_group_values(suspects, stage(verdicts, "verdicts"), ["invoice"], "n")
 
 
@@ -98,7 +99,7 @@ def fix_credit_prefix(lines: DataFrame) -> DataFrame:
     """
     repaired = F.when(F.col("repaired"), _prefixed()).otherwise(F.col("invoice"))
     touched = _suspects_with_verdict(lines).withColumn("invoice", repaired)
-    untouched = lines.where(~p.is_negative_sale())
+    untouched = lines.where(p.keeps_unsigned())
     return untouched.unionByName(touched.drop("repaired"))
 
 
@@ -113,15 +114,15 @@ def resolve_negative_sales(lines: DataFrame) -> DataFrame:
         .withColumn("invoice", _prefixed())
         .drop("repaired")
     )
-    return lines.where(~p.is_negative_sale()).unionByName(kept)
+    return lines.where(p.keeps_unsigned()).unionByName(kept)
 
 
 def drop_negative_sales(lines: DataFrame) -> DataFrame:
-    return lines.where(~p.is_negative_sale())
+    return lines.where(p.keeps_unsigned())
 
 
 def drop_missing_customer(lines: DataFrame) -> DataFrame:
-    return lines.dropna(subset=["customer_id"])
+    return lines.where(F.col("customer_id").isNotNull())
 
 
 def impute_missing_customer(lines: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_GROUPS = 1000
+HOT_ROWS = 100_000
 
 
-def _complete(keys: Sequence[str]) -> Column:
+def complete(keys: Sequence[str]) -> Column:
+    """True where every key is set."""
     full = F.lit(True)
     for key in keys:
         full = full & F.col(key).isNotNull()
@@ -26,18 +28,19 @@ def attach_group_values(
     A shuffle join would send a hot group to one task, and adaptive skew
     handling does not reach below an aggregate. So groups with more than a
     ``HOT_GROUPS``-th of all rows are broadcast: by their sizes there are fewer
-    than ``HOT_GROUPS`` of them, whatever the data. All other rows are joined by
-    shuffle, and rows without a key are not joined at all.
+    than ``HOT_GROUPS`` of them, whatever the data. Groups of up to ``HOT_ROWS``
+    rows never count as hot. All other rows are joined by shuffle, and rows
+    without a key are not joined at all.
 
     Both inputs are read several times: pass stored tables.
     """
     keys = list(keys)
     values = [f for f in groups.schema.fields if f.name not in (*keys, size)]
     total = groups.agg(F.sum(size)).first()[0] or 0
-    is_hot = F.col(size) > F.lit(total / HOT_GROUPS)
+    is_hot = F.col(size) > F.lit(max(total // HOT_GROUPS, HOT_ROWS))
     cold = groups.where(~is_hot).drop(size)
-    keyed = rows.where(_complete(keys))
-    loose = rows.where(~_complete(keys)).withColumns(
+    keyed = rows.where(complete(keys))
+    loose = rows.where(~complete(keys)).withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in values}
     )
     if groups.where(is_hot).isEmpty():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import finite, truncate_ntz
-from ledgerlint.operators.joins import attach_group_values
+from ledgerlint.operators.joins import attach_group_values, complete
 from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from ledgerlint.sources.staging import stage
 
@@ -159,7 +159,7 @@ def returned_since(lines: DataFrame) -> DataFrame:
     pair = ["customer_id", "stockcode"]
     credited = F.when(p.is_credit() & p.is_negative(), -F.col("quantity")).otherwise(0)
     per_time = (
-        lines.dropna(subset=list(RETURN_KEY))
+        lines.where(complete(RETURN_KEY))
         .groupBy(*RETURN_KEY)
         .agg(F.sum(credited).alias("credited"), F.count_if(_is_sold()).alias("n_sold"))
         .withColumn("day", F.to_date("invoicedate"))

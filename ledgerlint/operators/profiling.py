@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlint.config import HIGH_NULL_PCT
 from ledgerlint.functions import predicates as p
@@ -63,10 +62,11 @@ def schema_overview(lines: DataFrame, examples: int = 3) -> DataFrame:
     )
 
 
-def null_counts(lines: DataFrame) -> DataFrame:
-    counts = counted(
-        lines, "column_name", {c: F.col(c).isNull() for c in lines.columns}
-    )
+def null_conditions(lines: DataFrame) -> dict[str, Column]:
+    return {c: F.col(c).isNull() for c in lines.columns}
+
+
+def null_report(counts: DataFrame) -> DataFrame:
     nulls, total = F.col("row_count"), F.col("total_count")
     return counts.select(
         "column_name",
@@ -76,6 +76,10 @@ def null_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+def null_counts(lines: DataFrame) -> DataFrame:
+    return null_report(counted(lines, "column_name", null_conditions(lines)))
+
+
 def high_null_columns(lines: DataFrame) -> DataFrame:
     return null_counts(lines).where(F.col("null_pct") > HIGH_NULL_PCT)
 
@@ -83,44 +87,25 @@ def high_null_columns(lines: DataFrame) -> DataFrame:
 def unique_counts(lines: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column.
 
-    Exact counts turn the table into (column, value) cells, which combine on
-    the map side, so a frequent value costs one row per task. ``approximate``
-    uses a fixed-size sketch per column and shuffles nothing else.
+    Exact counts combine (column, value) on the map side, so a frequent value
+    costs one row per task. ``approximate`` uses a fixed-size sketch per column
+    and shuffles nothing else.
     """
-    if approximate:
-        row = lines.agg(
-            F.count(F.lit(1)).alias("total"),
-            *(F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(lines.columns)),
-        )
-        entries = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"u{i}").alias("unique_count"),
-                F.col("total").alias("total_count"),
-            )
-            for i, c in enumerate(lines.columns)
-        ]
-        per_column = row.select(F.inline(F.array(*entries)))
-    else:
-        texts = []
-        for field in lines.schema.fields:
-            value = F.col(field.name)
-            if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-                value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-            texts.append(value.cast("string").alias(field.name))
-        cells = lines.select(*texts).unpivot([], lines.columns, "column_name", "value")
-        per_value = cells.groupBy("column_name", "value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        per_column = per_value.groupBy("column_name").agg(
-            F.count("value").alias("unique_count"), F.sum("n").alias("total_count")
-        )
-    return per_column.select(
-        "column_name",
-        "unique_count",
-        pct(F.col("unique_count"), F.col("total_count")).alias("unique_pct"),
-        "total_count",
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    row = lines.agg(
+        F.count(F.lit(1)).alias("total"),
+        *(distinct(c).alias(f"u{i}") for i, c in enumerate(lines.columns)),
     )
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col(f"u{i}").alias("unique_count"),
+            pct(F.col(f"u{i}"), F.col("total")).alias("unique_pct"),
+            F.col("total").alias("total_count"),
+        )
+        for i, c in enumerate(lines.columns)
+    ]
+    return row.select(F.inline(F.array(*entries)))
 
 
 def sanity_conditions() -> dict[str, Column]:
@@ -132,9 +117,7 @@ def sanity_conditions() -> dict[str, Column]:
     }
 
 
-def sanity_metrics(lines: DataFrame) -> DataFrame:
-    """``(metric, row_count, row_pct)``, all from one scan without a shuffle of rows."""
-    counts = counted(lines, "metric", sanity_conditions())
+def sanity_report(counts: DataFrame) -> DataFrame:
     return counts.select(
         "metric",
         "row_count",
@@ -142,6 +125,11 @@ def sanity_metrics(lines: DataFrame) -> DataFrame:
     )
 
 
+def sanity_metrics(lines: DataFrame) -> DataFrame:
+    """``(metric, row_count, row_pct)``, all from one scan without a shuffle of rows."""
+    return sanity_report(counted(lines, "metric", sanity_conditions()))
+
+
 def duplicate_rows(lines: DataFrame) -> DataFrame:
     """Rows beyond the first of each distinct line."""
     distinct = lines.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("n"))

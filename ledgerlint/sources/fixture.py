@@ -39,7 +39,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     joined = (
-        spread(table("lineitem"))
+        spread(table("lineitem"), "l_orderkey", "l_linenumber")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))

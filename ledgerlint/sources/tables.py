@@ -19,18 +19,18 @@ def read_lines(spark: SparkSession, path: str, schema: T.StructType = LINE_SCHEM
     return typed_lines(spark.read.schema(schema).parquet(path))
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Share a scan with fewer splits than cores among all cores.
 
     A small file, or one with a single row group, is read by one task, which
     would then also do all work up to the next shuffle. Scans with enough
-    splits, as on any large table, are returned unchanged.
+    splits, as on any large table, are returned unchanged. ``keys`` should
+    identify a row, so that no key is hot.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    # By all columns: even on a hot key, and without the sort of a plain deal.
-    return scan.repartition(cores, *scan.columns)
+    return scan.repartition(cores, *keys)
 
 
 def read_year_csv(spark: SparkSession, path: str) -> DataFrame:

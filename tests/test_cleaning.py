@@ -122,6 +122,26 @@ def test_negative_sales(spark):
     ]
 
 
+def test_filters_reach_the_scan(spark, tmp_path):
+    five(spark).write.parquet(str(tmp_path / "five"))
+    stored = spark.read.parquet(str(tmp_path / "five"))
+
+    def pushed(step):
+        plan = step(stored)._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: ")[1].split("], ReadSchema")[0]
+
+    assert "LessThanOrEqual(price,10000.0)" in pushed(c.drop_extreme_price)
+    assert "StringStartsWith(invoice,C)" in pushed(c.drop_zero_price)
+    assert "GreaterThanOrEqual(quantity,0)" in pushed(c.drop_negative_sales)
+    assert "In(quantity, [-1000,1000])" in pushed(c.drop_technical)
+    assert "IsNotNull(customer_id)" in pushed(c.drop_missing_customer)
+
+
+def test_null_invoices_are_sales(spark):
+    df = lines(spark, [line(invoice=None, price=0.0, quantity=-1)])
+    assert c.drop_zero_price(df).count() == c.drop_negative_sales(df).count() == 0
+
+
 def test_missing_customer(spark):
     assert c.drop_missing_customer(five(spark)).count() == 4
     out = c.impute_missing_customer(five(spark))

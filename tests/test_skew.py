@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
-from ledgerlint.operators import anomalies, baskets, cleaning, monitoring
+from ledgerlint.operators import anomalies, baskets, cleaning, joins, monitoring
 from ledgerlint.operators.waterfall import label_lines
 from ledgerlint.plans.cleaning_run import run_cleaning
 from ledgerlint.sources.schema import LINE_COLUMNS
@@ -66,7 +66,12 @@ def test_prefix_repair_moves_only_negative_lines(skewed):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_hot_invoice_is_joined_without_a_shuffle(skewed):
+@pytest.fixture
+def small_hot_groups(monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+
+
+def test_hot_invoice_is_joined_without_a_shuffle(skewed, small_hot_groups):
     loose = skewed.limit(40).withColumn("invoice", F.lit(None).cast("string"))
     out = baskets.lines_with_basket(stage(skewed.union(loose), "loose"))
     assert out.count() == ROWS + 40
@@ -78,7 +83,7 @@ def test_hot_invoice_is_joined_without_a_shuffle(skewed):
     assert "BroadcastHashJoin [invoice" in text and "LeftAnti" in text
 
 
-def test_hot_negative_invoice_is_repaired_whole(skewed):
+def test_hot_negative_invoice_is_repaired_whole(skewed, small_hot_groups):
     negative = skewed.withColumn(
         "quantity", F.when(F.col("invoice") == "hot", -1).otherwise(F.col("quantity"))
     )
@@ -87,11 +92,23 @@ def test_hot_negative_invoice_is_repaired_whole(skewed):
     assert out.count() == ROWS
 
 
-def test_hot_mixed_invoice_loses_its_negative_lines(skewed):
+def test_hot_mixed_invoice_loses_its_negative_lines(skewed, small_hot_groups):
     bad = skewed.where("invoice = 'hot' and quantity < 0").count()
     assert cleaning.resolve_negative_sales(skewed).count() == ROWS - bad
 
 
+def test_full_return_of_a_hot_pair(skewed, small_hot_groups):
+    credits = skewed.withColumn(
+        "invoice",
+        F.when(F.col("quantity") < 0, F.concat(F.lit("C"), "invoice")).otherwise(F.col("invoice")),
+    )
+    # All lines of the hot pair carry one date: one hot join key.
+    same_day = credits.withColumn("invoicedate", F.lit(dt.datetime(2010, 1, 1)).cast("timestamp_ntz"))
+    table = monitoring.full_basket_return(stage(same_day, "same_day"))
+    assert table.where("invoice = 'hot'").first().full_basket_return == 0
+    assert table.count() == skewed.where("quantity > 0").select("invoice").distinct().count()
+
+
 def test_examples_keep_few_rows_per_task(skewed):
     out = anomalies.anomaly_examples(skewed)
     text = out._jdf.queryExecution().executedPlan().toString()
