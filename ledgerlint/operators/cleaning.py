@@ -16,7 +16,7 @@ from ledgerlint.config import CleaningConfig
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import first_non_null, order_key, pct
 from ledgerlint.operators.joins import attach_group_values
-from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
 from ledgerlint.sources.staging import stage
 
 PAIR = ("invoice", "stockcode")
@@ -152,11 +152,15 @@ def cap_thresholds(
     """Caps from non-credit lines. Reads ``lines`` several times."""
     sales = lines.where(~p.is_credit())
     paid = sales.where(F.col("basket_value") > 0)
-    (price_cap,) = exact_quantiles(
-        sales, "price", [config.price_cap_q], direct_rows=direct_rows
-    )
-    (basket_cap,) = exact_quantiles(
-        paid, "basket_value", [config.basket_cap_q], direct_rows=direct_rows
+    (price_cap,), (basket_cap,) = at_once(
+        [
+            lambda: exact_quantiles(
+                sales, "price", [config.price_cap_q], direct_rows=direct_rows
+            ),
+            lambda: exact_quantiles(
+                paid, "basket_value", [config.basket_cap_q], direct_rows=direct_rows
+            ),
+        ]
     )
     return {"price_cap": price_cap, "basket_cap": basket_cap}
 

@@ -7,6 +7,7 @@ being joined back to every line.
 
 from __future__ import annotations
 
+from functools import partial
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlint.config import HISTOGRAM_BINS
 from ledgerlint.functions.columns import finite
 from ledgerlint.operators.baskets import invoice_basket_metric
-from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
 from ledgerlint.sources.staging import stage
 
 VARIABLES = ("Quantity", "Unit Price", "Basket Value")
@@ -108,19 +109,28 @@ def histogram_log10(values: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     return histogram(logs.withColumn("value", F.log10("value")), bins)
 
 
+def _quantiles_of(
+    values: DataFrame, probs: dict[str, list[float]], direct_rows: int
+) -> dict[str, list[float]]:
+    """Weighted quantiles of each named variable at its own probabilities."""
+
+    def one(name: str) -> list[float]:
+        chosen = values.where(F.col("variable") == name)
+        return exact_quantiles(
+            chosen, "value", probs[name], weight="weight", direct_rows=direct_rows
+        )
+
+    results = at_once([partial(one, name) for name in probs])
+    return dict(zip(probs, results))
+
+
 def boxplot_stats(values: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Quartiles, whiskers at 1.5 IQR and the rows beyond them."""
-    quartiles, fences = {}, {}
-    for name, _, _, _ in _variables(values):
-        q1, median, q3 = exact_quantiles(
-            values.where(F.col("variable") == name),
-            "value",
-            [0.25, 0.5, 0.75],
-            weight="weight",
-            direct_rows=direct_rows,
-        )
+    names = [name for name, _, _, _ in _variables(values)]
+    found = _quantiles_of(values, {n: [0.25, 0.5, 0.75] for n in names}, direct_rows)
+    quartiles, fences = found, {}
+    for name, (q1, _, q3) in found.items():
         reach = 1.5 * (q3 - q1)
-        quartiles[name] = (q1, median, q3)
         fences[name] = (q1 - reach, q3 + reach)
 
     def pick(table: dict, i: int) -> Column:
@@ -167,27 +177,20 @@ def qq_points(
     exact quantiles on a fixed grid. A variable needs more than three values.
     """
     spark = values.sparkSession
-    rows = []
+    positions, probs = {}, {}
     for name, _, _, n in _variables(values):
         if n <= 3:
             continue
         count = min(n, points)
-        positions = [_plot_position(i, count) for i in range(1, count + 1)]
-        probs = positions
-        if n <= points:
-            probs = [i / (n - 1) for i in range(n)]
-        sample = exact_quantiles(
-            values.where(F.col("variable") == name),
-            "value",
-            probs,
-            weight="weight",
-            direct_rows=direct_rows,
-        )
-        normal = NormalDist()
-        rows += [
-            (name, i, normal.inv_cdf(p), x)
-            for i, (p, x) in enumerate(zip(positions, sample), 1)
-        ]
+        positions[name] = [_plot_position(i, count) for i in range(1, count + 1)]
+        every = [i / (n - 1) for i in range(count)]
+        probs[name] = every if n <= points else positions[name]
+    normal = NormalDist()
+    rows = [
+        (name, i, normal.inv_cdf(p), x)
+        for name, sample in _quantiles_of(values, probs, direct_rows).items()
+        for i, (p, x) in enumerate(zip(positions[name], sample), 1)
+    ]
     plotted = spark.createDataFrame(
         rows, "variable string, point int, theoretical double, sample double"
     )

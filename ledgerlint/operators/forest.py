@@ -107,7 +107,10 @@ def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
 
 def grow_forest(dealt: DataFrame, seed: int) -> list:
     """Train all trees, one group per tree; ``TREES`` rows reach the driver."""
-    grown = dealt.select("tree", *FEATURES).groupBy("tree").applyInPandas(
+    # A fixed number of partitions, or the few small groups end up in one task.
+    cores = dealt.sparkSession.sparkContext.defaultParallelism
+    spread = dealt.select("tree", *FEATURES).repartition(min(TREES, cores), "tree")
+    grown = spread.groupBy("tree").applyInPandas(
         lambda rows: _grow(rows, seed), _TREE_SCHEMA
     )
     return sorted(grown.collect(), key=lambda r: r["tree"])
@@ -115,25 +118,31 @@ def grow_forest(dealt: DataFrame, seed: int) -> list:
 
 def score_column(forest: list, rows_per_tree: int) -> Column:
     """Anomaly score between 0 and 1 for a sale line, null for credit lines."""
-    feature = np.array([t["feature"] for t in forest], dtype=np.int8)
-    split = np.array([t["split"] for t in forest])
+    feature = np.array([t["feature"] for t in forest], dtype=np.int64)
     path = np.array([t["path"] for t in forest])
+    # A leaf leads to itself: no value exceeds its split.
+    leaf = feature < 0
+    split = np.where(leaf, np.inf, np.array([t["split"] for t in forest]))
+    nodes = np.arange(NODES)
+    left = np.where(leaf, nodes, 2 * nodes + 1)
+    feature = np.where(leaf, 0, feature)
     norm = _expected_path(rows_per_tree) or 1.0
 
     @F.pandas_udf("double")
     def score(sale: pd.Series, a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        out = np.full(len(sale), np.nan)
         mask = sale.to_numpy(dtype=bool)
-        points = np.column_stack([a, b, c])[mask]
-        index = np.arange(len(points))
-        depth = np.zeros(len(points))
-        for tree_feature, tree_split, tree_path in zip(feature, split, path):
-            node = np.zeros(len(points), dtype=np.int32)
+        points = np.concatenate([x.to_numpy()[mask] for x in (a, b, c)])
+        n = len(points) // 3
+        row = np.arange(n)
+        depth = np.zeros(n)
+        for tree_feature, tree_split, tree_left, tree_path in zip(feature, split, left, path):
+            offset = tree_feature * n
+            node = np.zeros(n, dtype=np.int64)
             for _ in range(DEPTH):
-                chosen = tree_feature[node]
-                right = points[index, chosen] > tree_split[node]
-                node = np.where(chosen < 0, node, 2 * node + 1 + right)
-            depth += tree_path[node]
+                value = points.take(offset.take(node) + row)
+                node = tree_left.take(node) + (value > tree_split.take(node))
+            depth += tree_path.take(node)
+        out = np.full(len(mask), np.nan)
         out[mask] = 2.0 ** (-depth / len(feature) / norm)
         return pd.Series(out).where(mask, None)
 

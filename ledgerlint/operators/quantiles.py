@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +29,7 @@ from ledgerlint.functions.columns import finite
 DIRECT_ROWS = 2_000_000
 SPLITS = 1024
 _INF = math.inf
+T = TypeVar("T")
 
 
 @dataclass(frozen=True)
@@ -80,6 +83,14 @@ def exact_quantiles(
     ]
 
 
+def at_once(calls: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of independent calls whose Spark jobs may overlap."""
+    if len(calls) < 2:
+        return [call() for call in calls]
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return list(pool.map(lambda call: call(), calls))
+
+
 def _values_at(
     data: DataFrame, intervals: list[_Interval], ranks: list[int], direct_rows: int
 ) -> dict[int, float]:
