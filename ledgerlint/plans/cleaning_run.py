@@ -67,10 +67,10 @@ def run_cleaning(lines: DataFrame, config: CleaningConfig) -> CleaningRun:
     )
 
 
-def save_run(run: CleaningRun, folder: str, fmt: str = "parquet") -> None:
+def save_run(run: CleaningRun, folder: str, fmt: str = "parquet", mode: str = "error") -> None:
     """Write all results. Nothing is written when an assertion fails."""
     enforce(run.assertions)
-    write_lines(run.cleaned, f"{folder}/orders_clean", fmt)
-    write_report(run.waterfall.orderBy("step_no"), f"{folder}/row_loss_waterfall")
-    write_report(run.caps, f"{folder}/cap_thresholds")
-    write_report(run.summary, f"{folder}/cleaning_summary")
+    write_lines(run.cleaned, f"{folder}/orders_clean", fmt, mode)
+    write_report(run.waterfall.orderBy("step_no"), f"{folder}/row_loss_waterfall", mode)
+    write_report(run.caps, f"{folder}/cap_thresholds", mode)
+    write_report(run.summary, f"{folder}/cleaning_summary", mode)

@@ -69,6 +69,6 @@ def run_profile(lines: DataFrame, examples: bool = True) -> dict[str, DataFrame]
     return reports
 
 
-def save_profile(reports: dict[str, DataFrame], folder: str) -> None:
+def save_profile(reports: dict[str, DataFrame], folder: str, mode: str = "error") -> None:
     for name, report in reports.items():
-        write_report(report, f"{folder}/{name}")
+        write_report(report, f"{folder}/{name}", mode)

@@ -24,12 +24,24 @@ LINE_SCHEMA = T.StructType(
 
 LINE_COLUMNS = LINE_SCHEMA.fieldNames()
 
-# Header names of the yearly files, in file order.
-RAW_COLUMNS = (
-    "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
-    "Customer ID", "Country",
+# Columns of a table under its original header names, customer ids as floats.
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("Invoice", T.StringType()),
+        T.StructField("StockCode", T.StringType()),
+        T.StructField("Description", T.StringType()),
+        T.StructField("Quantity", T.LongType()),
+        T.StructField("InvoiceDate", T.TimestampNTZType()),
+        T.StructField("Price", T.DoubleType()),
+        T.StructField("Customer ID", T.DoubleType()),
+        T.StructField("Country", T.StringType()),
+        T.StructField("source_year", T.StringType()),
+    ]
 )
 
+# Header names of the yearly files, in file order.
+RAW_COLUMNS = tuple(RAW_SCHEMA.fieldNames()[:-1])
+
 
 def normalise_names(df: DataFrame) -> DataFrame:
     """Lower-case column names, spaces to underscores."""

@@ -15,7 +15,10 @@ from ledgerlint.sources.schema import LINE_SCHEMA, RAW_COLUMNS, typed_lines
 
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType = LINE_SCHEMA) -> DataFrame:
-    """Parquet scan of a combined table with a fixed schema."""
+    """Parquet scan of a combined table with a fixed schema.
+
+    Use ``RAW_SCHEMA`` for a table that still has the original header names.
+    """
     return typed_lines(spark.read.schema(schema).parquet(path))
 
 
@@ -64,17 +67,22 @@ def load_metadata(lines: DataFrame) -> DataFrame:
 def read_or_build(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """Read the combined table, writing it first when it does not exist."""
+    """Read the combined table, writing it first when there is none.
+
+    A folder without rows is what a failed write leaves behind; it is replaced.
+    """
     try:
-        return read_lines(spark, path)
+        stored = read_lines(spark, path)
+        if not stored.isEmpty():
+            return stored
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    write_lines(build(), path)
+    write_lines(build(), path, mode="overwrite")
     return read_lines(spark, path)
 
 
-def write_lines(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_lines(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error") -> None:
     """Write a line table, timestamps truncated to milliseconds."""
     stamps = {
         f.name: truncate_ntz(f.name, "MILLISECOND")
@@ -83,13 +91,13 @@ def write_lines(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     }
     out = df.withColumns(stamps) if stamps else df
     if fmt == "parquet":
-        out.write.option("compression", "snappy").parquet(path)
+        out.write.mode(mode).option("compression", "snappy").parquet(path)
     elif fmt == "csv":
-        out.write.option("header", True).csv(path)
+        out.write.mode(mode).option("header", True).csv(path)
     else:
         raise ValueError(f"unsupported format: {fmt}")
 
 
-def write_report(df: DataFrame, path: str) -> None:
+def write_report(df: DataFrame, path: str, mode: str = "error") -> None:
     """Write a small report table as CSV with a header."""
-    df.write.option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).csv(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.functions.columns import truncate_ntz
 from ledgerlint.sources import manifest, tables
-from ledgerlint.sources.schema import LINE_SCHEMA, typed_lines
+from ledgerlint.sources.schema import LINE_SCHEMA, RAW_SCHEMA, typed_lines
 from ledgerlint.sources.staging import stage, staging_dir
 from ledgerlint.streaming.row_rules import apply_row_rules
 from tests.helpers import column, five, line, lines
@@ -66,6 +66,19 @@ def test_read_or_build_builds_once(spark, tmp_path):
     assert built == [1]
 
 
+def test_read_or_build_replaces_the_rest_of_a_failed_write(spark, tmp_path):
+    (tmp_path / "combined" / "_temporary").mkdir(parents=True)
+    built = tables.read_or_build(spark, str(tmp_path / "combined"), lambda: five(spark))
+    assert built.count() == 5
+
+
+def test_table_with_original_header(spark, tmp_path):
+    raw = five(spark).withColumn("customer_id", F.col("customer_id").cast("double"))
+    raw.toDF(*RAW_SCHEMA.fieldNames()).write.parquet(str(tmp_path / "raw"))
+    back = tables.read_lines(spark, str(tmp_path / "raw"), RAW_SCHEMA)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, five(spark).collect()))
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_written_timestamps_have_milliseconds(spark, tmp_path, fmt):
     stamp = dt.datetime(2010, 3, 28, 1, 30, 5, 123999)
