@@ -183,15 +183,45 @@ def returned_since(lines: DataFrame) -> DataFrame:
     )
 
 
+def _with_returnable_mark(lines: DataFrame) -> DataFrame:
+    """Sold and credited lines; ``returnable`` is set when the customer and
+    stock code have both, which for most lines they do not."""
+    pair = ["customer_id", "stockcode"]
+    is_credited = p.is_credit() & p.is_negative()
+    involved = lines.where(_is_sold() | is_credited).select(
+        "invoice", *RETURN_KEY, "quantity"
+    )
+    n, n_credited = F.col("n"), F.col("n_credited")
+    pairs = (
+        involved.where(complete(pair))
+        .groupBy(*pair)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_credited).alias("n_credited"))
+        .where((n_credited > 0) & (n_credited < n))
+        .select(*pair, F.lit(True).alias("returnable"), "n")
+    )
+    return attach_group_values(involved, stage(pairs, "pairs"), pair, "n")
+
+
 def full_basket_return(lines: DataFrame) -> DataFrame:
     """``(invoice, full_basket_return)`` for every invoice with sold lines.
 
     1 when, for every sold line, credit lines of the same customer and stock
-    code dated on or after it return at least its quantity. Reads ``lines``
+    code dated on or after it return at least its quantity. Only lines whose
+    customer and stock code have credits are matched by date. Reads ``lines``
     several times: pass a stored table.
     """
-    returned = stage(returned_since(lines).where(F.col("n_sold") > 0), "returned")
-    sold = lines.where(_is_sold()).select("invoice", *RETURN_KEY, "quantity")
-    matched = attach_group_values(sold, returned, RETURN_KEY, "n_sold")
-    whole = F.bool_and(p.holds(F.col("returned") >= F.col("quantity")))
-    return matched.groupBy("invoice").agg(whole.cast("int").alias("full_basket_return"))
+    marked = stage(_with_returnable_mark(lines), "marked")
+    candidates = marked.where("returnable")
+    returned = stage(returned_since(candidates).where(F.col("n_sold") > 0), "returned")
+    matched = attach_group_values(
+        candidates.where(_is_sold()), returned, RETURN_KEY, "n_sold"
+    ).select("invoice", p.holds(F.col("returned") >= F.col("quantity")).alias("matched"))
+    unmatched = marked.where(_is_sold() & F.col("returnable").isNull()).select(
+        "invoice", F.lit(False).alias("matched")
+    )
+    whole = F.bool_and("matched").cast("int")
+    return (
+        matched.unionByName(unmatched)
+        .groupBy("invoice")
+        .agg(whole.alias("full_basket_return"))
+    )
