@@ -8,9 +8,11 @@ it carries have a fixed size. The removal threshold is an exact quantile.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ SCORE = "outlier_score"
 
 _TREE_SCHEMA = "tree int, feature array<int>, split array<double>, path array<double>"
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _features() -> list[Column]:
     return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]

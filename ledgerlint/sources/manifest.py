@@ -7,14 +7,19 @@ limit of a binary column nor executor memory bounds the file size.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHUNK = 8 * 1024 * 1024
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _digest(uri: str) -> tuple[int, str]:
     from pyarrow import fs
