@@ -589,12 +589,12 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "anomaly_examples": _select(ANOMALY_EXAMPLES),
     "invoice_basket_metric": _select(
-        "SELECT * REPLACE (round(mean_price, 6) AS mean_price, "
-        "round(basket_value, 6) + 0e0 AS basket_value) FROM metric",
+        "SELECT * REPLACE (round(mean_price, 7) AS mean_price, "
+        "round(basket_value, 7) + 0e0 AS basket_value) FROM metric",
         METRIC,
     ),
     "lines_with_basket": _select(
-        "SELECT tx.*, round(metric.basket_value, 6) + 0e0 AS basket_value "
+        "SELECT tx.*, round(metric.basket_value, 7) + 0e0 AS basket_value "
         "FROM tx LEFT JOIN metric USING (invoice)",
         METRIC,
     ),

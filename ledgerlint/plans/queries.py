@@ -237,11 +237,11 @@ QUERIES: dict[str, Query] = {
     # distributions
     "invoice_basket_metric": _on_view(
         lambda lines: rounded(
-            baskets.invoice_basket_metric(lines), "mean_price", "basket_value", digits=6
+            baskets.invoice_basket_metric(lines), "mean_price", "basket_value", digits=7
         )
     ),
     "lines_with_basket": _on_stored(
-        lambda lines: rounded(baskets.lines_with_basket(lines), "basket_value", digits=6)
+        lambda lines: rounded(baskets.lines_with_basket(lines), "basket_value", digits=7)
     ),
     "histogram": _on_values(_histogram),
     "histogram_log10": _on_values(_histogram_log10),
