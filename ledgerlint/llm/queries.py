@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlint.llm import bpe, line_dedup, mixing, quotes
+from ledgerlint.llm import boilerplate, bpe, line_dedup, mixing, quality, quotes, toxicity
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
 
@@ -23,6 +23,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -35,9 +43,16 @@ def op9_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotes(table(spark, sf_dir, "conversations"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality": op2_quality,
+    "op3_main_text": op3_main_text,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op9_quote_linking": op9_quote_linking,
+    "op10_toxicity": op10_toxicity,
 }
