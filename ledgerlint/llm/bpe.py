@@ -3,7 +3,9 @@
 Each match of the split pattern is merged separately. A segment tree over its
 byte positions holds, at every node, the leftmost pair of the smallest rank
 below it; the root is the next merge. A merge links two neighbours and updates
-three leaves, so a piece of n bytes takes O(n log n), however long it is.
+three leaves, so a piece of n bytes takes O(n log n), however long it is. Short
+pieces are merged many at a time: their trees are the rows of an array, and each
+step makes the next merge of every row.
 
 Ids are kept packed, as little-endian unsigned 32-bit integers: four bytes a
 token, the form in which token shards are stored. Pieces repeat, so every task
@@ -19,6 +21,7 @@ with the name of an output is replaced.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 
 #: Encoded pieces a task remembers before it starts anew.
 REMEMBERED = 400_000
+#: Documents whose new pieces are merged together.
+BLOCK = 256
 _NONE = 1 << 62
 
 
@@ -92,17 +97,108 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     return ids
 
 
-class _Pieces(dict):
-    """Packed ids of the pieces met so far."""
+class Merger:
+    """Ranks of pairs of tokens, and the lock-step merge of many short pieces."""
+
+    #: Pieces up to this many bytes are merged together, so many at a time.
+    SHORT = 64
+    TOGETHER = 4096
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=0)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = merge(piece.encode(), self.ranks, self.longest)
-        packed = self[piece] = np.array(ids, dtype="<u4").tobytes()
-        return packed
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; -1 where the vocabulary has no such token."""
+        if not len(self.keys):
+            return np.full(len(a), -1, dtype=np.int64)
+        wanted = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.merged[at], -1)
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece."""
+        out: list[bytes] = [b""] * len(pieces)
+        classes: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            rank = self.ranks.get(piece)
+            if rank is not None:
+                out[i] = rank.to_bytes(4, "little")
+            elif len(piece) > self.SHORT:
+                out[i] = np.array(merge(piece, self.ranks, self.longest), dtype="<u4").tobytes()
+            else:
+                classes.setdefault((len(piece) - 1).bit_length(), []).append(i)
+        for depth, members in classes.items():
+            for at in range(0, len(members), self.TOGETHER):
+                chosen = members[at : at + self.TOGETHER]
+                for i, packed in zip(chosen, self._lock_step([pieces[i] for i in chosen], depth)):
+                    out[i] = packed
+        return out
+
+    def _lock_step(self, pieces: list[bytes], depth: int) -> list[bytes]:
+        """Merge pieces of at most 2**depth bytes; a row of each array is a piece."""
+        width, n = 1 << depth, len(pieces)
+        raw = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in pieces), np.uint8).reshape(n, width)
+        lengths = np.array([len(x) for x in pieces])
+        place = np.arange(width)
+        live = place < lengths[:, None]
+        ids = self.byte_ids[raw]
+        after = np.where(place + 1 < lengths[:, None], place + 1, width).ravel()
+        before = np.tile(np.append(place - 1, 0), n)  # one more place, for "after the end"
+        tree = np.full((n, 2 * width), _NONE, dtype=np.int64)
+        first = live[:, 1:].nonzero()
+        ranks = self.pair_ranks(ids[first[0], first[1]], ids[first[0], first[1] + 1])
+        tree[first[0], width + first[1]] = np.where(ranks < 0, _NONE, ranks << depth | first[1])
+        for level in range(depth - 1, -1, -1):
+            low, high = 1 << level, 2 << level
+            tree[:, low:high] = np.minimum(tree[:, 2 * low : 2 * high : 2], tree[:, 2 * low + 1 : 2 * high : 2])
+        ids, live, tree = ids.ravel(), live.ravel(), tree.ravel()
+
+        def update(row, at, value) -> None:
+            node = at + width
+            base = row * (2 * width)
+            tree[base + node] = value
+            for _ in range(depth):
+                node = node >> 1
+                left = base + 2 * node
+                tree[base + node] = np.minimum(tree[left], tree[left + 1])
+
+        row = np.arange(n)
+        while True:
+            root = tree[row * (2 * width) + 1]
+            row = row[root != _NONE]
+            if not len(row):
+                break
+            root = root[root != _NONE]
+            i, rank = root & (width - 1), root >> depth
+            base = row * width
+            j = after[base + i]
+            k = after[base + j]
+            ids[base + i] = rank
+            live[base + j] = False
+            after[base + i] = k
+            before[row * (width + 1) + k] = i
+            update(row, j, _NONE)
+            inner = k < width
+            found = np.full(len(row), -1, dtype=np.int64)
+            found[inner] = self.pair_ranks(rank[inner], ids[(base + k)[inner]])
+            update(row, i, np.where(found < 0, _NONE, found << depth | i))
+            p = before[row * (width + 1) + i]
+            inner = p >= 0
+            found = self.pair_ranks(ids[(base + p)[inner]], rank[inner])
+            update(row[inner], p[inner], np.where(found < 0, _NONE, found << depth | p[inner]))
+        packed = ids[live].astype("<u4").tobytes()
+        ends = np.cumsum(live.reshape(n, width).sum(axis=1) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0] + ends, ends)]
 
 
 class Vocabulary:
@@ -110,7 +206,6 @@ class Vocabulary:
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         self.raw = spark.sparkContext.broadcast(Path(path).read_bytes())
-        # Unicode white space by name: engines differ in what \s holds.
         self.pattern = pattern
 
     def encode(self, text: Column) -> Column:
@@ -118,14 +213,20 @@ class Vocabulary:
         raw, pattern = self.raw, self.pattern
 
         @F.pandas_udf("binary")
-        def packed(batches: pd.Series) -> pd.Series:
-            pieces, split = _state(raw, pattern)
-            out = []
-            for one in batches:
-                out.append(b"".join(map(pieces.__getitem__, split(one))) if one else b"")
-                if len(pieces) > REMEMBERED:
-                    pieces.clear()
-            return pd.Series(out)
+        def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            merger = Merger(read_ranks(raw.value))
+            split = regex.compile(pattern).findall
+            known: dict[str, bytes] = {}
+            for batch in batches:
+                out = []
+                for at in range(0, len(batch), BLOCK):
+                    pieces = [split(x) if x else [] for x in batch.iloc[at : at + BLOCK]]
+                    new = list(set().union(*pieces) - known.keys())
+                    known.update(zip(new, merger.encode([x.encode() for x in new])))
+                    out.extend(b"".join(map(known.__getitem__, x)) for x in pieces)
+                    if len(known) > REMEMBERED:
+                        known.clear()
+                yield pd.Series(out, dtype=object)
 
         return packed(text)
 
@@ -134,36 +235,18 @@ class Vocabulary:
         raw = self.raw
 
         @F.pandas_udf("binary")
-        def unpacked(batches: pd.Series) -> pd.Series:
-            tokens = _tokens(raw)
-            return pd.Series(
-                [
-                    b"".join(map(tokens.__getitem__, np.frombuffer(one, "<u4").tolist()))
-                    if one
-                    else b""
-                    for one in batches
+        def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            tokens = {rank: token for token, rank in read_ranks(raw.value).items()}
+            for batch in batches:
+                out = [
+                    b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) if x else b""
+                    for x in batch
                 ]
-            )
+                yield pd.Series(out, dtype=object)
 
         return unpacked(packed)
 
 
-_HELD: dict = {}
-
-
-def _state(raw, pattern: str):
-    if "pieces" not in _HELD:
-        _HELD["pieces"] = _Pieces(read_ranks(raw.value))
-        _HELD["split"] = regex.compile(pattern).findall
-    return _HELD["pieces"], _HELD["split"]
-
-
-def _tokens(raw) -> dict[int, bytes]:
-    if "tokens" not in _HELD:
-        _HELD["tokens"] = {rank: token for token, rank in read_ranks(raw.value).items()}
-    return _HELD["tokens"]
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the packed ids of ``text``."""
     return docs.withColumn(ids, vocabulary.encode(F.col(text)))

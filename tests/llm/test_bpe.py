@@ -17,6 +17,7 @@ RAW = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
 RANKS = bpe.read_ranks(RAW)
 REAL = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 LONGEST = max(map(len, RANKS))
+MERGER = bpe.Merger(RANKS)
 
 TEXTS = [
     None, "", " ", "\n\n  a", "It's what we'll see, isn't it?", "ciónadoos ñé ß 你好 мир", "a" * 5000,
@@ -30,15 +31,19 @@ TEXTS = [
 def test_pieces_equal_the_library(text):
     import regex
 
-    ids = [i for p in regex.findall(public_tokenizers.PATTERN, text) for i in bpe.merge(p.encode(), RANKS, LONGEST)]
-    assert ids == REAL.encode_ordinary(text)
+    pieces = [p.encode() for p in regex.findall(public_tokenizers.PATTERN, text)]
+    want = REAL.encode_ordinary(text)
+    assert [i for p in pieces for i in bpe.merge(p, RANKS, LONGEST)] == want
+    assert b"".join(MERGER.encode(pieces)) == struct.pack(f"<{len(want)}I", *want)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abe hint", min_size=1, max_size=200))
 def test_long_pieces_equal_the_library(text):
     piece = text.replace(" ", "") or "a"
-    assert bpe.merge(piece.encode(), RANKS, LONGEST) == REAL.encode_ordinary(piece)
+    want = REAL.encode_ordinary(piece)
+    assert bpe.merge(piece.encode(), RANKS, LONGEST) == want
+    assert MERGER.encode([piece.encode(), b"a"])[0] == struct.pack(f"<{len(want)}I", *want)
 
 
 @pytest.fixture(scope="module")
