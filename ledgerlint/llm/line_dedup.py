@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import SPACES, UPPER, flat, mix64, row_key
+from ledgerlint.llm.common import SPACES, mix64, row_key
 from ledgerlint.sources.staging import stage
 
 #: Bits of a filter for each line, and at most.
@@ -35,46 +36,55 @@ BITS_PER_LINE = 8
 MAX_BITS = 1 << 26
 PROBES = 3
 SEGMENT_BYTES = 4096
+#: Documents hashed at a time.
+BLOCK = 512
 
-_LOWER = str.maketrans(UPPER, UPPER.lower())
 _FILTER_SCHEMA = "segment int, once binary, twice binary"
+_SPACES = SPACES.encode()
 
 
-def lines_of(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def keys_of(text: str | None, min_chars: int) -> list[bytes]:
+    """The key of every line: stripped, A-Z lower-cased; empty if too short."""
+    keys = [x.strip(_SPACES).lower() for x in (text or "").encode().split(b"\n")]
+    if min_chars > 1:
+        keys = [k if len(k) >= min_chars and len(k.decode()) >= min_chars else b"" for k in keys]
+    return keys
 
 
-def key_of(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACES)), UPPER, UPPER.lower())
+def hash_keys(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
-def _hashes(text: Column, min_chars: int) -> Column:
-    """Hash of every key of a document, once each; null for keys too short."""
-    keys = F.transform(lines_of(text), key_of)
-    keys = F.array_distinct(F.filter(keys, lambda k: F.length(k) >= min_chars))
-    return F.transform(keys, lambda k: F.xxhash64(k))
+def _hash_texts(texts: list, min_chars: int) -> tuple[list[list[bytes]], np.ndarray]:
+    """Distinct keys of each text, and all their hashes end to end."""
+    lists = []
+    for text in texts:
+        found = set(keys_of(text, min_chars))
+        found.discard(b"")
+        lists.append(sorted(found))
+    return lists, hash_keys([k for keys in lists for k in keys])
 
 
 def _probes(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Bit positions of each hash, one row for each probe."""
-    a = mix64(hashes.view(np.uint64))
+    a = mix64(hashes)
     step = (a >> np.uint64(32)) | np.uint64(1)
     with np.errstate(over="ignore"):
         rows = [(a + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)]
     return np.stack(rows).astype(np.int64)
 
 
-def _fill(bits: int):
+def _fill(bits: int, min_chars: int):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = np.zeros(bits, dtype=bool)
         twice = np.zeros(bits, dtype=bool)
         for batch in batches:
-            values = pa.array(batch.column(0).flatten()).to_numpy(zero_copy_only=False)
-            if not len(values):
-                continue
-            at, seen = np.unique(_probes(values.astype(np.int64), bits), return_counts=True)
-            twice[at] |= once[at] | (seen > 1)
-            once[at] = True
+            values = batch.column(0).to_pylist()
+            for start in range(0, len(values), BLOCK):
+                _, hashes = _hash_texts(values[start : start + BLOCK], min_chars)
+                at, seen = np.unique(_probes(hashes, bits), return_counts=True)
+                twice[at] |= once[at] | (seen > 1)
+                once[at] = True
         yield from _segments(np.packbits(once), np.packbits(twice))
 
     return fill
@@ -118,13 +128,13 @@ def bloom_bits(rows: int) -> int:
     return min(MAX_BITS, 1 << max(10, (BITS_PER_LINE * rows - 1).bit_length()))
 
 
-def filters(hash_lists: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The packed filters of hashes met at all and met again, of ``bits`` bits.
+def filters(texts: DataFrame, bits: int, min_chars: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The packed filters of line keys met at all and met again, of ``bits`` bits.
 
-    ``hash_lists`` has one column of lists of 64-bit hashes. What reaches the
-    driver is at most the two filters, whatever the input.
+    ``texts`` has one text column. What reaches the driver is at most the two
+    filters, whatever the input.
     """
-    partial = hash_lists.mapInArrow(_fill(bits), _FILTER_SCHEMA)
+    partial = texts.mapInArrow(_fill(bits, min_chars), _FILTER_SCHEMA)
     merged = partial.repartition("segment").mapInArrow(_merge, _FILTER_SCHEMA)
     width = min(SEGMENT_BYTES, bits // 8)
     once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
@@ -134,41 +144,66 @@ def filters(hash_lists: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return once, twice
 
 
-def tester(spark, packed: np.ndarray):
-    """A column function: which hashes of a list a filter holds, as flags."""
-    held = spark.sparkContext.broadcast(packed)
+def holds(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a filter holds; it may say so of some it was not given."""
+    hit = np.ones(len(hashes), dtype=bool)
+    for at in _probes(hashes, len(packed) * 8):
+        hit &= (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return hit
 
-    @F.pandas_udf("array<boolean>")
-    def test(lists: pd.Series) -> pd.Series:
-        bits = held.value
-        values, lengths = flat(lists, np.int64)
-        hit = np.ones(len(values), dtype=bool)
-        if len(values):
-            for at in _probes(values, len(bits) * 8):
-                hit &= (bits[at >> 3] >> (7 - (at & 7))) & 1 == 1
-        return pd.Series(np.split(hit, np.cumsum(lengths)[:-1]))
 
-    return test
+def _suspects(held, min_chars: int):
+    """(row, key) of the line keys that a filter holds."""
 
+    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for start in range(0, len(rows), BLOCK):
+                lists, hashes = _hash_texts(texts[start : start + BLOCK], min_chars)
+                hit = iter(holds(held.value, hashes).tolist())
+                found = [
+                    (row, key) for row, keys in zip(rows[start : start + BLOCK], lists) for key in keys if next(hit)
+                ]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": pa.array([r for r, _ in found], pa.string()),
+                        "key": pa.array([k.decode() for _, k in found], pa.string()),
+                    }
+                )
+
+    return suspects
+
+
+def _touched(held, min_chars: int) -> Column:
+    """Whether a filter holds any line key of the text."""
+
+    @F.pandas_udf("boolean")
+    def touched(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts), dtype=bool)
+        for start in range(0, len(texts), BLOCK):
+            lists, hashes = _hash_texts(texts.iloc[start : start + BLOCK].tolist(), min_chars)
+            owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            out[start + owner[holds(held.value, hashes)]] = True
+        return pd.Series(out)
 
-def _without(text: str, drops: str) -> Column:
-    """n_dropped and kept: a text without the lines whose keys are listed."""
+    return touched("text")
+
+
+def _without() -> Column:
+    """n_dropped and kept: the text without the lines whose keys are in __gone."""
 
     @F.pandas_udf("n_dropped long, kept string")
     def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
         counts, kept = [], []
         for one, gone in zip(texts, lists):
+            gone = {k.encode() for k in gone} if gone is not None else ()
             lines = (one or "").split("\n")
-            gone = set(gone) if gone is not None else ()
-            if gone:
-                rest = [x for x in lines if x.strip(SPACES).translate(_LOWER) not in gone]
-            else:
-                rest = lines
+            rest = [x for x, k in zip(lines, keys_of(one, 1)) if k not in gone] if gone else lines
             counts.append(len(lines) - len(rest))
             kept.append("\n".join(rest))
         return pd.DataFrame({"n_dropped": counts, "kept": kept})
 
-    return cut(text, drops)
+    return cut("text", "__gone")
 
 
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -177,46 +212,31 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     Keys of at least ``min_chars`` code points (1 or more) found in at least
     ``min_docs`` documents lose all their lines. ``docs`` is read several times.
     """
-    spark = docs.sparkSession
-    hashed = docs.select(_hashes(F.col("text"), min_chars).alias("h"))
-    n_keys = hashed.agg(F.sum(F.size("h"))).first()[0] or 0
-    bits = bloom_bits(n_keys)
-    _, twice = filters(hashed, bits)
-    suspect = tester(spark, twice)
+    context = docs.sparkSession.sparkContext
+    text = F.coalesce("text", F.lit(""))
+    n_lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    bits = bloom_bits(docs.agg(F.sum(n_lines)).first()[0] or 0)
+    _, twice = filters(docs.select("text"), bits, min_chars)
 
     # Exact confirmation: only suspected keys are shuffled.
     slim = docs.select(row_key("doc_id", "text").alias("row"), "text")
-    keys = F.array_distinct(
-        F.filter(F.transform(lines_of(F.col("text")), key_of), lambda k: F.length(k) >= min_chars)
-    )
-    marked = slim.withColumn("keys", keys).withColumn("hit", suspect(_hashes(F.col("text"), min_chars)))
-    pairs = marked.select(
-        "row",
-        F.explode(F.filter("keys", lambda k, i: F.element_at(F.col("hit"), i + 1))).alias("key"),
+    pairs = stage(
+        slim.mapInArrow(_suspects(context.broadcast(twice), min_chars), "row string, key string"), "suspects"
     )
-    pairs = stage(pairs, "suspects")
-    counted = pairs.groupBy("key").count().where(F.col("count") >= min_docs).select("key")
-    shared = stage(pairs.join(counted, "key", "left_semi"), "shared")
-    losses = shared.groupBy("row").agg(F.collect_set("key").alias("gone"))
+    condemned = stage(pairs.groupBy("key").count().where(F.col("count") >= min_docs).select("key"), "condemned")
+    losses = pairs.join(condemned, "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("__gone"))
 
     # A filter of the condemned keys tells which documents need the join.
-    condemned = counted.select(F.array(F.xxhash64("key")).alias("h"))
-    met, _ = filters(condemned, bits)
-    touched = F.exists(tester(spark, met)(_hashes(F.col("text"), min_chars)), lambda hit: hit)
-
+    met, _ = filters(condemned, bits, min_chars)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")]
-    whole = docs.select(*names).withColumn("__touched", touched)
-    n_lines = F.size(lines_of(F.col("text"))).cast("long").alias("n_lines")
-    clean = whole.where(~F.col("__touched")).select(
-        *names, n_lines, F.lit(0).cast("long").alias("n_dropped"),
-        F.coalesce("text", F.lit("")).alias("kept"),
-    )
-    losing = whole.where("__touched").withColumn("__row", row_key("doc_id", "text"))
-    losing = losing.join(
-        losses.select(F.col("row").alias("__row"), F.col("gone").alias("__gone")), "__row", "left"
+    marked = docs.select(*names).withColumn("__touched", _touched(context.broadcast(met), min_chars))
+    clean = marked.where(~F.col("__touched")).select(
+        *names, n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), text.alias("kept")
     )
-    cut = losing.withColumn("__cut", _without("text", "__gone")).select(
-        *names, n_lines, F.col("__cut.n_dropped"), F.col("__cut.kept")
+    losing = marked.where("__touched").withColumn("__row", row_key("doc_id", "text"))
+    losing = losing.join(losses.withColumnRenamed("row", "__row"), "__row", "left")
+    cut = losing.withColumn("__cut", _without()).select(
+        *names, n_lines.alias("n_lines"), F.col("__cut.n_dropped"), F.col("__cut.kept")
     )
     return clean.unionByName(cut)
 
