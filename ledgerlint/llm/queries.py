@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlint.llm import boilerplate, bpe, line_dedup, mixing, quality, quotes, toxicity
+from ledgerlint.llm import boilerplate, bpe, line_dedup, mixing, ngram_join, quality, quotes, toxicity
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
 
@@ -31,6 +31,10 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
     "op3_main_text": op3_main_text,
+    "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op9_quote_linking": op9_quote_linking,
