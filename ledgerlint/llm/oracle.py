@@ -34,7 +34,58 @@ def shared_lines(docs: str) -> str:
     return _SHARED.format(lines=_LINES.format(docs=docs))
 
 
+_COMPONENTS = """
+reach AS (
+    SELECT id, id AS r FROM node
+    UNION
+    SELECT reach.id, link.v FROM reach JOIN link ON reach.r = link.u
+),
+component AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)"""
+
+_NGRAMS = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+gram AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+    FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+link AS (
+    SELECT u, v FROM common JOIN size s ON u = s.doc_id JOIN size t ON v = t.doc_id
+    WHERE 100 * c >= 90 * (s.n + t.n - c)
+),
+node AS (SELECT DISTINCT doc_id AS id FROM documents),
+{_COMPONENTS}
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, component_id
+FROM documents d JOIN component ON d.doc_id = id LEFT JOIN size ON d.doc_id = size.doc_id"""
+
+_VECTORS = f"""
+WITH RECURSIVE vector AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+),
+link AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM vector a JOIN vector b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    AND list_cosine_similarity(a.e, b.e) >= 0.98
+),
+degree AS (SELECT u, count(*) AS n FROM link GROUP BY u),
+node AS (SELECT vec_id AS id FROM embeddings),
+{_COMPONENTS}
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON vec_id = id LEFT JOIN degree ON vec_id = u"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_ngram_join": _NGRAMS,
+    "op7_near_vectors": _VECTORS,
     "op5_line_dedup": f"WITH {shared_lines('documents')} "
     "SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept",
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlint.llm import boilerplate, bpe, line_dedup, mixing, ngram_join, quality, quotes, toxicity
+from ledgerlint.llm import (
+    boilerplate, bpe, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, toxicity,
+)
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
 
@@ -43,6 +45,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"), weights=(1, 2, 3), share=1.0, most=3.0)
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), step=20, k=20)
+
+
 def op9_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotes(table(spark, sf_dir, "conversations"))
 
@@ -58,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
+    "op7_near_vectors": op7_near_vectors,
+    "op8_hnsw": op8_hnsw,
     "op9_quote_linking": op9_quote_linking,
     "op10_toxicity": op10_toxicity,
 }
