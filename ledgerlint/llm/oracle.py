@@ -69,8 +69,8 @@ FROM documents d JOIN component ON d.doc_id = id LEFT JOIN size ON d.doc_id = si
 _VECTORS = f"""
 WITH RECURSIVE vector AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-    WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+    WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0
 ),
 link AS (
     SELECT a.vec_id AS u, b.vec_id AS v FROM vector a JOIN vector b

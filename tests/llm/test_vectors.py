@@ -15,7 +15,8 @@ def rows(seed=0, n=900, dim=24):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n, dim))
     for at, size in ((0, 150), (200, 20), (300, 2), (400, 3)):
-        base[at : at + size] = base[at] + 0.12 * rng.normal(size=(size, dim)) * np.linalg.norm(base[at]) / dim**0.5
+        if at + size <= n:
+            base[at : at + size] = base[at] + 0.12 * rng.normal(size=(size, dim)) * np.linalg.norm(base[at]) / dim**0.5
     out = [(int(i), [float(v) for v in x * (1 + i % 5)], int(i % 2) if i >= 450 else 0, 1, "x") for i, x in enumerate(base)]
     out += [
         (2000, None, 1, 1, "x"), (2001, [0.0] * dim, 1, 1, "x"), (2002, [float("nan")] * dim, 1, 1, "x"),
