@@ -12,10 +12,11 @@ Empty words agree without meaning anything. A sketch has a few words more than
 ``d + 1``; a set with fewer empty words than that never needs them. The others,
 which are small sets, are sketched again with another seed, on the same grounds.
 
-Links are found without pairing the members of a group. Documents with equal sets
-are one node. In each group of nodes that share a word, nodes are compared with
-the least one first, which connects most of a group of copies; what is then still
-in different components is compared until no candidate is left.
+Documents with equal sets are one node. In each group of nodes that share a word,
+nodes are compared with the least one first, which connects most of a group of
+copies. What is then still in different components is compared by a bit sketch,
+whose Hamming distance is a lower bound too; only pairs that it cannot tell apart
+are emitted and verified.
 
 Cases: null and empty texts have the empty set and link with nothing; a text with
 fewer words than ``n`` has its whole sequence as its one n-gram; equal texts are
@@ -45,6 +46,8 @@ REMEMBERED = 400_000
 SEEDS = 12
 #: Comparisons with one node of each group before all that is left is compared.
 STAR_ROUNDS = 2
+#: Bits of the sketch that candidates are compared by.
+BITS = 1024
 
 
 class _Words(dict):
@@ -157,6 +160,14 @@ def sketch_keys(value: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, bands:
     return np.concatenate(keys), np.concatenate(names)
 
 
+def bit_sketches(value: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Parity of the n-grams that fall on each bit, as 64-bit integers end to end."""
+    at = (mix64(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(BITS)).astype(np.int64)
+    at += np.repeat(np.arange(len(sizes)) * BITS, sizes)
+    parity = (np.bincount(at, minlength=len(sizes) * BITS) & 1).astype(np.uint8)
+    return np.packbits(parity).view(np.int64)
+
+
 def _members(n: int):
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -234,7 +245,12 @@ def _sets(n: int):
                 value, sizes = ngram_sets(texts[at : at + BLOCK], n, words)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
                 grams = pa.ListArray.from_arrays(offsets, pa.array(value.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([nodes.slice(at, len(sizes)), grams], names=["node", "grams"])
+                bits = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(sizes) + 1) * (BITS // 64), pa.int32()), pa.array(bit_sketches(value, sizes))
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.slice(at, len(sizes)), grams, bits], names=["node", "grams", "bits"]
+                )
                 if len(words) > REMEMBERED:
                     words.clear()
 
@@ -274,7 +290,7 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
     texts = docs.select(row_key("doc_id", "text").alias("__row"), "text")
     lent = texts.join(one, "__row").select("node", "text")
     sets = stage(
-        lent.mapInArrow(_sets(n), "node long, grams array<long>").withColumn("size", F.size("grams")).dropDuplicates(["node"]),
+        lent.mapInArrow(_sets(n), "node long, grams array<long>, bits array<long>").withColumn("size", F.size("grams")).dropDuplicates(["node"]),
         "sets",
     )
     known = spark.createDataFrame([], "u long, v long, linked boolean")
@@ -290,11 +306,18 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
             pairs = near.groupBy(F.col("node").alias("a")).agg(F.min("hub").alias("hub"))
             pairs = pairs.select(F.least("a", "hub.node").alias("u"), F.greatest("a", "hub.node").alias("v")).distinct()
         else:
-            sized = here.join(hubs.select("key"), "key", "left_semi").join(sets.select("node", "size"), "node")
-            a = sized.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("size").alias("su"))
-            b = sized.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("size").alias("sv"))
-            alike = (F.least("su", "sv") * den >= F.greatest("su", "sv") * num) & (F.col("cu") != F.col("cv"))
-            pairs = a.join(b, "key").where((F.col("u") < F.col("v")) & alike).select("u", "v").distinct()
+            sized = here.join(hubs.select("key"), "key", "left_semi").join(sets.select("node", "size", "bits"), "node")
+            a = sized.select("key", *(F.col(c).alias(f"{c}_u") for c in ("node", "component", "size", "bits")))
+            b = sized.select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "component", "size", "bits")))
+            apart = (F.col("node_u") < F.col("node_v")) & (F.col("component_u") != F.col("component_v"))
+            sizes = F.col("size_u") + F.col("size_v")
+            alike = F.least("size_u", "size_v") * den >= F.greatest("size_u", "size_v") * num
+            differing = F.aggregate(
+                F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y
+            )
+            near = differing * (den + num) <= sizes * (den - num)
+            pairs = a.join(b, "key").where(apart & alike & near)
+            pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"), "pairs")
         checked = stage(_verified(pairs, sets, num, den), "checked")
         known = known.unionByName(checked)
