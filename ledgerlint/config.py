@@ -11,6 +11,8 @@ from typing import Any
 class CleaningConfig:
     """Parameters of the cleaning run.
 
+    ``isolation_trees`` trees of ``isolation_depth`` levels are trained on
+    ``isolation_tree_rows`` sale lines each;
     ``date_min`` / ``date_max`` bound the final date assertion;
     ``dedupe_exclude`` names columns that exact-duplicate removal ignores.
     """
@@ -19,6 +21,9 @@ class CleaningConfig:
     price_cap_q: float = 0.99
     basket_cap_q: float = 0.995
     isolation_contam: float = 0.001
+    isolation_trees: int = 100
+    isolation_tree_rows: int = 256
+    isolation_depth: int = 8
     seed: int = 42
     date_min: str = "2009-12-01 00:00:00"
     date_max: str = "2011-12-09 23:59:59"

@@ -26,13 +26,13 @@ def invoice_basket_metric(lines: DataFrame) -> DataFrame:
     return per_invoice.withColumn("basket_value", value)
 
 
-def lines_with_basket(lines: DataFrame) -> DataFrame:
+def lines_with_basket(lines: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Lines with the basket value of their invoice.
 
     Reads ``lines`` several times: pass a stored table.
     """
     metric = invoice_basket_metric(lines).select("invoice", "basket_value", "line_count")
-    return attach_group_values(lines, stage(metric, "metric"), ["invoice"], "line_count")
+    return attach_group_values(lines, stage(metric, "metric"), ["invoice"], "line_count", hot_rows)
 
 
 def basket_rollup(lines: DataFrame) -> DataFrame:

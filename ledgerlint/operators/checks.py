@@ -73,10 +73,11 @@ def schema_match(a: DataFrame, b: DataFrame, source: str) -> DataFrame:
 
 
 def final_assertions(lines: DataFrame, config: CleaningConfig) -> DataFrame:
-    """``(check, violations, passed)`` for the cleaned table.
+    """``(check, violations, passed, observed)`` for the cleaned table.
 
     One aggregate per key, then one over all keys. A null date violates the
-    date range; a null price does not violate the price rule.
+    date range; a null price does not violate the price rule. ``observed`` is the
+    range of dates found.
     """
     date = F.col("invoicedate")
     in_range = p.holds(
@@ -89,6 +90,8 @@ def final_assertions(lines: DataFrame, config: CleaningConfig) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(p.is_nonpositive_price_sale()).alias("bad_price"),
         F.count_if(~in_range).alias("bad_date"),
+        F.min(date).alias("first_date"),
+        F.max(date).alias("last_date"),
     )
 
     def total(column: Column) -> Column:
@@ -99,12 +102,15 @@ def final_assertions(lines: DataFrame, config: CleaningConfig) -> DataFrame:
         "positive_sale_price": total(F.col("bad_price")),
         "date_in_range": total(F.col("bad_date")),
     }
-    row = per_key.agg(*(v.alias(k) for k, v in violations.items()))
+    stamps = (F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in (F.min("first_date"), F.max("last_date")))
+    row = per_key.agg(*(v.alias(k) for k, v in violations.items()), F.concat_ws(" to ", *stamps).alias("span"))
+    observed = {"date_in_range": F.col("span")}
     entries = [
         F.struct(
             F.lit(name).alias("check"),
             F.col(name).alias("violations"),
             (F.col(name) == 0).alias("passed"),
+            observed.get(name, F.lit("")).alias("observed"),
         )
         for name in violations
     ]

@@ -1,26 +1,27 @@
 """Tables behind the distribution charts.
 
-All functions take a *stored* long table ``(variable, value, weight)``. An
-invoice-level value appears once, weighted by its number of lines, instead of
-being joined back to every line.
+All functions take a *stored* long table ``(variable, value, weight)`` with one
+row for each distinct value, weighted by its number of lines. An invoice-level
+value is weighted by the lines of its invoices, not joined back to them.
 """
 
 from __future__ import annotations
 
 from functools import partial
-from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.config import HISTOGRAM_BINS
 from ledgerlint.functions.columns import finite
+from ledgerlint.functions.normal import normal_quantile
 from ledgerlint.operators.baskets import invoice_basket_metric
 from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
 from ledgerlint.sources.staging import stage
 
 VARIABLES = ("Quantity", "Unit Price", "Basket Value")
-QQ_POINTS = 200
+#: Ranks that one row stands for while their quantiles are summed.
+RANK_RUN = 65_536
 
 
 def distribution_values(lines: DataFrame) -> DataFrame:
@@ -38,7 +39,12 @@ def distribution_values(lines: DataFrame) -> DataFrame:
     values = line_level.unionByName(invoice_level).select(
         finite(F.col("value")).alias("value"), "weight", "variable"
     )
-    return stage(values.dropna(), "values", partition_by=["variable"])
+    return _stored(values.dropna())
+
+
+def _stored(values: DataFrame) -> DataFrame:
+    distinct = values.groupBy("variable", "value").agg(F.sum("weight").alias("weight"))
+    return stage(distinct.select("value", "weight", "variable"), "values", partition_by=["variable"])
 
 
 def basket_distribution(baskets: DataFrame, name: str = "Sales Basket") -> DataFrame:
@@ -48,7 +54,7 @@ def basket_distribution(baskets: DataFrame, name: str = "Sales Basket") -> DataF
         F.lit(1).cast("long").alias("weight"),
         F.lit(name).alias("variable"),
     )
-    return stage(values, "values", partition_by=["variable"])
+    return _stored(values)
 
 
 def _variables(values: DataFrame) -> list[tuple[str, float, float, int]]:
@@ -160,43 +166,74 @@ def boxplot_stats(values: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFram
     )
 
 
-def _plot_position(i: int, n: int) -> float:
-    """Filliben's median of the ``i``-th of ``n`` uniform order statistics."""
-    if i in (1, n):
-        last = 0.5 ** (1.0 / n)
-        return last if i == n else 1.0 - last
-    return (i - 0.3175) / (n + 0.365)
+def value_ranks(values: DataFrame) -> DataFrame:
+    """``values`` with the first and last rank of each value in its variable.
+
+    Values are range-partitioned; a running sum within each part is shifted by
+    the weight of the parts before it, of which there is one row each.
+    """
+    parts = stage(
+        values.repartitionByRange("variable", "value").withColumn("part", F.spark_partition_id()), "parts"
+    )
+    sums = parts.groupBy("variable", "part").agg(F.sum("weight").alias("inside"))
+    before = Window.partitionBy("variable").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("variable", "part", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("offset"))
+    running = F.sum("weight").over(Window.partitionBy("variable", "part").orderBy("value"))
+    return (
+        parts.withColumn("running", running)
+        .join(offsets, ["variable", "part"])
+        .withColumn("last_rank", F.col("offset") + F.col("running"))
+        .withColumn("first_rank", F.col("last_rank") - F.col("weight") + 1)
+        .select("variable", "value", "weight", "first_rank", "last_rank")
+    )
+
+
+def plot_position(rank: Column, n: Column) -> Column:
+    """Filliben's median of the order statistic of a rank among ``n`` uniform values."""
+    last = F.pow(F.lit(0.5), F.lit(1.0) / n)
+    return (
+        F.when(rank == n, last).when(rank == 1, 1.0 - last).otherwise((rank - 0.3175) / (n + 0.365))
+    )
 
 
-def qq_points(
-    values: DataFrame, points: int = QQ_POINTS, direct_rows: int = DIRECT_ROWS
-) -> DataFrame:
+def qq_points(values: DataFrame) -> DataFrame:
     """Normal Q-Q points with the fitted line, per variable.
 
-    Up to ``points`` rows every value is a point; beyond that the points are
-    exact quantiles on a fixed grid. A variable needs more than three values.
+    One point for each distinct value, with its ranks and the mean of their
+    theoretical quantiles. Slope, intercept and r are fitted to all values, each
+    rank with its own quantile. A variable needs more than three values.
     """
-    spark = values.sparkSession
-    positions, probs = {}, {}
-    for name, _, _, n in _variables(values):
-        if n <= 3:
-            continue
-        count = min(n, points)
-        positions[name] = [_plot_position(i, count) for i in range(1, count + 1)]
-        every = [i / (n - 1) for i in range(count)]
-        probs[name] = every if n <= points else positions[name]
-    normal = NormalDist()
-    rows = [
-        (name, i, normal.inv_cdf(p), x)
-        for name, sample in _quantiles_of(values, probs, direct_rows).items()
-        for i, (p, x) in enumerate(zip(positions[name], sample), 1)
-    ]
-    plotted = spark.createDataFrame(
-        rows, "variable string, point int, theoretical double, sample double"
+    sizes = values.groupBy("variable").agg(F.sum("weight").alias("n")).where("n > 3")
+    ranked = value_ranks(values.join(sizes.select("variable"), "variable", "left_semi"))
+    # A value with many copies is cut into runs before its ranks are spelled out.
+    runs = ranked.join(sizes, "variable").withColumn(
+        "start", F.explode(F.sequence("first_rank", "last_rank", F.lit(RANK_RUN)))
     )
-    line = plotted.groupBy("variable").agg(
-        F.regr_slope("sample", "theoretical").alias("slope"),
-        F.regr_intercept("sample", "theoretical").alias("intercept"),
-        F.corr("sample", "theoretical").alias("r"),
+    ranks = runs.withColumn(
+        "rank", F.explode(F.sequence("start", F.least(F.col("start") + (RANK_RUN - 1), F.col("last_rank"))))
+    ).withColumn("t", normal_quantile(plot_position(F.col("rank"), F.col("n"))))
+    points = stage(
+        ranks.groupBy("variable", "value", "first_rank", "last_rank").agg(
+            F.sum("t").alias("t"), F.sum(F.col("t") * F.col("t")).alias("tt"), F.count("t").alias("w")
+        ),
+        "points",
+    )
+    x, t, w = F.col("value"), F.col("t"), F.col("w")
+    moments = points.groupBy("variable").agg(
+        F.sum(w).alias("n"), F.sum(x * w).alias("sx"), F.sum(t).alias("st"), F.sum("tt").alias("stt"),
+        F.sum(x * t).alias("sxt"),
+    ).withColumn("mean", F.col("sx") / F.col("n"))
+    spread = points.join(moments.select("variable", "mean"), "variable").groupBy("variable").agg(
+        F.sum(w * (x - F.col("mean")) * (x - F.col("mean"))).alias("dxx")
+    )
+    both = F.col("sxt") - F.col("st") * F.col("mean")
+    dtt = F.col("stt") - F.col("st") * F.col("st") / F.col("n")
+    line = moments.join(spread, "variable").select(
+        "variable",
+        F.try_divide(both, dtt).alias("slope"),
+        (F.col("mean") - F.try_divide(both, dtt) * F.col("st") / F.col("n")).alias("intercept"),
+        F.try_divide(both, F.sqrt(dtt * F.col("dxx"))).alias("r"),
     )
-    return plotted.join(line, "variable")
+    return points.select(
+        "variable", F.col("value").alias("sample"), "first_rank", "last_rank", (t / w).alias("theoretical")
+    ).join(line, "variable")

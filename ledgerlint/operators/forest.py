@@ -1,7 +1,7 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) over sale lines.
 
-Training needs 256 rows per tree whatever the size of the input, so it uses a
-bounded seeded pool. Scoring is a vectorised function over all lines; the trees
+Each tree is trained on its own seeded draw of 256 sale lines, whatever the size
+of the input. Scoring is a vectorised function over all lines; the trees
 it carries have a fixed size. The removal threshold is an exact quantile.
 """
 
@@ -25,8 +25,8 @@ FEATURES = ("quantity", "price", "basket_value")
 TREES = 100
 TREE_ROWS = 256
 DEPTH = 8
-NODES = 2 ** (DEPTH + 1) - 1
-POOL_ROWS = TREES * TREE_ROWS
+#: Lines that are dealt to a tree for each one that trains it.
+OVERSAMPLING = 4
 SCORE = "outlier_score"
 
 _TREE_SCHEMA = "tree int, feature array<int>, split array<double>, path array<double>"
@@ -39,38 +39,26 @@ def _features() -> list[Column]:
     return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]
 
 
-def training_pool(sales: DataFrame, seed: int) -> DataFrame:
-    """The ``POOL_ROWS`` sale lines with the smallest seeded key hash."""
-    mixed = F.xxhash64(F.lit(seed), "invoice", "stockcode")
-    hashed = sales.select(mixed.alias("h"), *_features())
-    n = sales.count()
-    # Hashes are uniform on 64 bits: cut most rows off before the top-k, so
-    # that its last stage does not receive a full pool from every task.
-    share = min(1.0, 4.0 * POOL_ROWS / max(n, 1))
-    if share < 1.0:
-        near = stage(hashed.where(F.col("h") < int(-(2**63) + share * 2**64)), "pool")
-        if near.count() >= POOL_ROWS:
-            hashed = near
-    return hashed.orderBy("h", *FEATURES).limit(POOL_ROWS)
+def deal(sales: DataFrame, seed: int, trees: int = TREES, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """``(tree, draw, features)``: the rows each tree is trained on.
 
-
-def deal(pool: DataFrame, seed: int) -> DataFrame:
-    """Give each tree its rows: dealt out when enough, else drawn per tree.
-
-    A pool too small to deal is drawn from again for every tree; it has fewer
-    than ``POOL_ROWS`` rows, so the copies are bounded by a constant.
+    Every sale line joins each tree with the same probability, which leaves
+    ``OVERSAMPLING`` times the wanted rows; it joins a run of trees that starts at
+    a hashed place. Of the lines of a tree, those of the smallest hashes stay.
+    One rule for every size; only lines that join a tree are shuffled.
     """
-    pool = stage(pool, "pool")
-    if pool.count() >= POOL_ROWS:
-        rank = F.row_number().over(Window.orderBy("h", *FEATURES))
-        return pool.withColumn("tree", (rank % TREES).cast("int"))
-    copies = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-    draw = Window.partitionBy("tree").orderBy(
-        F.xxhash64(F.lit(seed), "tree", "h", *FEATURES)
-    )
-    return copies.withColumn("draw", F.row_number().over(draw)).where(
-        F.col("draw") <= TREE_ROWS
-    )
+    share = min(1.0, OVERSAMPLING * tree_rows / max(sales.count(), 1))
+    # No computed value: its last digit may depend on the order of a sum.
+    h = F.xxhash64(F.lit(seed), "invoice", "stockcode", "quantity")
+    rows = sales.select(h.alias("h"), *_features())
+    part = (F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(1 << 53)) / float(1 << 53)).cast("double")
+    joins = F.floor(F.lit(trees * share) + part).cast("int")
+    rows = rows.withColumn("joins", F.least(joins, F.lit(trees))).where(F.col("joins") > 0)
+    rows = rows.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("joins") - 1)))
+    start = F.pmod(F.xxhash64(F.lit(2), "h"), F.lit(trees))
+    rows = rows.withColumn("tree", F.pmod(start + F.col("step"), F.lit(trees)).cast("int"))
+    smallest = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(3), "tree", "h"), *FEATURES)
+    return rows.withColumn("draw", F.row_number().over(smallest)).where(F.col("draw") <= tree_rows)
 
 
 def _expected_path(n: int) -> float:
@@ -82,15 +70,16 @@ def _expected_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
 
 
-def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
-    """One random tree over at most ``TREE_ROWS`` rows, as a heap of nodes."""
+def _grow(rows: pd.DataFrame, seed: int, depth_limit: int) -> pd.DataFrame:
+    """One random tree over its few rows, as a heap of nodes."""
     tree = int(rows["tree"].iloc[0])
     points = rows[list(FEATURES)].to_numpy()
     points = points[np.lexsort(points.T)]
     rng = np.random.default_rng([seed, tree])
-    feature = np.full(NODES, -1)
-    split, path = np.zeros(NODES), np.zeros(NODES)
-    limit = min(DEPTH, math.ceil(math.log2(max(len(points), 2))))
+    nodes = 2 ** (depth_limit + 1) - 1
+    feature = np.full(nodes, -1)
+    split, path = np.zeros(nodes), np.zeros(nodes)
+    limit = min(depth_limit, math.ceil(math.log2(max(len(points), 2))))
     open_nodes = [(0, 0, points)]
     while open_nodes:
         node, depth, part = open_nodes.pop()
@@ -110,13 +99,13 @@ def _grow(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
     )
 
 
-def grow_forest(dealt: DataFrame, seed: int) -> list:
-    """Train all trees, one group per tree; ``TREES`` rows reach the driver."""
+def grow_forest(dealt: DataFrame, seed: int, trees: int = TREES, depth: int = DEPTH) -> list:
+    """Train all trees, one group per tree; one row for each reaches the driver."""
     # A fixed number of partitions, or the few small groups end up in one task.
     cores = dealt.sparkSession.sparkContext.defaultParallelism
-    spread = dealt.select("tree", *FEATURES).repartition(min(TREES, cores), "tree")
+    spread = dealt.select("tree", *FEATURES).repartition(min(trees, cores), "tree")
     grown = spread.groupBy("tree").applyInPandas(
-        lambda rows: _grow(rows, seed), _TREE_SCHEMA
+        lambda rows: _grow(rows, seed, depth), _TREE_SCHEMA
     )
     return sorted(grown.collect(), key=lambda r: r["tree"])
 
@@ -128,7 +117,8 @@ def score_column(forest: list, rows_per_tree: int) -> Column:
     # A leaf leads to itself: no value exceeds its split.
     leaf = feature < 0
     split = np.where(leaf, np.inf, np.array([t["split"] for t in forest]))
-    nodes = np.arange(NODES)
+    nodes = np.arange(feature.shape[1])
+    depth_limit = int(math.log2(feature.shape[1] + 1)) - 1
     left = np.where(leaf, nodes, 2 * nodes + 1)
     feature = np.where(leaf, 0, feature)
     norm = _expected_path(rows_per_tree) or 1.0
@@ -143,7 +133,7 @@ def score_column(forest: list, rows_per_tree: int) -> Column:
         for tree_feature, tree_split, tree_left, tree_path in zip(feature, split, left, path):
             offset = tree_feature * n
             node = np.zeros(n, dtype=np.int64)
-            for _ in range(DEPTH):
+            for _ in range(depth_limit):
                 value = points.take(offset.take(node) + row)
                 node = tree_left.take(node) + (value > tree_split.take(node))
             depth += tree_path.take(node)
@@ -154,15 +144,16 @@ def score_column(forest: list, rows_per_tree: int) -> Column:
     return score(~p.is_credit(), *_features())
 
 
-def score_lines(lines: DataFrame, seed: int) -> DataFrame:
+def score_lines(
+    lines: DataFrame, seed: int, trees: int = TREES, tree_rows: int = TREE_ROWS, depth: int = DEPTH
+) -> DataFrame:
     """``lines`` with ``outlier_score``; null on credit lines."""
     sales = lines.where(~p.is_credit())
-    pool = training_pool(sales, seed)
-    dealt = deal(pool, seed)
-    forest = grow_forest(dealt, seed)
+    dealt = stage(deal(sales, seed, trees, tree_rows), "dealt")
+    forest = grow_forest(dealt, seed, trees, depth)
     if not forest:
         return lines.withColumn(SCORE, F.lit(None).cast("double"))
-    rows_per_tree = min(TREE_ROWS, sales.limit(TREE_ROWS).count())
+    rows_per_tree = dealt.groupBy("tree").count().agg(F.max("count")).first()[0]
     return lines.withColumn(SCORE, score_column(forest, rows_per_tree))
 
 
@@ -175,7 +166,12 @@ def remove_outliers(
     """
     if not config.isolation_contam:
         return lines
-    scored = stage(score_lines(lines, config.seed), "scored")
+    scored = stage(
+        score_lines(
+            lines, config.seed, config.isolation_trees, config.isolation_tree_rows, config.isolation_depth
+        ),
+        "scored",
+    )
     (threshold,) = exact_quantiles(
         scored, SCORE, [1.0 - config.isolation_contam], direct_rows=direct_rows
     )

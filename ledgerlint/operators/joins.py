@@ -20,7 +20,7 @@ def complete(keys: Sequence[str]) -> Column:
 
 
 def attach_group_values(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Left join of ``rows`` with ``groups``, which has one row per key.
 
@@ -28,8 +28,8 @@ def attach_group_values(
     A shuffle join would send a hot group to one task, and adaptive skew
     handling does not reach below an aggregate. So groups with more than a
     ``HOT_GROUPS``-th of all rows are broadcast: by their sizes there are fewer
-    than ``HOT_GROUPS`` of them, whatever the data. Groups of up to ``HOT_ROWS``
-    rows never count as hot. All other rows are joined by shuffle, and rows
+    than ``HOT_GROUPS`` of them, whatever the data. Groups of up to ``hot_rows``
+    (by default ``HOT_ROWS``) rows never count as hot. All other rows are joined by shuffle, and rows
     without a key are not joined at all.
 
     Both inputs are read several times: pass stored tables.
@@ -37,7 +37,7 @@ def attach_group_values(
     keys = list(keys)
     values = [f for f in groups.schema.fields if f.name not in (*keys, size)]
     total = groups.agg(F.sum(size)).first()[0] or 0
-    is_hot = F.col(size) > F.lit(max(total // HOT_GROUPS, HOT_ROWS))
+    is_hot = F.col(size) > F.lit(max(total // HOT_GROUPS, HOT_ROWS if hot_rows is None else hot_rows))
     cold = groups.where(~is_hot).drop(size)
     keyed = rows.where(complete(keys))
     loose = rows.where(~complete(keys)).withColumns(

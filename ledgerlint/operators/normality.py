@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.config import NORMALITY_ALPHA, NORMALITY_SAMPLE
 from ledgerlint.functions.columns import finite
-from ledgerlint.operators.baskets import invoice_basket_metric
+from ledgerlint.operators.baskets import lines_with_basket
 from ledgerlint.operators.distribution import VARIABLES
 from ledgerlint.sources.staging import stage
 
@@ -69,48 +69,46 @@ def p_value(w: float, n: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def draw_of(seed: int) -> Column:
+    """A line's draw: a seeded hash of its key, the same under any partitioning."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("invoice", "stockcode", "quantity")]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+
+
 def sample_values(
     lines: DataFrame, limit: int = NORMALITY_SAMPLE, seed: int = 42
 ) -> DataFrame:
-    """``(variable, value)``: up to ``limit`` lines of each variable at random.
+    """``(variable, value)``: the ``limit`` finite values of the smallest draws, per variable.
 
-    Each line draws one number. Lines below a cut that leaves about three
-    times ``limit`` are stored, and the smallest draws win. Basket values are
-    then computed only for the invoices of drawn lines. ``lines`` is read
-    three times: pass a stored table.
+    Lines below a cut that leaves about three times ``limit`` of a variable are
+    stored, and the smallest draws win; equal draws go by value. Copies share a
+    draw, so a cut may leave too few: it is then widened. ``lines`` is read
+    several times: pass a stored table.
     """
-    present = {
-        "Quantity": F.col("quantity").isNotNull(),
-        "Unit Price": finite(F.col("price")).isNotNull(),
-        "Basket Value": F.col("invoice").isNotNull(),
-    }
-    sizes = lines.agg(*(F.count_if(c).alias(v) for v, c in present.items())).first()
-    wanted = F.lit(False)
-    for variable, condition in present.items():
-        cut = min(1.0, OVERSAMPLING * limit / max(sizes[variable], 1))
-        wanted = wanted | (condition & (F.col("draw") < cut))
-    drawn = stage(
-        lines.select("invoice", "quantity", "price")
-        .withColumn("draw", F.rand(seed))
-        .where(wanted),
+    valued = stage(
+        lines_with_basket(lines.select("invoice", "stockcode", "quantity", "price")).select(
+            draw_of(seed).alias("draw"),
+            F.col("quantity").cast("double").alias("Quantity"),
+            finite(F.col("price")).alias("Unit Price"),
+            finite(F.col("basket_value")).alias("Basket Value"),
+        ),
         "drawn",
-    )
-    # Bounded: about OVERSAMPLING * limit lines per variable.
-    invoices = F.broadcast(drawn.select("invoice").distinct())
-    baskets = invoice_basket_metric(lines.join(invoices, "invoice", "left_semi"))
+    ).withColumn("at", F.conv(F.substring("draw", 1, 8), 16, 10).cast("long"))
+    sizes = valued.agg(*(F.count(v).alias(v) for v in VARIABLES)).first()
+    cuts = {v: min(1.0, OVERSAMPLING * limit / max(sizes[v], 1)) for v in VARIABLES}
+    while True:
+        near = {v: F.col("at") < int(cuts[v] * 2**32) for v in VARIABLES}
+        left = valued.agg(*(F.count(F.when(near[v], F.col(v))).alias(v) for v in VARIABLES)).first()
+        short = [v for v in VARIABLES if left[v] < min(limit, sizes[v])]
+        if not short:
+            break
+        cuts.update({v: min(1.0, 4 * cuts[v]) for v in short})
     long = (
-        drawn.join(baskets.select("invoice", "basket_value"), "invoice", "left")
-        .select(
-            "draw",
-            F.col("quantity").cast("double").alias("Quantity"),
-            F.col("price").alias("Unit Price"),
-            F.col("basket_value").alias("Basket Value"),
-        )
+        valued.select("draw", *(F.when(near[v], F.col(v)).alias(v) for v in VARIABLES))
         .unpivot(["draw"], list(VARIABLES), "variable", "value")
-        .withColumn("value", finite(F.col("value")))
         .dropna(subset=["value"])
     )
-    smallest = Window.partitionBy("variable").orderBy("draw")
+    smallest = Window.partitionBy("variable").orderBy("draw", "value")
     return (
         long.withColumn("n", F.row_number().over(smallest))
         .where(F.col("n") <= limit)
@@ -160,15 +158,15 @@ def normality_tests(
 ) -> DataFrame:
     """One row per variable; without enough values only a note is given."""
     spark = lines.sparkSession
-    tested = {
-        r["variable"]: r
-        for r in shapiro_wilk(sample_values(lines, limit, seed)).collect()
-    }  # three rows
+    sample = stage(sample_values(lines, limit, seed), "sample")
+    counts = {r["variable"]: r["count"] for r in sample.groupBy("variable").count().collect()}
+    tested = {r["variable"]: r for r in shapiro_wilk(sample).collect()}  # three rows
     rows = []
     for variable in VARIABLES:
         r = tested.get(variable)
         if r is None:
-            rows.append((variable, None, None, "N/A", None, "Insufficient data for test"))
+            note = "Insufficient data for test" if counts.get(variable) else "No valid data"
+            rows.append((variable, None, None, "N/A", None, note))
             continue
         prob = p_value(r["statistic"], r["sample_size"])
         verdict = "No" if prob < NORMALITY_ALPHA else "Yes"

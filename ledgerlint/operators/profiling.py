@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,27 +86,26 @@ def high_null_columns(lines: DataFrame) -> DataFrame:
 
 
 def unique_counts(lines: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column.
+    """Distinct non-null values per column. Reads ``lines`` once per column.
 
-    Exact counts combine (column, value) on the map side, so a frequent value
-    costs one row per task. ``approximate`` uses a fixed-size sketch per column
-    and shuffles nothing else.
+    Each column is counted on its own, so a pass over a stored table reads one
+    column and a frequent value costs one row per task. ``approximate`` uses a
+    fixed-size sketch per column and shuffles nothing else.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    row = lines.agg(
-        F.count(F.lit(1)).alias("total"),
-        *(distinct(c).alias(f"u{i}") for i, c in enumerate(lines.columns)),
+    count = F.count(F.lit(1))
+
+    def column(c: str) -> DataFrame:
+        if approximate:
+            return lines.agg(F.approx_count_distinct(c).alias("unique_count"), count.alias("total_count"))
+        values = lines.groupBy(F.col(c).alias("v")).agg(count.alias("n"))
+        total = F.coalesce(F.sum("n"), F.lit(0))
+        return values.agg(F.count("v").alias("unique_count"), total.alias("total_count"))
+
+    found = [column(c).select(F.lit(c).alias("column_name"), "*") for c in lines.columns]
+    return reduce(DataFrame.unionByName, found).select(
+        "column_name", "unique_count", pct(F.col("unique_count"), F.col("total_count")).alias("unique_pct"),
+        "total_count",
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"u{i}").alias("unique_count"),
-            pct(F.col(f"u{i}"), F.col("total")).alias("unique_pct"),
-            F.col("total").alias("total_count"),
-        )
-        for i, c in enumerate(lines.columns)
-    ]
-    return row.select(F.inline(F.array(*entries)))
 
 
 def sanity_conditions() -> dict[str, Column]:

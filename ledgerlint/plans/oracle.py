@@ -11,8 +11,11 @@ from ledgerlint.config import (
     CAP_LABELS,
     EU_COUNTRIES,
     HISTOGRAM_BINS,
+    NORMALITY_SAMPLE,
     WATERFALL_STEPS,
 )
+from ledgerlint.functions import normal
+from ledgerlint.operators import normality
 from ledgerlint.plans.queries import CONFIG, SALT
 from ledgerlint.sources.schema import LINE_COLUMNS
 
@@ -242,13 +245,18 @@ def _assertions(source: str) -> str:
         "positive_sale_price": f"(SELECT count(*) FROM {source} WHERE {bad_price})",
         "date_in_range": f"(SELECT count(*) FROM {source} WHERE NOT {in_range})",
     }
+    span = (
+        "(SELECT strftime(min(invoicedate), '%Y-%m-%d %H:%M:%S') || ' to ' || "
+        f"strftime(max(invoicedate), '%Y-%m-%d %H:%M:%S') FROM {source})"
+    )
     rows = _union(
         [
-            f"SELECT '{name}' AS \"check\", CAST({n} AS BIGINT) AS violations"
+            f"SELECT '{name}' AS \"check\", CAST({n} AS BIGINT) AS violations, "
+            f"{span if name == 'date_in_range' else chr(39) * 2} AS observed"
             for name, n in counts.items()
         ]
     )
-    return f"SELECT \"check\", violations, violations = 0 AS passed FROM ({rows})"
+    return f"SELECT \"check\", violations, violations = 0 AS passed, observed FROM ({rows})"
 
 
 def _load_checks(year: str) -> str:
@@ -433,6 +441,106 @@ SELECT variable, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS
 FROM f JOIN w USING (variable)"""
 
 
+def _horner(coefficients: tuple[float, ...], x: str) -> str:
+    out = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} * {x} + {c!r})"
+    return f"({out})".replace("e-", "E-")
+
+
+def _normal_quantile(p: str) -> str:
+    """The formula of ``normal_quantile``; ``p`` is used many times: name a column."""
+    r = f"sqrt(-ln(least({p}, 1e0 - {p})))"
+
+    def ratio(table: tuple, x: str) -> str:
+        return f"{_horner(table[0], x)} / {_horner(table[1], x)}"
+
+    return (
+        f"CASE WHEN abs({p} - 0.5e0) <= 0.425e0 THEN ({p} - 0.5e0) * "
+        f"{ratio(normal.CENTRE, f'(0.180625e0 - ({p} - 0.5e0) * ({p} - 0.5e0))')} "
+        f"ELSE sign({p} - 0.5e0) * CASE WHEN {r} <= 5e0 THEN {ratio(normal.NEAR_TAIL, f'({r} - 1.6e0)')} "
+        f"ELSE {ratio(normal.FAR_TAIL, f'({r} - 5e0)')} END END"
+    )
+
+
+QQ_POINTS = f"""
+WITH {TX}{VALUES},
+ranked AS (
+  SELECT variable, value, row_number() OVER (PARTITION BY variable ORDER BY value) AS i,
+         count(*) OVER (PARTITION BY variable) AS n
+  FROM vals
+),
+placed AS (
+  SELECT *, CASE WHEN i = n THEN pow(0.5e0, 1e0 / n) WHEN i = 1 THEN 1e0 - pow(0.5e0, 1e0 / n)
+                 ELSE (i - 0.3175e0) / (n + 0.365e0) END AS p
+  FROM ranked WHERE n > 3
+),
+quantiles AS (SELECT *, {_normal_quantile("p")} AS t FROM placed),
+line AS (
+  SELECT variable, regr_slope(value, t) AS slope, regr_intercept(value, t) AS intercept,
+         corr(value, t) AS r
+  FROM quantiles GROUP BY variable
+)
+SELECT q.variable, round(value, 7) AS sample, min(i) AS first_rank, max(i) AS last_rank,
+       round(avg(t), 6) + 0e0 AS theoretical, round(any_value(slope), 4) AS slope,
+       round(any_value(intercept), 4) AS intercept, round(any_value(r), 6) AS r
+FROM quantiles q JOIN line USING (variable) GROUP BY q.variable, value"""
+
+
+def _poly_sql(coefficients: tuple[float, ...], u: str) -> str:
+    return " + ".join(f"({c!r}) * pow({u}, {i})" for i, c in enumerate(coefficients))
+
+
+SHAPIRO = f"""
+WITH {TX}
+, metric AS (
+  SELECT invoice, coalesce(sum(quantity), 0) * avg(price) AS basket_value
+  FROM tx WHERE invoice IS NOT NULL GROUP BY invoice
+),
+drawn AS (
+  SELECT md5(concat_ws('|', '42', coalesce(invoice, ''), coalesce(stockcode, ''),
+                       coalesce(CAST(quantity AS VARCHAR), ''))) AS draw,
+         CAST(quantity AS DOUBLE) AS q, price, basket_value
+  FROM tx LEFT JOIN metric USING (invoice)
+),
+vals AS (
+  SELECT 'Quantity' AS variable, draw, q AS value FROM drawn
+  UNION ALL SELECT 'Unit Price', draw, price FROM drawn
+  UNION ALL SELECT 'Basket Value', draw, basket_value FROM drawn
+),
+sample AS (
+  SELECT variable, value, row_number() OVER (PARTITION BY variable ORDER BY draw, value) AS k
+  FROM vals WHERE value IS NOT NULL AND isfinite(value)
+),
+ranked AS (
+  SELECT variable, value, row_number() OVER (PARTITION BY variable ORDER BY value) AS i,
+         count(*) OVER (PARTITION BY variable) AS n
+  FROM sample WHERE k <= {NORMALITY_SAMPLE}
+),
+placed AS (SELECT *, (i - 0.375e0) / (n + 0.25e0) AS p FROM ranked WHERE n > 5),
+scored AS (SELECT *, {_normal_quantile("p")} AS m FROM placed),
+ends AS (
+  SELECT variable, any_value(n) AS n, sum(m * m) AS square,
+         max(m) FILTER (WHERE i = n) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2
+  FROM scored GROUP BY variable
+),
+outer_weights AS (
+  SELECT *, m1 / sqrt(square) + {_poly_sql(normality._LAST_WEIGHT, "(1e0 / sqrt(n))")} AS a1,
+         m2 / sqrt(square) + {_poly_sql(normality._NEXT_WEIGHT, "(1e0 / sqrt(n))")} AS a2
+  FROM ends
+),
+weighted AS (
+  SELECT s.variable, s.value,
+         CASE WHEN i = s.n THEN a1 WHEN i = 1 THEN -a1 WHEN i = s.n - 1 THEN a2 WHEN i = 2 THEN -a2
+              ELSE m / sqrt((square - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+         END AS a
+  FROM scored s JOIN outer_weights USING (variable)
+)
+SELECT variable, count(*) AS sample_size,
+       round(least(pow(sum(a * value), 2) / (var_pop(value) * count(*)), 1e0), 6) AS statistic
+FROM weighted GROUP BY variable"""
+
+
 CAP_IMPACT = f"""{ROLLUP},
 impact AS ({_union([
     f"SELECT {p}e0 AS percentile, '{CAP_LABELS[p]}' AS approach, t AS threshold, "
@@ -535,6 +643,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "basket_value": _select(f"SELECT *, round({BASKET}, 4) AS basket_value FROM tx"),
     "cap_thresholds": _select(CAP_ROW, "," + _caps("tx")),
+    "cap_thresholds_refined": _select(CAP_ROW, "," + _caps("tx")),
     "apply_caps": _select(
         f"SELECT {CAPPED.replace('*', '* EXCLUDE (price_cap, basket_cap)', 1)} "
         "FROM valued, caps",
@@ -601,6 +710,17 @@ ORACLE_SQL: dict[str, str] = {
     "histogram": _histogram(VALUES),
     "histogram_log10": _histogram(VALUES, "log10(value)", "value > 0"),
     "boxplot_stats": _boxplot(VALUES),
+    "boxplot_stats_refined": _boxplot(VALUES),
+    "qq_points": QQ_POINTS,
+    "shapiro_statistics": SHAPIRO,
+    "round_trip": _select(
+        "SELECT count(*) AS rows_written, count(*) AS rows_read, 0 AS differing FROM tx"
+    ),
+    "isolation_forest_counts": _select(
+        f"SELECT count(*) FILTER (WHERE {CREDIT}) AS credit_lines, "
+        f"count(*) FILTER (WHERE {CREDIT}) AS credit_kept, "
+        f"count(*) FILTER (WHERE NOT {CREDIT}) AS sale_lines, true AS within_share FROM tx"
+    ),
     "basket_rollup": _select(
         "SELECT * REPLACE (round(basket_value, 4) AS basket_value) FROM rollup_all", ROLLUP
     ),
@@ -656,3 +776,4 @@ ORACLE_SQL: dict[str, str] = {
         FULL_RETURN,
     ),
 }
+ORACLE_SQL["lines_with_basket_hot"] = ORACLE_SQL["lines_with_basket"]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHUNK = 8 * 1024 * 1024
+TASKS_PER_CORE = 4
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +25,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def _digest(uri: str) -> tuple[int, str]:
     from pyarrow import fs
 
+    # Spark's names for object stores that the file system library knows by others.
+    for spark_name, name in (("s3a://", "s3://"), ("s3n://", "s3://"), ("wasbs://", "abfss://")):
+        if uri.startswith(spark_name):
+            uri = name + uri[len(spark_name):]
     filesystem, path = fs.FileSystem.from_uri(uri)
     digest, size = hashlib.sha256(), 0
     with filesystem.open_input_stream(path) as stream:
@@ -51,7 +56,9 @@ def file_manifest(
     listing = spark.createDataFrame([(uri,) for uri in uris], "uri string").select(
         F.regexp_replace("uri", "^file:/+", "file:///").alias("uri")
     )
-    hashed = listing.repartition("uri").mapInPandas(
+    # A given number of parts: rows of a few bytes would be put together into one task.
+    parts = max(1, min(len(uris), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
+    hashed = listing.repartition(parts, "uri").mapInPandas(
         _hash_batches, "uri string, n_bytes long, sha256 string"
     )
     digests = spark.createDataFrame(
@@ -74,6 +81,6 @@ def file_manifest(
 
 def enforce_manifest(manifest: DataFrame) -> None:
     """Raise when a file differs from its expected digest."""
-    wrong = manifest.where(~F.col("matches")).select("file_name").take(20)
+    wrong = manifest.where(~F.col("matches")).select("file_name").collect()
     if wrong:
         raise ValueError(f"SHA-256 mismatch: {sorted(r.file_name for r in wrong)}")

@@ -3,12 +3,15 @@
 A staged table is plain Parquet in the shared folder named by
 ``spark.checkpoint.dir``: it survives the loss of executors, cuts lineage, and
 later passes read only the columns they need. Tables lie under
-``<folder>/ledgerlint/<application id>`` and may be removed when the
-application has ended.
+``<folder>/ledgerlint/<application id>``; results are lazy over them, so they stay
+until the application ends or ``drop_staged`` is called. In local mode, where the
+setting is optional, a temporary folder is made once and removed at exit.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -20,14 +23,31 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 def staging_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="ledgerlint-"))
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="ledgerlint-")
+            atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
+        base = _LOCAL_DIRS[app]
+    elif not local and "://" not in base and not base.startswith("file:"):
+        # A bare path is resolved against the cluster's default file system.
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir {base} is local; name its file system, which all executors share")
     return f"{base.rstrip('/')}/ledgerlint/{app}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all tables staged by this application; results over them end with them."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and return the stored table."""
     spark = df.sparkSession

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,19 +68,21 @@ def read_or_build(
 ) -> DataFrame:
     """Read the combined table, writing it first when there is none.
 
-    A folder without rows is what a failed write leaves behind; it is replaced.
+    A folder without the mark of a finished write is what a failed one leaves
+    behind; it is replaced. A finished table without rows is kept.
     """
-    try:
-        stored = read_lines(spark, path)
-        if not stored.isEmpty():
-            return stored
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if _finished(spark, path):
+        return read_lines(spark, path)
     write_lines(build(), path, mode="overwrite")
     return read_lines(spark, path)
 
 
+def _finished(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    mark = context._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(context._jsc.hadoopConfiguration()).exists(mark)
+
+
 def write_lines(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error") -> None:
     """Write a line table, timestamps truncated to milliseconds."""
     stamps = {

@@ -131,6 +131,32 @@ def test_manifest(spark, tmp_path):
         manifest.enforce_manifest(wrong)
 
 
+def test_manifest_of_many_files_uses_many_tasks(spark, tmp_path):
+    for i in range(500):
+        (tmp_path / f"{i}.bin").write_bytes(str(i).encode())
+    table = manifest.file_manifest(spark, str(tmp_path / "*.bin"), {"7.bin": "0" * 64, "8.bin": "1" * 64})
+    rows = table.withColumn("task", F.spark_partition_id()).collect()
+    assert {r.file_name: r.sha256 for r in rows} == {
+        f"{i}.bin": hashlib.sha256(str(i).encode()).hexdigest() for i in range(500)
+    }
+    assert len({r.task for r in rows}) >= 8
+    with pytest.raises(ValueError, match="7.bin.*8.bin"):
+        manifest.enforce_manifest(table)
+
+
+def test_read_or_build_keeps_a_finished_empty_table(spark, tmp_path):
+    path = str(tmp_path / "none")
+    tables.write_lines(five(spark).where("invoice IS NULL"), path)
+    assert tables.read_or_build(spark, path, lambda: five(spark)).count() == 0
+
+
+def test_read_or_build_replaces_files_without_the_mark(spark, tmp_path):
+    path = str(tmp_path / "half")
+    tables.write_lines(five(spark).limit(1), path)
+    (tmp_path / "half" / "_SUCCESS").unlink()
+    assert tables.read_or_build(spark, path, lambda: five(spark)).count() == 5
+
+
 def test_stage_uses_the_shared_folder_and_prunes_columns(spark):
     staged = stage(five(spark), "five")
     base = spark.conf.get("spark.checkpoint.dir", None)

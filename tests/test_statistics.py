@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import math
 
+from statistics import NormalDist
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
+from ledgerlint.functions.normal import normal_quantile
 from ledgerlint.operators import baskets, distribution, forest, monitoring, normality
 from ledgerlint.operators import anomalies, profiling
 from tests.helpers import column, five, line, lines
@@ -45,9 +48,16 @@ def test_boxplot(spark):
     assert (weighted.median, weighted.outlier_count, weighted.row_count) == (1, 2, 11)
 
 
+def test_normal_quantile(spark):
+    p = [1e-300, 1e-12, 0.01, 0.075, 0.2, 0.5, 0.6, 0.925, 0.99999, 1 - 1e-12]
+    rows = spark.createDataFrame([(x,) for x in p], "p double").select("p", normal_quantile(F.col("p")).alias("z"))
+    for r in rows.collect():
+        assert r.z == pytest.approx(NormalDist().inv_cdf(r.p), rel=1e-12, abs=1e-12)
+
+
 def test_qq_of_few_values_plots_each(spark):
     data = [3.0, 1.0, 2.0, 5.0]
-    rows = distribution.qq_points(values(spark, data)).orderBy("point").collect()
+    rows = distribution.qq_points(values(spark, data)).orderBy("first_rank").collect()
     assert [r["sample"] for r in rows] == sorted(data)
     assert rows[0].theoretical == pytest.approx(-rows[-1].theoretical)
     assert distribution.qq_points(values(spark, [1, 2, 3])).count() == 0
@@ -60,6 +70,24 @@ def test_qq_of_normal_data_is_a_line(spark):
     assert (row.slope, row.intercept) == pytest.approx((3, 10), rel=0.05)
 
 
+def test_qq_keeps_tails_and_fits_all_values(spark, monkeypatch):
+    monkeypatch.setattr(distribution, "RANK_RUN", 7)
+    data = np.r_[np.random.default_rng(3).lognormal(2, 1.8, 5000), [4.0] * 50]
+    spots = np.array([(i - 0.3175) / (len(data) + 0.365) for i in range(1, len(data) + 1)])
+    spots[[0, -1]] = 1 - 0.5 ** (1 / len(data)), 0.5 ** (1 / len(data))
+    t, x = np.array([NormalDist().inv_cdf(p) for p in spots]), np.sort(data)
+    slope, intercept = np.polyfit(t, x, 1)
+    weighted = [(v, int((data == v).sum())) for v in np.unique(data)]
+    rows = distribution.qq_points(
+        values(spark, [v for v, _ in weighted], [w for _, w in weighted]).repartition(5)
+    ).collect()
+    assert max(r["sample"] for r in rows) == data.max() and len(rows) == len(weighted)
+    assert (rows[0].slope, rows[0].intercept) == pytest.approx((slope, intercept), rel=1e-9)
+    assert rows[0].r == pytest.approx(np.corrcoef(t, x)[0, 1], rel=1e-9)
+    many = next(r for r in rows if r["sample"] == 4.0)
+    assert many.theoretical == pytest.approx(t[many.first_rank - 1 : many.last_rank].mean())
+
+
 # Shapiro and Wilk (1965): weights of 11 men.
 MEN = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
 
@@ -107,10 +135,32 @@ def test_normality_report(spark):
     assert report["Unit Price"].statistic > 0.99
 
 
+def test_normality_sample_is_whole_and_reproducible(spark):
+    rng = np.random.default_rng(6)
+    rows = [
+        line(invoice=str(i) if i < 300 else f"e{i}", stockcode=str(i), quantity=int(rng.integers(1, 90)),
+             price=float(rng.lognormal()) if i < 300 else None)
+        for i in range(9000)
+    ]
+    df = lines(spark, rows)
+    a, b = (
+        {r.variable: r for r in normality.normality_tests(df.repartition(n)).collect()} for n in (2, 5)
+    )
+    assert a == b
+    assert {v: r.sample_size for v, r in a.items()} == {"Quantity": 5000, "Unit Price": 300, "Basket Value": 300}
+
+
+def test_normality_of_copies_is_not_short(spark):
+    df = lines(spark, [line(quantity=3)] * 900 + [line(invoice=str(i)) for i in range(100)])
+    sample = normality.sample_values(df, limit=50)
+    assert {r["count"] for r in sample.groupBy("variable").count().collect()} == {50}
+
+
 def test_normality_without_values(spark):
     df = lines(spark, [line(price=None), line(price=None)])
     report = {r.variable: r for r in normality.normality_tests(df).collect()}
     assert report["Unit Price"].is_normal == "N/A"
+    assert report["Unit Price"].notes == "No valid data"
     assert report["Quantity"].notes == "Insufficient data for test"
 
 
@@ -232,17 +282,26 @@ def test_forest_is_reproducible_and_optional(spark):
     assert forest.remove_outliers(df.where("invoice = 'C1'"), config).count() == 1
 
 
-def test_forest_deals_out_a_full_pool(spark, monkeypatch):
-    monkeypatch.setattr(forest, "TREES", 10)
-    monkeypatch.setattr(forest, "TREE_ROWS", 32)
-    monkeypatch.setattr(forest, "POOL_ROWS", 320)
-    df = _valued(spark, 2000, 4)
-    pool = forest.training_pool(df.where("invoice <> 'C1'"), 42)
-    assert pool.count() == 320
-    sizes = [r["count"] for r in forest.deal(pool, 42).groupBy("tree").count().collect()]
+@pytest.mark.parametrize("rows", [40, 2000])
+def test_forest_deals_each_tree_its_rows(spark, rows):
+    sales = _valued(spark, rows, 4).where("invoice <> 'C1'")
+    dealt = forest.deal(sales, 42, trees=10, tree_rows=32)
+    sizes = [r["count"] for r in dealt.groupBy("tree").count().collect()]
     assert sizes == [32] * 10
-    gone = df.count() - forest.remove_outliers(df, CleaningConfig(isolation_contam=0.002)).count()
-    assert 3 <= gone <= 5
+    one, other = (
+        {r["h"] for r in dealt.where(F.col("tree") == t).select("h").collect()} for t in (0, 5)
+    )
+    assert one != other
+    again = forest.deal(sales.repartition(7), 42, trees=10, tree_rows=32)
+    assert sorted(dealt.collect()) == sorted(again.collect())
+
+
+def test_forest_parameters(spark):
+    df = _valued(spark, 2000, 4)
+    config = CleaningConfig(
+        isolation_contam=0.002, isolation_trees=20, isolation_tree_rows=64, isolation_depth=6
+    )
+    assert 3 <= df.count() - forest.remove_outliers(df, config).count() <= 5
 
 
 def test_psi(spark):
