@@ -83,7 +83,68 @@ node AS (SELECT vec_id AS id FROM embeddings),
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN component ON vec_id = id LEFT JOIN degree ON vec_id = u"""
 
+_QUOTES = r"""
+WITH RECURSIVE message AS (
+    SELECT row_number() OVER () AS r, conv_id, turn, role,
+        md5(concat_ws(chr(31), coalesce('v' || conv_id, 'n'), coalesce('v' || turn, 'n'),
+                      coalesce('v' || role, 'n'), coalesce('v' || text, 'n'))) AS mid,
+        regexp_split_to_array(coalesce(text, ''), '\r?\n') AS ls
+    FROM conversations
+),
+cut AS (
+    SELECT r, conv_id, turn, mid, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS i FROM message
+),
+marked AS (SELECT *, regexp_extract(l, '^(?:[ \t]*>)+') AS marks FROM cut),
+line AS (
+    SELECT r, conv_id, turn, mid, i, length(regexp_replace(marks, '[^>]', '', 'g')) AS level,
+        substr(l, length(marks) + 1) AS body,
+        lower(trim(regexp_replace(substr(l, length(marks) + 1), '\s+', ' ', 'g'))) AS norm
+    FROM marked
+),
+own AS (
+    SELECT r, trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (
+            WHERE level = 0 AND NOT (regexp_matches(norm, '(wrote|writes|said):$') AND following > level)
+        ), ''), ' ' || chr(9) || chr(10) || chr(13)) AS text,
+        count(*) FILTER (WHERE level > 0 AND norm <> '') AS n_quoted
+    FROM (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) AS following FROM line)
+    GROUP BY r
+),
+known AS (SELECT * FROM line WHERE norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+quoted AS (
+    SELECT conv_id, turn, mid, level, norm, count(*) AS n FROM known WHERE level > 0 GROUP BY ALL
+),
+found AS (
+    SELECT q.conv_id, q.turn, q.mid, q.level, q.norm, q.n, max(w.turn) AS origin
+    FROM quoted q JOIN known w ON w.level = 0 AND w.conv_id = q.conv_id AND w.norm = q.norm AND w.turn < q.turn
+    GROUP BY ALL
+),
+votes AS (SELECT conv_id, turn, mid, origin, level, sum(n) AS n FROM found GROUP BY ALL),
+link AS (
+    SELECT conv_id, turn, mid, sum(n) AS n_linked,
+        list(origin ORDER BY level, n DESC, origin DESC)[1] AS reply_to
+    FROM votes GROUP BY ALL
+),
+up AS (SELECT conv_id, turn, max(reply_to) AS origin FROM link GROUP BY ALL),
+chain AS (
+    SELECT conv_id, turn, origin AS thread, 1 AS depth FROM up
+    UNION ALL
+    SELECT chain.conv_id, chain.turn, up.origin, chain.depth + 1
+    FROM chain JOIN up ON up.conv_id = chain.conv_id AND up.turn = chain.thread
+),
+root AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM chain GROUP BY ALL)
+SELECT m.conv_id, m.turn, m.role, own.text, reply_to, coalesce(thread, m.turn) AS thread,
+    CAST(coalesce(depth, 0) AS INTEGER) AS depth, CAST(n_quoted AS INTEGER) AS n_quoted,
+    CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked,
+    '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || own.text || chr(10) AS formatted,
+    row_number() OVER (
+        PARTITION BY m.conv_id ORDER BY coalesce(thread, m.turn) NULLS LAST, coalesce(depth, 0),
+        m.turn NULLS LAST, m.role NULLS FIRST, m.mid
+    ) - 1 AS position
+FROM message m JOIN own USING (r) LEFT JOIN link ON link.mid = m.mid
+LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_quote_linking": _QUOTES,
     "op4_ngram_join": _NGRAMS,
     "op7_near_vectors": _VECTORS,
     "op5_line_dedup": f"WITH {shared_lines('documents')} "

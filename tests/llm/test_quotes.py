@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import re
 
+import duckdb
+
 from ledgerlint.llm import quotes
+from ledgerlint.llm.oracle import ORACLE_SQL
+from tests.compare import difference
 
 SCHEMA = "conv_id long, turn long, role string, text string, lines string"
 MAIL = [
@@ -75,6 +79,15 @@ def test_equals_brute_force(spark):
     assert [r["reply_to"] for r in first] == [None, 0, 2, None, 1, 1]
 
 
+def test_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", MAIL)
+    frame = spark.createDataFrame([(*r, "clash") for r in MAIL], SCHEMA).repartition(3)
+    sql = ORACLE_SQL["op9_quote_linking"]
+    assert difference(spark, con, "", lambda spark, sf_dir: quotes.link_quotes(frame), sql) is None
+
+
 def test_every_reply_follows_its_message(spark):
     rows = [(7, 0, "user", "line 0")]
     rows += [(7, t, "user", f"> line {t - 1 - t % 3 if t > 3 else 0}\nline {t}") for t in range(1, 60)]
