@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,6 +16,8 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 
 def build_session(cores: str = "8") -> SparkSession:
+    shared = tempfile.mkdtemp(prefix="ledgerlint-tests-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlint")
@@ -20,6 +25,7 @@ def build_session(cores: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
