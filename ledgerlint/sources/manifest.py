@@ -44,13 +44,8 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(done, columns=["uri", "n_bytes", "sha256"])
 
 
-def file_manifest(
-    spark: SparkSession, path: str, expected: Mapping[str, str] | None = None
-) -> DataFrame:
-    """``(file_name, n_bytes, sha256, expected_sha256, matches)`` per file.
-
-    ``matches`` is null where no digest is expected for the file.
-    """
+def hash_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(uri, n_bytes, sha256)`` per file, hashed by many tasks."""
     # From the file index: a scan would leave out empty files.
     uris = spark.read.format("binaryFile").load(path).inputFiles()
     listing = spark.createDataFrame([(uri,) for uri in uris], "uri string").select(
@@ -58,9 +53,19 @@ def file_manifest(
     )
     # A given number of parts: rows of a few bytes would be put together into one task.
     parts = max(1, min(len(uris), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
-    hashed = listing.repartition(parts, "uri").mapInPandas(
+    return listing.repartition(parts, "uri").mapInPandas(
         _hash_batches, "uri string, n_bytes long, sha256 string"
     )
+
+
+def file_manifest(
+    spark: SparkSession, path: str, expected: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``(file_name, n_bytes, sha256, expected_sha256, matches)`` per file.
+
+    ``matches`` is null where no digest is expected for the file.
+    """
+    hashed = hash_files(spark, path)
     digests = spark.createDataFrame(
         list((expected or {}).items()), "file_name string, expected_sha256 string"
     )
