@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Encoded pieces a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Documents whose new pieces are merged together.
 BLOCK = 256
 _NONE = 1 << 62

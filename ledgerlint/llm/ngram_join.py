@@ -41,7 +41,7 @@ from ledgerlint.sources.staging import stage
 
 #: Documents worked on at a time, and words whose hash a task remembers.
 BLOCK = 128
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Sketches that are made in turn for sets with too many empty words.
 SEEDS = 12
 #: Comparisons with one node of each group before all that is left is compared.

@@ -36,10 +36,10 @@ EPOCHS = 6
 BATCH = 128
 RATE = 0.05
 DECAY = 1e-4
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 STATISTICS = 16
 #: Documents scored at a time.
-BLOCK = 512
+BLOCK = 128
 
 
 class Buckets(dict):
@@ -173,11 +173,10 @@ def _fit(seed: int):
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for label, key, *lists in zip(*columns):
-                rows.append((key, label, tuple(np.array(x, dtype=np.float64) for x in lists)))
+            for label, key, *lists in zip(*batch.columns):
+                rows.append((key.as_py(), label.as_py(), tuple(x.values.to_numpy().copy() for x in lists)))
         rows.sort(key=lambda r: r[:2])
-        described = [(d[0].astype(np.int64), d[1], d[2]) for _, _, d in rows]
+        described = [d for _, _, d in rows]
         machine = Machine(seed)
         machine.fit(np.array([r[1] for r in rows], dtype=float), described, seed)
         machine.weights = machine.weights.astype(np.float32)

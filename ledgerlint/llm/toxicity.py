@@ -43,7 +43,7 @@ LEAN = 10.0
 #: Odds that a training label is right: it is one more voter.
 LABEL_ODDS = 50.0
 BEGINNINGS = (4, 5, 6)
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 LEXICON = frozenset(
     "arse bastard clown coward creep crap disgusting dumb fool freak garbage hate idiot "
