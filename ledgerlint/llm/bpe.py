@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlint.llm.common import small_batches
+
 #: Encoded pieces a task remembers before it starts anew.
 REMEMBERED = 200_000
 #: Documents whose new pieces are merged together.
@@ -205,6 +207,7 @@ class Vocabulary:
     """A rank file and its split pattern, shipped to the executors once."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
+        small_batches(spark)
         self.raw = spark.sparkContext.broadcast(Path(path).read_bytes())
         self.pattern = pattern
 

@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand texts to Python in Arrow batches of at most so many rows.
+
+    The default of 10,000 rows takes hundreds of megabytes of a worker where
+    texts are long. A smaller setting is left as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the rows no label may be learnt from: crc32 of the id as text."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))

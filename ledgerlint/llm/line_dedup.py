@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import SPACES, mix64, row_key
+from ledgerlint.llm.common import SPACES, mix64, row_key, small_batches
 from ledgerlint.sources.staging import stage
 
 #: Bits of a filter for each line, and at most.
@@ -212,6 +212,7 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     Keys of at least ``min_chars`` code points (1 or more) found in at least
     ``min_docs`` documents lose all their lines. ``docs`` is read several times.
     """
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     text = F.coalesce("text", F.lit(""))
     n_lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")

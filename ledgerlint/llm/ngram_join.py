@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import mix64, row_key
+from ledgerlint.llm.common import mix64, row_key, small_batches
 from ledgerlint.llm.graph import components
 from ledgerlint.sources.staging import stage
 
@@ -333,6 +333,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     Sets link when ``den * intersection >= num * union``; component_id is the
     smallest doc_id that can be reached by links. ``docs`` is read several times.
     """
+    small_batches(docs.sparkSession)
     slim = docs.select(row_key("doc_id", "text").alias("row"), "doc_id", "text")
     schema = slim.select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("node")).schema
     members = stage(slim.mapInArrow(_members(n), schema), "members")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import held_out
+from ledgerlint.llm.common import held_out, small_batches
 
 BUCKETS = 1 << 15
 RANK = 8
@@ -210,6 +210,7 @@ def labelled_sample(
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 8000, seed: int = 7) -> bytes:
     """A fitted machine, pickled: at most a few megabytes whatever the input."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, max_rows, seed)
     schema = "label int, key long, ids array<int>, values array<float>, statistics array<float>"
     described = sample.mapInArrow(_described, schema).dropDuplicates(["key"])
@@ -218,6 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
 
 def score(docs: DataFrame, model: bytes, threshold: float = 0.3) -> DataFrame:
     """``docs`` with score, from 0 to 1, and predicted: 1 from ``threshold`` on."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

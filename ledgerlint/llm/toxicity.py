@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import held_out
+from ledgerlint.llm.common import held_out, small_batches
 from ledgerlint.llm.quality import labelled_sample
 
 #: Voters at most, and the toxic documents a voter must be seen in: so many and such a
@@ -205,6 +205,7 @@ def _fit(toxic_share: float):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 8000, seed: int = 11) -> bytes:
     """The fitted voters and classifier, pickled: a few kilobytes."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     share = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
     sample = labelled_sample(docs, labels, label, max_rows, seed, per_class=True)
