@@ -13,10 +13,11 @@ Empty words agree without meaning anything. A sketch has a few words more than
 which are small sets, are sketched again with another seed, on the same grounds.
 
 Documents with equal sets are one node. In each group of nodes that share a word,
-nodes are compared with the least one first, which connects most of a group of
-copies. What is then still in different components is compared by a bit sketch,
-whose Hamming distance is a lower bound too; only pairs that it cannot tell apart
-are emitted and verified.
+nodes first meet one of them, and the nearest they meet in all their groups is
+verified; a few such rounds connect a group of copies. What is then still in
+different components is compared with all. Nodes are compared by a bit sketch, whose
+Hamming distance is a lower bound too; only pairs that it cannot tell apart are
+emitted and verified.
 
 Cases: null and empty texts have the empty set and link with nothing; a text with
 fewer words than ``n`` has its whole sequence as its one n-gram; equal texts are
@@ -44,8 +45,9 @@ BLOCK = 128
 REMEMBERED = 200_000
 #: Sketches that are made in turn for sets with too many empty words.
 SEEDS = 12
-#: Comparisons with one node of each group before all that is left is compared.
-STAR_ROUNDS = 2
+#: Rounds in which each node meets one node of each of its groups and the nearest of
+#: these is verified, before all that is left is compared.
+STAR_ROUNDS = 4
 #: Bits of the sketch that candidates are compared by.
 BITS = 1024
 
@@ -269,6 +271,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     )
 
 
+_COMPARED = ("node", "component", "size", "bits")
+
+
+def _near(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of different components that sizes and bit sketches cannot tell apart."""
+    sizes = F.col("size_u") + F.col("size_v")
+    alike = F.least("size_u", "size_v") * den >= F.greatest("size_u", "size_v") * num
+    differing = F.aggregate(
+        F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y
+    )
+    close = differing * (den + num) <= sizes * (den - num)
+    return pairs.where((F.col("component_u") != F.col("component_v")) & alike & close).withColumn(
+        "differing", differing
+    )
+
+
 def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(node, component) of the nodes that link with another one."""
     spark = docs.sparkSession
@@ -298,26 +316,24 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
     for turn in range(STAR_ROUNDS + 1):
         here = groups.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
         here = stage(here, "here")
-        hubs = here.groupBy("key").agg(
-            F.min(F.struct("component", "node")).alias("hub"), F.max("component").alias("top")
-        ).where("hub.component <> top")
+        split = here.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        live = here.join(split.where("low <> high").select("key"), "key", "left_semi")
+        live = live.join(sets.select("node", "size", "bits"), "node")
+        a = live.select("key", *(F.col(c).alias(f"{c}_u") for c in _COMPARED))
         if turn < STAR_ROUNDS:
-            near = here.join(hubs.select("key", "hub"), "key").where("component <> hub.component")
-            pairs = near.groupBy(F.col("node").alias("a")).agg(F.min("hub").alias("hub"))
-            pairs = pairs.select(F.least("a", "hub.node").alias("u"), F.greatest("a", "hub.node").alias("v")).distinct()
-        else:
-            sized = here.join(hubs.select("key"), "key", "left_semi").join(sets.select("node", "size", "bits"), "node")
-            a = sized.select("key", *(F.col(c).alias(f"{c}_u") for c in ("node", "component", "size", "bits")))
-            b = sized.select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "component", "size", "bits")))
-            apart = (F.col("node_u") < F.col("node_v")) & (F.col("component_u") != F.col("component_v"))
-            sizes = F.col("size_u") + F.col("size_v")
-            alike = F.least("size_u", "size_v") * den >= F.greatest("size_u", "size_v") * num
-            differing = F.aggregate(
-                F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y
+            # One member of each group, another one in every round.
+            first = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), *_COMPARED)).alias("hub")
+            b = live.groupBy("key").agg(first).select("key", *(F.col(f"hub.{c}").alias(f"{c}_v") for c in _COMPARED))
+            near = _near(a.join(b, "key"), num, den).select(
+                "node_u", F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"), "differing"
             )
-            near = differing * (den + num) <= sizes * (den - num)
-            pairs = a.join(b, "key").where(apart & alike & near)
-            pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
+            near = near.join(known, ["u", "v"], "left_anti")
+            best = near.groupBy("node_u").agg(F.min(F.struct("differing", "u", "v")).alias("best"))
+            pairs = best.select("best.u", "best.v").distinct()
+        else:
+            b = live.select("key", *(F.col(c).alias(f"{c}_v") for c in _COMPARED))
+            both = a.join(b, "key").where(F.col("node_u") < F.col("node_v"))
+            pairs = _near(both, num, den).select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"), "pairs")
         checked = stage(_verified(pairs, sets, num, den), "checked")
         known = known.unionByName(checked)
