@@ -7,10 +7,15 @@ nodes that have it as a neighbour are compared with each other, and each keeps
 the nearest it has met. The recall of the threshold edges is audited against
 brute force for a bounded sample; while it is short, more codes are added.
 
-Neighbour lists hold ``K`` entries. Where a list is full of edges above the
-threshold it is enlarged: the whole component is compared, in blocks, and every
-link in it is counted. Only counts leave a block, so a large group of copies does
-not become pairs.
+Equal vectors are one node with a multiplicity. Neighbour lists hold ``K``
+entries, but an edge at or above the threshold that is met anywhere is kept apart
+from them, as a tie: of the edges met in one batch, ties that join the same nodes.
+Where a list is full of edges above the threshold, the nodes tied so far no longer
+take its places: each node then keeps ``K`` neighbours of its own component and
+``K`` of others, meets vectors behind its component in the order of further codes,
+and this goes on until no list of others is full of such edges. In the end each
+component is compared whole, in blocks, and every link in it is counted. Only
+counts leave a block, so a large group of copies does not become pairs.
 
 Only vectors of the same label and length are compared.
 
@@ -22,6 +27,7 @@ no links unless its vector links; other columns are dropped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.llm.graph import components
+from ledgerlint.operators.joins import attach_group_values
 from ledgerlint.llm.vectors import doubles, matrix, unit, usable
 from ledgerlint.sources.staging import stage
 
@@ -46,7 +53,9 @@ MORE_CODES = 3
 #: Vectors of a block of a component.
 BLOCK = 1024
 
-_EDGES = "u long, v long, s double"
+#: kind: a neighbour of another component, of the own one, or a tie.
+_EDGES = "u long, v long, s double, kind int"
+_OTHER, _OWN, _TIE = 0, 1, 2
 
 
 def _coded(first: int, codes: int, bits: int, seed: int):
@@ -63,103 +72,183 @@ def _coded(first: int, codes: int, bits: int, seed: int):
                     code = (side[:, :bits] > 0) @ (1 << np.arange(bits))
                     yield pd.DataFrame(
                         {"c": c, "code": code, "place": side[:, bits], "node": part["node"].to_numpy(),
-                         "grp": part["grp"].to_numpy(), "vector": list(x)}
+                         "grp": part["grp"].to_numpy(), "component": part["component"].to_numpy(), "vector": list(x)}
                     )
 
     return coded
 
 
-def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the pairs and the smallest node each is joined with, if not itself."""
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    low = np.arange(len(names))
+    while True:
+        least = np.minimum(low[a], low[b])
+        new = low.copy()
+        np.minimum.at(new, low[a], least)
+        np.minimum.at(new, low[b], least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    moved = low != np.arange(len(names))
+    return names[moved], names[low[moved]]
+
+
+def _ties(u: np.ndarray, v: np.ndarray) -> pd.DataFrame:
+    node, least = _stars(u, v)
+    return pd.DataFrame({"u": node, "v": least, "s": np.ones(len(node)), "kind": np.full(len(node), _TIE, np.int32)})
+
+
+def _meet(threshold: float):
     """Edges between vectors that follow each other closely in a sorted code."""
-    tail = None
-    for rows in batches:
-        rows = rows if tail is None else pd.concat([tail, rows], ignore_index=True)
-        fresh = 0 if tail is None else len(tail)
-        tail = rows.iloc[-MET:]
-        key = rows[["grp", "c", "code"]].to_numpy()
-        lengths = rows["vector"].map(len).to_numpy()
-        width = lengths.max(initial=0)
-        x = np.zeros((len(rows), width))
-        for i, v in enumerate(rows["vector"]):
-            x[i, : len(v)] = v
-        node = rows["node"].to_numpy()
-        found = []
-        for step in range(1, MET + 1):
-            a, b = np.arange(0, len(rows) - step), np.arange(step, len(rows))
-            same = (key[a] == key[b]).all(axis=1) & (b >= fresh)
-            a, b = a[same], b[same]
-            found.append((node[a], node[b], np.einsum("ij,ij->i", x[a], x[b])))
-        u, v, s = (np.concatenate(c) if found else np.empty(0) for c in zip(*found))
-        yield _best(np.r_[u, v], np.r_[v, u], np.r_[s, s], K // 2)
-
-
-def _best(u, v, s, k: int) -> pd.DataFrame:
-    """The k best edges of each u."""
-    order = np.lexsort((v, -s, u))
-    u, v, s = u[order], v[order], s[order]
-    start = np.r_[0, np.flatnonzero(u[1:] != u[:-1]) + 1] if len(u) else np.empty(0, int)
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None
+        for rows in batches:
+            rows = rows if tail is None else pd.concat([tail, rows], ignore_index=True)
+            fresh = 0 if tail is None else len(tail)
+            tail = rows.iloc[-MET:]
+            key = rows[["grp", "c", "code"]].to_numpy()
+            lengths = rows["vector"].map(len).to_numpy()
+            width = lengths.max(initial=0)
+            x = np.zeros((len(rows), width))
+            for i, v in enumerate(rows["vector"]):
+                x[i, : len(v)] = v
+            node, component = rows["node"].to_numpy(), rows["component"].to_numpy()
+            # The last row of the run of one component that a row lies in.
+            ends = np.r_[(key[1:] != key[:-1]).any(axis=1) | (component[1:] != component[:-1]), True]
+            last = np.flatnonzero(ends)[np.r_[0, np.cumsum(ends[:-1])]] if len(rows) else np.empty(0, int)
+            found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, bool))]
+            here = np.arange(len(rows))
+            inside = np.flatnonzero(last > here)
+            for step in range(1, MET + 1):
+                for a, b in ((here, here + step), (inside, last[inside] + step)):
+                    real = b < len(rows)
+                    a, b = a[real], b[real]
+                    same = (key[a] == key[b]).all(axis=1) & (b >= fresh)
+                    a, b = a[same], b[same]
+                    found.append(
+                        (node[a], node[b], np.einsum("ij,ij->i", x[a], x[b]), component[a] == component[b])
+                    )
+            u, v, s, own = (np.concatenate(c) for c in zip(*found))
+            yield _best(np.r_[u, v], np.r_[v, u], np.r_[s, s], np.r_[own, own], K // 2)
+            yield _ties(u[s >= threshold], v[s >= threshold])
+
+    return meet
+
+
+def _best(u, v, s, own, k: int) -> pd.DataFrame:
+    """The k best edges of each u with its own component, and with others."""
+    order = np.lexsort((v, -s, own, u))
+    u, v, s, own = u[order], v[order], s[order], own[order]
+    cut = (u[1:] != u[:-1]) | (own[1:] != own[:-1])
+    start = np.r_[0, np.flatnonzero(cut) + 1] if len(u) else np.empty(0, int)
     rank = np.arange(len(u)) - np.repeat(start, np.diff(np.r_[start, len(u)]))
     keep = rank < k
-    return pd.DataFrame({"u": u[keep], "v": v[keep], "s": s[keep]})
+    kind = np.where(own, _OWN, _OTHER).astype(np.int32)
+    return pd.DataFrame({"u": u[keep], "v": v[keep], "s": s[keep], "kind": kind[keep]})
 
 
-def _local_join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _local_join(threshold: float):
     """Compare the neighbours of each node with each other; rows come sorted by node."""
-    tail = None
-    for rows in batches:
-        rows = rows if tail is None else pd.concat([tail, rows], ignore_index=True)
-        last = rows["at"].to_numpy()[-1] if len(rows) else None
-        tail = rows[rows["at"] == last]
-        yield _joined(rows[rows["at"] != last])
-    if tail is not None:
-        yield _joined(tail)
 
+    def local_join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None
+        for rows in batches:
+            rows = rows if tail is None else pd.concat([tail, rows], ignore_index=True)
+            last = rows["at"].to_numpy()[-1] if len(rows) else None
+            tail = rows[rows["at"] == last]
+            yield from _joined(rows[rows["at"] != last], threshold)
+        if tail is not None:
+            yield from _joined(tail, threshold)
+
+    return local_join
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
+
+def _joined(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
     at = rows["at"].to_numpy()
     cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True]) if len(at) else np.zeros(1, int)
-    nodes, vectors = rows["node"].to_numpy(), rows["vector"].to_numpy()
-    us, vs, ss = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    nodes, vectors, component = rows["node"].to_numpy(), rows["vector"].to_numpy(), rows["component"].to_numpy()
+    us, vs, ss, own = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, bool)]
+    tied = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b - a < 2:
             continue
         x = np.stack(vectors[a:b])
         s = x @ x.T
         np.fill_diagonal(s, -2.0)
+        i, j = np.nonzero(s >= threshold)
+        tied.append((nodes[a:b][i[i < j]], nodes[a:b][j[i < j]]))
         take = min(4, b - a - 1)
-        near = np.argpartition(-s, take - 1, axis=1)[:, :take]
-        us.append(np.repeat(nodes[a:b], take))
-        vs.append(nodes[a:b][near].ravel())
-        ss.append(np.take_along_axis(s, near, axis=1).ravel())
-    u, v, s = np.concatenate(us), np.concatenate(vs), np.concatenate(ss)
-    return _best(u[u != v], v[u != v], s[u != v], 4)
+        same = component[a:b, None] == component[None, a:b]
+        for inside, mask in ((True, same), (False, ~same)):
+            if mask.sum() == (b - a if inside else 0):
+                continue
+            t = np.where(mask, s, -2.0)
+            near = np.argpartition(-t, take - 1, axis=1)[:, :take]
+            score = np.take_along_axis(t, near, axis=1).ravel()
+            real = score > -2.0
+            us.append(np.repeat(nodes[a:b], take)[real])
+            vs.append(nodes[a:b][near].ravel()[real])
+            ss.append(score[real])
+            own.append(np.full(real.sum(), inside))
+    yield _best(np.concatenate(us), np.concatenate(vs), np.concatenate(ss), np.concatenate(own), 4)
+    yield _ties(*(np.concatenate(c) for c in zip(*tied)))
 
 
 def _nearest(edges: DataFrame, k: int) -> DataFrame:
-    distinct = edges.groupBy("u", "v").agg(F.max("s").alias("s"))
-    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "v"))
-    return distinct.withColumn("r", rank).where(F.col("r") <= k).drop("r")
+    """The k nearest of each node and kind, and all ties."""
+    near = edges.where(F.col("kind") != _TIE).groupBy("u", "v", "kind").agg(F.max("s").alias("s"))
+    rank = F.row_number().over(Window.partitionBy("u", "kind").orderBy(F.desc("s"), "v"))
+    near = near.withColumn("r", rank).where(F.col("r") <= k)
+    return near.select("u", "v", "s", "kind").unionByName(edges.where(F.col("kind") == _TIE).distinct())
 
 
-def _seeded(vectors: DataFrame, first: int, codes: int, bits: int, seed: int) -> DataFrame:
-    schema = "c int, code long, place double, node long, grp long, vector array<double>"
-    coded = vectors.select("node", "grp", "vector").mapInPandas(_coded(first, codes, bits, seed), schema)
+def _seeded(vectors: DataFrame, first: int, codes: int, bits: int, seed: int, threshold: float) -> DataFrame:
+    schema = "c int, code long, place double, node long, grp long, component long, vector array<double>"
+    coded = vectors.select("node", "grp", "component", "vector").mapInPandas(_coded(first, codes, bits, seed), schema)
     order = ["grp", "c", "code", "place", "node"]
-    return coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_meet, _EDGES)
+    return coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_meet(threshold), _EDGES)
 
 
-def _refined(graph: DataFrame, vectors: DataFrame) -> DataFrame:
+def _refined(graph: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """One round: neighbours of neighbours, met at each node."""
-    there = graph.select(F.col("u").alias("at"), F.col("v").alias("node"), "s")
-    back = graph.select(F.col("v").alias("at"), F.col("u").alias("node"), "s")
-    rank = F.row_number().over(Window.partitionBy("at").orderBy(F.desc("s"), "node"))
+    near = graph.where(F.col("kind") != _TIE)
+    there = near.select(F.col("u").alias("at"), F.col("v").alias("node"), "s", "kind")
+    back = near.select(F.col("v").alias("at"), F.col("u").alias("node"), "s", "kind")
+    rank = F.row_number().over(Window.partitionBy("at", "kind").orderBy(F.desc("s"), "node"))
     back = back.withColumn("r", rank).where(F.col("r") <= K).drop("r")
     around = there.unionByName(back).select("at", "node").distinct()
-    placed = around.join(vectors.select("node", F.col("unit").alias("vector")), "node")
-    met = placed.repartition("at").sortWithinPartitions("at", "node").mapInPandas(_local_join, _EDGES)
+    placed = around.join(vectors.select("node", "component", F.col("unit").alias("vector")), "node")
+    met = placed.repartition("at").sortWithinPartitions("at", "node").mapInPandas(_local_join(threshold), _EDGES)
     return _nearest(graph.unionByName(met), K)
 
 
+def _regrouped(graph: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists by the components found: neighbours of the own one and of others."""
+    a = found.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    b = found.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    near = graph.where(F.col("kind") != _TIE).join(a, "u", "left").join(b, "v", "left")
+    own = F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))
+    near = near.withColumn("kind", F.when(own, F.lit(_OWN)).otherwise(F.lit(_OTHER)))
+    return near.select("u", "v", "s", "kind").unionByName(graph.where(F.col("kind") == _TIE))
+
+
+def _full(graph: DataFrame, threshold: float) -> bool:
+    """Whether a list of other components has room for nothing but links."""
+    others = graph.where((F.col("kind") == _OTHER) & (F.col("s") >= threshold))
+    return not others.groupBy("u").count().where(F.col("count") >= K).isEmpty()
+
+
+def _in_components(vectors: DataFrame, found: DataFrame) -> DataFrame:
+    """``vectors`` with the component of each, which is the node itself if it has no tie."""
+    joined = vectors.drop("component").join(found, "node", "left")
+    return joined.withColumn("component", F.coalesce("component", "node"))
+
+
 def _audit(vectors: DataFrame, found: DataFrame, threshold: float) -> float:
     """Share of a sample's true links that are among the found ones.
 
@@ -201,19 +290,22 @@ def _counted(threshold: float):
         x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
         first = (rows["block"] == rows["a"]).to_numpy()
         second = (rows["block"] == rows["b"]).to_numpy()
-        nodes = rows["node"].to_numpy()
+        nodes, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
         linked = x[first] @ x[second].T >= threshold
         linked &= nodes[first][:, None] != nodes[second][None, :]
-        out = [pd.DataFrame({"node": nodes[first], "n": linked.sum(axis=1)})]
+        out = [pd.DataFrame({"node": nodes[first], "n": linked @ copies[second]})]
         if rows["a"].iloc[0] != rows["b"].iloc[0]:
-            out.append(pd.DataFrame({"node": nodes[second], "n": linked.sum(axis=0)}))
+            out.append(pd.DataFrame({"node": nodes[second], "n": copies[first] @ linked}))
         return pd.concat(out)
 
     return counted
 
 
 def count_links(placed: DataFrame, threshold: float) -> DataFrame:
-    """(node, n_links) of the nodes of each component, all compared in blocks."""
+    """(node, n_links) of the nodes of each component, all compared in blocks.
+
+    Each other node counts as often as it has copies.
+    """
     sizes = placed.groupBy("component", "grp").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     cut = placed.join(sizes, ["component", "grp"]).withColumn("blocks", blocks)
@@ -221,7 +313,7 @@ def count_links(placed: DataFrame, threshold: float) -> DataFrame:
     # A block meets every block of its component once, itself included.
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
-    counted = cut.select("component", "grp", "a", "b", "block", "node", "vector").groupBy(
+    counted = cut.select("component", "grp", "a", "b", "block", "node", "copies", "vector").groupBy(
         "component", "grp", "a", "b"
     ).applyInPandas(_counted(threshold), "node long, n long")
     return counted.groupBy("node").agg(F.sum("n").alias("n_links"))
@@ -247,33 +339,52 @@ def link_vectors(
     def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             if len(part):
-                part["unit"] = [unit(np.asarray(v)[None, :])[0] for v in part["vector"]]
+                part["unit"] = [unit(np.asarray(v)[None, :])[0] + 0.0 for v in part["vector"]]
+                part["key"] = [
+                    hashlib.blake2b(np.int64(g).tobytes() + x.tobytes(), digest_size=16).digest()
+                    for g, x in zip(part["grp"], part["unit"])
+                ]
+                part["twinned"] = [bool(x @ x >= threshold) for x in part["unit"]]
                 yield part
 
     fit = rows.where("fit").select("node", "grp", "vector", "vec_id")
-    vectors = stage(
-        fit.mapInPandas(scaled, "node long, grp long, vector array<double>, vec_id long, unit array<double>"), "units"
+    schema = "node long, grp long, vector array<double>, vec_id long, unit array<double>, key binary, twinned boolean"
+    units = stage(fit.mapInPandas(scaled, schema), "units")
+    # Equal vectors are one node, the first row of them.
+    firsts = units.groupBy("key").agg(
+        F.min("node").alias("node"), F.min("vec_id").alias("least"), F.count("*").alias("copies")
     )
+    vectors = units.select("node", "grp", "vector", "unit", "twinned").join(firsts, "node")
+    vectors = stage(vectors.withColumn("component", F.col("node")), "nodes")
     count = vectors.count()
     # Codes of a few vectors each, whatever the size.
     bits = int(np.clip(np.ceil(np.log2(max(count, 2) / (4 * MET))), 1, 40)) if count else 1
     graph = embeddings.sparkSession.createDataFrame([], _EDGES)
-    for more in range(1 + MORE_CODES):
-        first = 0 if not more else CODES + (more - 1) * CODES
-        graph = stage(_nearest(graph.unionByName(_seeded(vectors, first, CODES, bits, seed)), K), "graph")
-        for _ in range(ROUNDS):
-            graph = stage(_refined(graph, vectors), "graph")
-        found = stage(components(graph.where(F.col("s") >= threshold).select("u", "v")), "found")
+    placed, first = vectors, 0
+    for _ in range(1 + MORE_CODES):
+        full = True
+        while full:
+            seeds = _seeded(placed, first, CODES, bits, seed, threshold)
+            graph = stage(_nearest(graph.unionByName(seeds), K), "graph")
+            for _ in range(ROUNDS):
+                graph = stage(_refined(graph, placed, threshold), "graph")
+            first += CODES
+            found = stage(components(graph.where(F.col("kind") == _TIE).select("u", "v")), "found")
+            full = _full(graph, threshold)
+            graph = stage(_regrouped(graph, found), "graph")
+            placed = stage(_in_components(vectors, found), "nodes")
         if _audit(vectors, found, threshold) >= RECALL:
             break
-    placed = vectors.select("node", "grp", F.col("unit").alias("vector")).join(found, "node")
-    links = count_links(placed, threshold)
-    named = vectors.select("node", "vec_id").join(found, "node").groupBy("component").agg(
-        F.min("vec_id").alias("component_id")
-    )
-    by_node = found.join(named, "component").select("node", "component_id")
-    out = rows.select("node", "vec_id").join(links, "node", "left").join(by_node, "node", "left")
-    linked = F.coalesce("n_links", F.lit(0)) > 0
-    component = F.when(linked, F.col("component_id")).otherwise(F.col("vec_id"))
+    linked = vectors.select("node", "grp", "copies", F.col("unit").alias("vector")).join(found, "node")
+    links = count_links(linked, threshold)
+    named = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    twins = F.when(F.col("twinned"), F.col("copies") - 1).otherwise(F.lit(0))
+    by_key = placed.select("node", "key", "component", "copies", twins.alias("twins")).join(links, "node", "left")
+    n_links = (F.col("twins") + F.coalesce("n_links", F.lit(0))).alias("n_links")
+    by_key = stage(by_key.join(named, "component").select("key", "copies", n_links, "component_id"), "linked")
+    by_row = attach_group_values(units.select("node", "key"), by_key, ["key"], "copies")
+    out = rows.select("node", "vec_id").join(by_row.drop("key"), "node", "left")
+    any_link = F.coalesce("n_links", F.lit(0)) > 0
+    component = F.when(any_link, F.col("component_id")).otherwise(F.col("vec_id"))
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

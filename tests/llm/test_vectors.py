@@ -109,3 +109,41 @@ def test_few_vectors_and_empty_tables(spark):
     none = few.where("vec_id < 0")
     assert hnsw.nearest(none).collect() == []
     assert neighbour_graph.link_vectors(none).collect() == []
+
+
+def brute_components(data, threshold=0.98):
+    """(vec_id, n_links, component_id) by all pairs of one label."""
+    x = np.array([r[1] for r in data])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in data])
+    near = (x @ x.T >= threshold) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    low = np.array([r[0] for r in data])
+    while True:
+        new = np.minimum(low, np.where(near, low[None, :], low.max()).min(axis=1))
+        if (new == low).all():
+            return sorted((r[0], int(n), int(c)) for r, n, c in zip(data, near.sum(axis=1), low))
+        low = new
+
+
+def beside(rng, v, cosine):
+    w = rng.normal(size=len(v))
+    w -= w @ v * v
+    return cosine * v + (1 - cosine**2) ** 0.5 * w / np.linalg.norm(w)
+
+
+def test_groups_of_copies_that_touch_are_one_component(spark):
+    """Lists full of copies or near copies do not hide the links between groups."""
+    rng = np.random.default_rng(4)
+    data = []
+    for noise in (0.0, 0.0, 1e-4, 1e-4, 1e-4):
+        a = rng.normal(size=24)
+        a /= np.linalg.norm(a)
+        for v in (a, beside(rng, a, 0.985)):
+            data += [v + noise * rng.normal(size=24) for _ in range(60)]
+    data += list(rng.normal(size=(300, 24)))
+    data = [(i, [float(c) for c in v], 1, 1, "x") for i, v in enumerate(data)]
+    out = neighbour_graph.link_vectors(spark.createDataFrame(data, SCHEMA).repartition(3)).collect()
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out)
+    assert got == brute_components(data)
+    assert {n for _, n, _ in got} == {0, 119}
