@@ -5,7 +5,10 @@ hyperplane codes, each vector meets the vectors next to it in the order of code
 and projection. Rounds then refine it: at every node, its neighbours and the
 nodes that have it as a neighbour are compared with each other, and each keeps
 the nearest it has met. The recall of the threshold edges is audited against
-brute force for a bounded sample; while it is short, more codes are added.
+brute force for a bounded sample, as the mean over its vectors; while it is short,
+more codes are added, and if it stays short, all vectors of a label are compared
+in blocks. The longer the codes, the more of them are used; those of a small label
+are short.
 
 Equal vectors are one node with a multiplicity. Neighbour lists hold ``K``
 entries, but an edge at or above the threshold that is met anywhere is kept apart
@@ -50,6 +53,9 @@ ROUNDS = 2
 AUDITED = 400
 RECALL = 0.995
 MORE_CODES = 3
+#: Share of links at the threshold that may agree on no whole code, and codes at most.
+APART = 1e-3
+MOST_CODES = 100
 #: Vectors of a block of a component.
 BLOCK = 1024
 
@@ -70,6 +76,7 @@ def _coded(first: int, codes: int, bits: int, seed: int):
                     planes = rng.normal(size=(x.shape[1], bits + 1))
                     side = x @ planes
                     code = (side[:, :bits] > 0) @ (1 << np.arange(bits))
+                    code &= (1 << part["bits"].to_numpy()) - 1
                     yield pd.DataFrame(
                         {"c": c, "code": code, "place": side[:, bits], "node": part["node"].to_numpy(),
                          "grp": part["grp"].to_numpy(), "component": part["component"].to_numpy(), "vector": list(x)}
@@ -209,7 +216,7 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
 
 def _seeded(vectors: DataFrame, first: int, codes: int, bits: int, seed: int, threshold: float) -> DataFrame:
     schema = "c int, code long, place double, node long, grp long, component long, vector array<double>"
-    coded = vectors.select("node", "grp", "component", "vector").mapInPandas(_coded(first, codes, bits, seed), schema)
+    coded = vectors.select("node", "grp", "bits", "component", "vector").mapInPandas(_coded(first, codes, bits, seed), schema)
     order = ["grp", "c", "code", "place", "node"]
     return coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_meet(threshold), _EDGES)
 
@@ -249,16 +256,25 @@ def _in_components(vectors: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "node"))
 
 
-def _audit(vectors: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Share of a sample's true links that are among the found ones.
+def _codes(bits: int, threshold: float) -> int:
+    """Codes of so many bits that two vectors at the threshold share one of."""
+    agree = (1.0 - np.arccos(np.clip(threshold, -1.0, 1.0)) / np.pi) ** bits
+    if agree >= 1.0 - APART:
+        return CODES
+    wanted = np.log(APART) / np.log1p(-agree) if agree > 0.0 else np.inf
+    return int(min(MOST_CODES, max(CODES, np.ceil(wanted))))
 
-    The sample is bounded by AUDITED, so it is broadcast.
+
+def _audit(vectors: DataFrame, threshold: float) -> float:
+    """Share of the true links of a vector that lie in its component.
+
+    The mean over the vectors of a sample that have links, so that a large group
+    counts no more than its vectors do. The sample is bounded by AUDITED.
     """
-    sample = vectors.orderBy(F.xxhash64("node")).limit(AUDITED).select("node", "grp", "unit").toPandas()
-    if not len(sample):
-        return 1.0
+    columns = ["node", "grp", "component", "unit"]
+    sample = vectors.orderBy(F.xxhash64("node")).limit(AUDITED).select(*columns).toPandas()
     groups = {
-        key: (part["node"].to_numpy(), matrix(part["unit"]))
+        key: (part["node"].to_numpy(), part["component"].to_numpy(), matrix(part["unit"]))
         for key, part in sample.groupby([sample["grp"], sample["unit"].map(len)])
     }
 
@@ -267,19 +283,30 @@ def _audit(vectors: DataFrame, found: DataFrame, threshold: float) -> float:
             for key, part in rows.groupby([rows["grp"], rows["unit"].map(len)]):
                 if key not in groups:
                     continue
-                nodes, x = groups[key]
-                there = part["node"].to_numpy()
-                i, j = np.nonzero(x @ matrix(part["unit"]).T >= threshold)
-                other = nodes[i] != there[j]
-                yield pd.DataFrame({"u": nodes[i][other], "v": there[j][other]})
+                nodes, components, x = groups[key]
+                linked = x @ matrix(part["unit"]).T >= threshold
+                linked &= nodes[:, None] != part["node"].to_numpy()[None, :]
+                same = linked & (components[:, None] == part["component"].to_numpy()[None, :])
+                yield pd.DataFrame({"node": nodes, "n": linked.sum(axis=1), "found": same.sum(axis=1)})
 
     # Links within a component are counted exactly, so one component is enough.
-    links = vectors.select("node", "grp", "unit").mapInPandas(truth, "u long, v long")
-    a = found.select(F.col("node").alias("u"), F.col("component").alias("cu"))
-    b = found.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-    same = (F.col("cu") == F.col("cv")).cast("int")
-    row = links.join(a, "u", "left").join(b, "v", "left").agg(F.count("*"), F.sum(F.coalesce(same, F.lit(0)))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    links = vectors.select(*columns).mapInPandas(truth, "node long, n long, found long")
+    shares = links.groupBy("node").agg((F.sum("found") / F.nullif(F.sum("n"), F.lit(0))).alias("share"))
+    mean = shares.agg(F.avg("share")).first()[0]
+    return 1.0 if mean is None else mean
+
+
+def _compared(threshold: float):
+    """Ties of two blocks of a label."""
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        x, nodes = matrix(rows["vector"]), rows["node"].to_numpy()
+        first = (rows["block"] == rows["a"]).to_numpy()
+        second = (rows["block"] == rows["b"]).to_numpy()
+        i, j = np.nonzero(x[first] @ x[second].T >= threshold)
+        return _ties(nodes[first][i], nodes[second][j])[["u", "v"]]
+
+    return compared
 
 
 def _counted(threshold: float):
@@ -306,17 +333,28 @@ def count_links(placed: DataFrame, threshold: float) -> DataFrame:
 
     Each other node counts as often as it has copies.
     """
-    sizes = placed.groupBy("component", "grp").agg(F.count("*").alias("size"))
+    keys = ["component", "grp", "a", "b"]
+    cut = _blocks(placed, ["component", "grp"]).select(*keys, "block", "node", "copies", "vector")
+    counted = cut.groupBy(*keys).applyInPandas(_counted(threshold), "node long, n long")
+    return counted.groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
+def _blocks(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of each group in blocks; a block meets every block once, itself included."""
+    sizes = placed.groupBy(*keys).agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = placed.join(sizes, ["component", "grp"]).withColumn("blocks", blocks)
+    cut = placed.join(sizes, keys).withColumn("blocks", blocks)
     cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A block meets every block of its component once, itself included.
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
-    counted = cut.select("component", "grp", "a", "b", "block", "node", "copies", "vector").groupBy(
-        "component", "grp", "a", "b"
-    ).applyInPandas(_counted(threshold), "node long, n long")
-    return counted.groupBy("node").agg(F.sum("n").alias("n_links"))
+    return cut.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
+
+
+def compare_all(vectors: DataFrame, threshold: float) -> DataFrame:
+    """u and v that tie the links of all vectors of a label, compared in blocks."""
+    keys = ["grp", "a", "b"]
+    cut = _blocks(vectors.select("node", "grp", F.col("unit").alias("vector")), ["grp"])
+    cut = cut.select(*keys, "block", "node", "vector")
+    return cut.groupBy(*keys).applyInPandas(_compared(threshold), "u long, v long")
 
 
 def link_vectors(
@@ -355,26 +393,32 @@ def link_vectors(
         F.min("node").alias("node"), F.min("vec_id").alias("least"), F.count("*").alias("copies")
     )
     vectors = units.select("node", "grp", "vector", "unit", "twinned").join(firsts, "node")
-    vectors = stage(vectors.withColumn("component", F.col("node")), "nodes")
-    count = vectors.count()
-    # Codes of a few vectors each, whatever the size.
-    bits = int(np.clip(np.ceil(np.log2(max(count, 2) / (4 * MET))), 1, 40)) if count else 1
+    # Codes of a few vectors each, whatever the size of the label.
+    sizes = units.groupBy("grp").agg(F.approx_count_distinct("key").alias("size"))
+    wanted = F.ceil(F.log2(F.col("size") / (4 * MET))).cast("int")
+    sizes = sizes.select("grp", F.greatest(F.lit(1), F.least(F.lit(40), wanted)).alias("bits"))
+    vectors = stage(vectors.join(sizes, "grp").withColumn("component", F.col("node")), "nodes")
+    bits = vectors.agg(F.max("bits")).first()[0] or 1
+    codes = _codes(bits, threshold)
     graph = embeddings.sparkSession.createDataFrame([], _EDGES)
     placed, first = vectors, 0
     for _ in range(1 + MORE_CODES):
         full = True
         while full:
-            seeds = _seeded(placed, first, CODES, bits, seed, threshold)
+            seeds = _seeded(placed, first, codes, bits, seed, threshold)
             graph = stage(_nearest(graph.unionByName(seeds), K), "graph")
             for _ in range(ROUNDS):
                 graph = stage(_refined(graph, placed, threshold), "graph")
-            first += CODES
+            first += codes
             found = stage(components(graph.where(F.col("kind") == _TIE).select("u", "v")), "found")
             full = _full(graph, threshold)
             graph = stage(_regrouped(graph, found), "graph")
             placed = stage(_in_components(vectors, found), "nodes")
-        if _audit(vectors, found, threshold) >= RECALL:
+        if _audit(placed, threshold) >= RECALL:
             break
+    else:
+        found = stage(components(compare_all(vectors, threshold)), "found")
+        placed = stage(_in_components(vectors, found), "nodes")
     linked = vectors.select("node", "grp", "copies", F.col("unit").alias("vector")).join(found, "node")
     links = count_links(linked, threshold)
     named = placed.groupBy("component").agg(F.min("least").alias("component_id"))

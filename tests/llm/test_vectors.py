@@ -147,3 +147,36 @@ def test_groups_of_copies_that_touch_are_one_component(spark):
     got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out)
     assert got == brute_components(data)
     assert {n for _, n, _ in got} == {0, 119}
+
+
+def test_links_outside_a_large_group_are_audited(spark, monkeypatch):
+    """A group of a third of the rows does not hide that all other links are missed."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=24)
+    a /= np.linalg.norm(a)
+    data = [a + 1e-3 * rng.normal(size=24) for _ in range(120)]
+    for _ in range(30):
+        v = rng.normal(size=24)
+        v /= np.linalg.norm(v)
+        data += [v, beside(rng, v, 0.985)]
+    data += list(rng.normal(size=(180, 24)))
+    data = [(i, [float(c) for c in v], 1, 1, "x") for i, v in enumerate(data)]
+
+    def only_the_group(batches):
+        for rows in batches:
+            yield rows[(rows["u"] < 120) & (rows["v"] < 120)]
+
+    frame = spark.createDataFrame(data, SCHEMA).coalesce(1)
+    seeded, refined = neighbour_graph._seeded, neighbour_graph._refined
+    cut = lambda edges: edges.mapInPandas(only_the_group, edges.schema)
+    monkeypatch.setattr(neighbour_graph, "_seeded", lambda *a: cut(seeded(*a)))
+    monkeypatch.setattr(neighbour_graph, "_refined", lambda *a: cut(refined(*a)))
+    monkeypatch.setattr(neighbour_graph, "MORE_CODES", 1)
+    out = neighbour_graph.link_vectors(frame).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == brute_components(data)
+
+
+def test_longer_codes_are_more():
+    counts = [neighbour_graph._codes(bits, 0.98) for bits in (1, 10, 14, 24, 40)]
+    assert counts == sorted(counts) and counts[0] == neighbour_graph.CODES < counts[-1]
+    assert 1 - (1 - (1 - np.arccos(0.98) / np.pi) ** 24) ** counts[3] >= 1 - neighbour_graph.APART
