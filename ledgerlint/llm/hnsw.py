@@ -7,6 +7,10 @@ neighbour positions; nodes are sorted by level, so a layer is a prefix. Queries
 descend the layers with a beam, many at a time, in every shard; the shards' best
 are scored again in double precision and merged.
 
+Equal vectors are one node, named by their smallest vec_id. A table holds the
+smallest vec_ids of each node, and hits are expanded to them when results are
+merged, so a group of copies takes one place of a beam and one of a list of links.
+
 The largest inner product becomes the nearest direction by one more coordinate
 that gives all vectors of a shard the same length (0 for queries).
 
@@ -221,18 +225,21 @@ class Graph:
         return np.concatenate(out)
 
 
-_INDEX = "shard int, dim int, ids binary, vectors binary, sizes array<int>, links binary"
+_INDEX = "shard int, dim int, ids binary, nodes binary, many binary, vectors binary, sizes array<int>, links binary"
 
 
 def _built(seed: int):
     def built(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["h", "vec_id"], kind="stable")
+        rows = rows.sort_values(["h", "vec_id", "node"], kind="stable")
         vectors = matrix(rows["vector"])
         graph, order = Graph.build(_lifted(vectors), seed)
         links = np.concatenate([x.astype("<i4").ravel() for x in graph.layers])
         ids = rows["vec_id"].to_numpy()[order].astype("<i8")
+        nodes = rows["node"].to_numpy()[order].astype("<i8")
+        many = rows["many"].to_numpy()[order].astype(np.uint8)
         return pd.DataFrame(
             {"shard": [int(rows["shard"].iloc[0])], "dim": [vectors.shape[1]], "ids": [ids.tobytes()],
+             "nodes": [nodes.tobytes()], "many": [many.tobytes()],
              "vectors": [vectors[order].astype("<f8").tobytes()], "sizes": [graph.sizes], "links": [links.tobytes()]}
         )
 
@@ -248,27 +255,58 @@ def _lifted(vectors: np.ndarray) -> np.ndarray:
     return (np.hstack([x, np.sqrt(np.maximum(most - squares, 0.0))[:, None]]) / np.sqrt(most)).astype(np.float32)
 
 
-def build(embeddings: DataFrame, vector: str = "embedding", seed: int = 3) -> DataFrame:
-    """The index: one row for each shard, with its graph as flat arrays."""
+def distinct(embeddings: DataFrame, vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """One row for each vector that differs (node, vec_id, many, vector, dim), and all rows by node key.
+
+    vec_id is the smallest; many tells whether there is another.
+    """
     fit = embeddings.where(usable(vector) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), doubles(vector).alias("vector"), F.size(vector).alias("dim")
     )
+    # Adding 0.0 makes -0.0 equal to it.
+    key = F.md5(F.transform("vector", lambda x: x + F.lit(0.0)).cast("string"))
+    rows = stage(fit.withColumn("row", F.monotonically_increasing_id()).withColumn("key", key), "rows")
+    firsts = rows.groupBy("key").agg(
+        F.min("row").alias("node"), F.min("vec_id").alias("vec_id"),
+        (F.min("vec_id") < F.max("vec_id")).alias("many"), (F.count("*") > 1).alias("repeated"),
+    )
+    held = rows.select(F.col("row").alias("node"), "vector", "dim")
+    return stage(firsts.join(held, "node"), "distinct"), rows.select("key", "vec_id")
+
+
+def twins(vectors: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """node and the vec_ids to expand it to, for nodes of several rows.
+
+    These are the k + 1 smallest and how often each occurs, up to k times, so k are
+    left when one of them is the query's own.
+    """
+    counted = rows.groupBy("key", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("vec_id"))
+    few = counted.withColumn("r", rank).where(F.col("r") <= k + 1)
+    lists = few.groupBy("key").agg(F.collect_list(F.struct("vec_id", "n")).alias("twins"))
+    return vectors.where("repeated").select("key", "node").join(lists, "key").select("node", "twins")
+
+
+def build(vectors: DataFrame, seed: int = 3) -> DataFrame:
+    """The index of ``distinct`` vectors: one row for each shard, with its graph as flat arrays."""
     # One row for each vector length.
-    sizes = fit.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
+    sizes = vectors.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     h = F.xxhash64(F.lit(seed), "vec_id")
-    dealt = fit.join(sizes, "dim").withColumn("h", h).withColumn("shard", F.pmod("h", "shards").cast("int"))
+    dealt = vectors.join(sizes, "dim").withColumn("h", h).withColumn("shard", F.pmod("h", "shards").cast("int"))
+    dealt = dealt.select("dim", "shard", "h", "node", "vec_id", "many", "vector")
     return stage(dealt.groupBy("dim", "shard").applyInPandas(_built(seed), _INDEX), "index")
 
 
 def _found(k: int, beam: int):
     def found(key, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
+        columns = ["query_id", "node", "vec_id", "score"]
         if not len(index) or not len(queries):
             return pd.DataFrame({c: [] for c in columns})
         row = index.iloc[0]
         dim, sizes = int(row["dim"]), [int(n) for n in row["sizes"]]
         vectors = np.frombuffer(row["vectors"], "<f8").reshape(-1, dim)
-        ids = np.frombuffer(row["ids"], "<i8")
+        ids, nodes = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nodes"], "<i8")
+        many = np.frombuffer(row["many"], np.uint8).astype(bool)
         graph = Graph(_lifted(vectors), sizes)
         flat, at = np.frombuffer(row["links"], "<i4").astype(np.int64), 0
         for level, n in enumerate(sizes):
@@ -284,19 +322,28 @@ def _found(k: int, beam: int):
         out = []
         for name, q, positions in zip(names, wanted, near):
             positions = positions[positions >= 0]
-            positions = positions[ids[positions] != name]
+            positions = positions[(ids[positions] != name) | many[positions]]
             scores = vectors[positions] @ q
-            best = np.lexsort((ids[positions], -scores))[:k]
-            out.append(pd.DataFrame({"query_id": name, "vec_id": ids[positions][best], "score": scores[best]}))
+            # One more than k, as a node may hold the query's own row.
+            best = np.lexsort((ids[positions], -scores))[: k + 1]
+            positions = positions[best]
+            out.append(
+                pd.DataFrame(
+                    {"query_id": name, "node": nodes[positions], "vec_id": ids[positions], "score": scores[best]}
+                )
+            )
         return pd.concat(out)
 
     return found
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM) -> DataFrame:
+def search(
+    index: DataFrame, copies: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM
+) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found for each query.
 
-    ``queries`` has query_id and query (an array of doubles).
+    ``queries`` has query_id and query (an array of doubles); ``copies`` are the
+    ``twins`` of the index for this k.
     """
     sized = queries.withColumn("dim", F.size("query"))
     counts = sized.groupBy("dim").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
@@ -307,13 +354,20 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH
     ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last"))))
     blocks = blocks.select("dim", "shard", "block", "query_id", "query")
     placed = index.join(counts, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("dim", "shard", "block", "ids", "vectors", "sizes", "links")
+    placed = placed.select("dim", "shard", "block", "ids", "nodes", "many", "vectors", "sizes", "links")
     key = ["dim", "shard", "block"]
     found = placed.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(
-        _found(k, beam), "query_id long, vec_id long, score double"
+        _found(k, beam), "query_id long, node long, vec_id long, score double"
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    best = found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
+    hits = found.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
+    own = F.array(F.struct("vec_id", F.lit(1).cast("long").alias("n")))
+    hits = hits.join(copies, "node", "left").withColumn("one", F.explode(F.coalesce("twins", own)))
+    hits = hits.where(F.col("one.vec_id") != F.col("query_id")).select(
+        "query_id", "score", F.col("one.vec_id").alias("vec_id"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("one.n"))).alias("copy"),
+    )
+    best = hits.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 
@@ -324,4 +378,6 @@ def every_nth(embeddings: DataFrame, step: int = 20, vector: str = "embedding")
 
 
 def nearest(embeddings: DataFrame, step: int = 20, k: int = 20, beam: int = SEARCH_BEAM) -> DataFrame:
-    return search(build(embeddings), every_nth(embeddings, step), k, beam)
+    vectors, rows = distinct(embeddings)
+    copies = stage(twins(vectors, rows, k), "twins")
+    return search(build(vectors), copies, every_nth(embeddings, step), k, beam)

@@ -180,3 +180,19 @@ def test_longer_codes_are_more():
     counts = [neighbour_graph._codes(bits, 0.98) for bits in (1, 10, 14, 24, 40)]
     assert counts == sorted(counts) and counts[0] == neighbour_graph.CODES < counts[-1]
     assert 1 - (1 - (1 - np.arccos(0.98) / np.pi) ** 24) ** counts[3] >= 1 - neighbour_graph.APART
+
+
+def test_large_groups_of_equal_vectors_give_their_smallest_ids(spark):
+    """Groups of copies beyond the beam give the ids that brute force gives."""
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=24), rng.normal(size=24)
+    vectors = [a] * 450 + [b] * 300 + list(rng.normal(size=(450, 24)))
+    ids = rng.permutation(len(vectors))
+    data = [(int(i), [float(c) for c in v], 1, 1, "x") for i, v in zip(ids, vectors)]
+    got = {}
+    for r in hnsw.nearest(spark.createDataFrame(data, SCHEMA).repartition(3), step=20, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = {q: {i for _, i in x} for q, x in exact(data, 20, 20).items()}
+    copied = [q for q in want if np.flatnonzero(ids == q)[0] < 750]
+    assert copied and all(got[q] == want[q] for q in copied)
+    assert sum(len(got[q] & want[q]) for q in want) >= 0.99 * sum(map(len, want.values()))
