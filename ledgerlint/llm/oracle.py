@@ -143,8 +143,25 @@ SELECT m.conv_id, m.turn, m.role, own.text, reply_to, coalesce(thread, m.turn) A
 FROM message m JOIN own USING (r) LEFT JOIN link ON link.mid = m.mid
 LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn"""
 
+_TOP = """
+WITH vector AS (
+    SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+part AS (SELECT r, vec_id, len(e) AS n, unnest(e) AS x, unnest(range(len(e))) AS i FROM vector),
+scored AS (
+    SELECT a.r, a.vec_id AS query_id, b.vec_id, b.r AS c, sum(a.x * b.x)::BIGINT AS score
+    FROM part a JOIN part b ON a.i = b.i AND a.n = b.n AND a.r <> b.r
+    WHERE a.vec_id % 100 = 0 GROUP BY ALL
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, c)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
 ORACLE_SQL: dict[str, str] = {
     "op9_quote_linking": _QUOTES,
+    "op12_topk": _TOP,
     "op4_ngram_join": _NGRAMS,
     "op7_near_vectors": _VECTORS,
     "op5_line_dedup": f"WITH {shared_lines('documents')} "

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlint.llm import (
-    boilerplate, bpe, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, toxicity,
+    boilerplate, bpe, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, topk, toxicity,
 )
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
@@ -61,6 +61,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), step=100, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
@@ -72,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": op8_hnsw,
     "op9_quote_linking": op9_quote_linking,
     "op10_toxicity": op10_toxicity,
+    "op12_topk": op12_topk,
 }
