@@ -159,9 +159,50 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, c)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
+_DIVERGENCE = r"""
+WITH document AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM documents
+),
+word AS (SELECT r, lang, source, unnest(ts) AS term FROM document),
+kept AS (SELECT lang, term, count(*) AS n FROM word GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+cell AS (SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, sum(n) AS n, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM document),
+total AS (SELECT lang, source, sum(n) AS n FROM cell GROUP BY ALL),
+dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(t.n, 0) + 2 * s.v) AS p,
+        1 + 1000000000::HUGEINT * (k.n + 2) // (s.n + 2 * s.v) AS q
+    FROM grp g JOIN kept k USING (lang) JOIN size s USING (lang)
+    LEFT JOIN total t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN cell c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+priced AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM dense WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, encode(item)
+    )::INTEGER AS rank FROM found
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 ORACLE_SQL: dict[str, str] = {
     "op9_quote_linking": _QUOTES,
     "op12_topk": _TOP,
+    "op13_divergence": _DIVERGENCE,
     "op4_ngram_join": _NGRAMS,
     "op7_near_vectors": _VECTORS,
     "op5_line_dedup": f"WITH {shared_lines('documents')} "

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlint.llm import (
-    boilerplate, bpe, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, topk, toxicity,
+    boilerplate, bpe, divergence, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, topk, toxicity,
 )
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
@@ -65,6 +65,10 @@ def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), step=100, k=10)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
@@ -77,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quote_linking": op9_quote_linking,
     "op10_toxicity": op10_toxicity,
     "op12_topk": op12_topk,
+    "op13_divergence": op13_divergence,
 }
