@@ -143,6 +143,58 @@ SELECT m.conv_id, m.turn, m.role, own.text, reply_to, coalesce(thread, m.turn) A
 FROM message m JOIN own USING (r) LEFT JOIN link ON link.mid = m.mid
 LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn"""
 
+_TRIE = r"""
+WITH message AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
+    WHERE conv_id IS NOT NULL
+),
+said AS (
+    SELECT conv_id, md5(length(role) || ':' || role || text) AS s,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+        row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)
+        ) AS i
+    FROM message
+),
+own AS (
+    -- CRC-32 of the decimal id, byte by byte and bit by bit
+    SELECT conv_id, conv_id - conv_id % 20 AS base, max(i) AS n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                                 lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 4 AS h
+    FROM said GROUP BY conv_id
+),
+base AS (
+    SELECT own.conv_id, i AS d, s, w FROM own JOIN said ON said.conv_id = own.base WHERE i <= h
+),
+rebuilt AS (
+    SELECT * FROM base
+    UNION ALL
+    SELECT own.conv_id, i - h + (SELECT count(*) FROM base WHERE base.conv_id = own.conv_id), s, w
+    FROM own JOIN said ON said.conv_id = own.conv_id WHERE i > h
+),
+prefix AS (
+    SELECT conv_id, d, w, string_agg(s, '') OVER (PARTITION BY conv_id ORDER BY d) AS k FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM own
+),
+ended AS (SELECT conv_id, max(d) AS d, max(k) AS k FROM prefix GROUP BY conv_id),
+node AS (
+    SELECT k, any_value(d) AS d, any_value(w) AS w, min(conv_id) AS conv_id, count(*) AS n,
+        substr(k, 1, length(k) - 32) AS up
+    FROM prefix GROUP BY k
+),
+child AS (SELECT up AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY up),
+below AS (
+    SELECT u.k, sum((v.n - 1) * v.w) AS saved, count(*) FILTER (WHERE child.k IS NULL) AS leaves
+    FROM node u JOIN node v ON starts_with(v.k, u.k) LEFT JOIN child ON child.k = v.k GROUP BY u.k
+),
+closing AS (SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM ended GROUP BY k)
+SELECT node.conv_id, node.d AS depth, CASE WHEN node.d > 0 THEN parent.conv_id END AS parent_conv_id,
+    node.n AS n_convs, coalesce(child.n, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens,
+    sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN node parent ON parent.k = node.up JOIN below ON below.k = node.k
+LEFT JOIN child ON child.k = node.k LEFT JOIN closing ON closing.k = node.k"""
+
 _TOP = """
 WITH vector AS (
     SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
@@ -201,6 +253,7 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 ORACLE_SQL: dict[str, str] = {
     "op9_quote_linking": _QUOTES,
+    "op11_prefix_trie": _TRIE,
     "op12_topk": _TOP,
     "op13_divergence": _DIVERGENCE,
     "op4_ngram_join": _NGRAMS,

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlint.llm import (
-    boilerplate, bpe, divergence, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, quality, quotes, topk, toxicity,
+    boilerplate, bpe, divergence, hnsw, line_dedup, mixing, neighbour_graph, ngram_join, prefix_trie, quality, quotes, topk,
+    toxicity,
 )
 from ledgerlint.llm.common import table
 from ledgerlint.llm.oracle import ORACLE_SQL
@@ -61,6 +62,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"), family=20, shared=4)
+
+
 def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), step=100, k=10)
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": op8_hnsw,
     "op9_quote_linking": op9_quote_linking,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_topk": op12_topk,
     "op13_divergence": op13_divergence,
 }
