@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,46 +49,63 @@ from ledgerlint.sources.staging import stage
 SCALE = 1_000_000_000
 #: Groups and terms of a tile: a power of two.
 SIDE = 64
-#: Distinct (lang, source, term) a task holds before it passes them on.
-HELD = 100_000
-LONG = 1 << 22
+#: Distinct terms of all groups a task holds, after a batch, before it passes them on.
+HELD = 300_000
+#: Bytes of a text whose terms are listed at a time.
+LONG = 1 << 20
+#: Groups that are few enough to be sent to all tasks, at about a hundred bytes each.
+FEW = 50_000
 #: Cells priced at a time.
 PRICED = 1 << 20
 
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+_BREAK = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 _COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def _terms(text: bytes) -> Iterable[bytes]:
-    # No list is made of the words of a very long text.
-    return _TERM.findall(text) if len(text) < LONG else (m.group() for m in _TERM.finditer(text))
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """Terms of a text in lists of a bounded length, cut between terms."""
+    at = 0
+    while len(text) - at > LONG:
+        end = at + LONG
+        last = _BREAK.search(text, end)
+        end = last.start() if last else len(text)
+        yield _TERM.findall(text, at, end)
+        at = end
+    yield _TERM.findall(text, at)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each term of each group, and documents that hold it."""
-    held: dict[tuple, list[int]] = {}
+    held: dict[tuple, tuple[Counter, Counter]] = {}
     for batch in batches:
         for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
-            for term, n in Counter(_terms(text.encode().lower())).items():
-                cell = held.setdefault((lang, source, term), [0, 0])
-                cell[0] += n
-                cell[1] += 1
-            if len(held) >= HELD:
-                yield _batch(held)
-                held = {}
-    yield _batch(held)
-
-
-def _batch(held: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": pa.array([k[0] for k in held], pa.string()),
-            "source": pa.array([k[1] for k in held], pa.string()),
-            "term": pa.array([k[2].decode() for k in held], pa.string()),
-            "n": pa.array([v[0] for v in held.values()], pa.int64()),
-            "docs": pa.array([v[1] for v in held.values()], pa.int64()),
-        }
-    )
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            distinct: set[bytes] = set()
+            for words in _words(text.encode().lower()):
+                n.update(words)
+                distinct.update(words)
+            docs.update(distinct)
+        if sum(len(n) for n, _ in held.values()) >= HELD:
+            yield from _batches(held)
+            held = {}
+    yield from _batches(held)
+
+
+def _batches(held: dict) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (n, docs) in held.items():
+        terms = list(n)
+        for start in range(0, len(terms), 10_000):
+            part = terms[start : start + 10_000]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.repeat(pa.scalar(lang, pa.string()), len(part)),
+                    "source": pa.repeat(pa.scalar(source, pa.string()), len(part)),
+                    "term": pa.array(part, pa.binary()).cast(pa.string()),
+                    "n": pa.array([n[t] for t in part], pa.int64()),
+                    "docs": pa.array([docs[t] for t in part], pa.int64()),
+                }
+            )
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -185,13 +202,17 @@ def shared_terms(a: Quadtree, b: Quadtree, sizes_a: np.ndarray, sizes_b: np.ndar
     """Third line of the sum for each group of tile ``a`` with each of tile ``b``."""
     out = np.zeros((len(sizes_a), len(sizes_b)), dtype=np.int64)
     row_a, at_a, row_b, at_b = walk(a, b)
+    # Shares of the leaves met, and of an absent term in each group.
+    size_a, size_b = np.ones_like(a.counts), np.ones_like(b.counts)
+    size_a[at_a], size_b[at_b] = sizes_a[row_a], sizes_b[row_b]
+    p, q = shares(a.counts, size_a), shares(b.counts, size_b)
     nothing = np.zeros(1, dtype=np.int64)
+    z, y = shares(nothing, sizes_a), shares(nothing, sizes_b)
+    absent = divergences(z[:, None], y[None, :])
     for start in range(0, len(row_a), PRICED):
         part = slice(start, start + PRICED)
-        g, h = row_a[part], row_b[part]
-        p, q = shares(a.counts[at_a[part]], sizes_a[g]), shares(b.counts[at_b[part]], sizes_b[h])
-        z, y = shares(nothing, sizes_a)[g], shares(nothing, sizes_b)[h]
-        np.add.at(out, (g, h), divergences(p, q) - divergences(p, y) - divergences(z, q) + divergences(z, y))
+        g, h, ps, qs = row_a[part], row_b[part], p[at_a[part]], q[at_b[part]]
+        np.add.at(out, (g, h), divergences(ps, qs) - divergences(ps, y[h]) - divergences(z[g], qs) + absent[g, h])
     return out
 
 
@@ -225,26 +246,32 @@ def _joint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _numbered(items: DataFrame, count: DataFrame, name: str, block: str, place: str) -> DataFrame:
+def _numbered(items: DataFrame, many: int, name: str, block: str, place: str) -> DataFrame:
     """Items of a language dealt into blocks of ``SIDE``, with their place in the block.
 
-    Numbers run within parts of about 4,096 items, so that no task orders a language.
+    Numbers run within parts of about 4,096 of all ``many`` items, so that no task
+    orders a language.
     """
-    part = F.pmod(F.xxhash64(F.lit(17), name), F.ceil(F.col("many") / 4096))
+    parts = max(1, -(-many // 4096))
     rank = F.row_number().over(Window.partitionBy("lang", "part").orderBy(name)) - 1
-    placed = items.join(count, "lang").withColumn("part", part).withColumn("at", rank)
+    placed = items.withColumn("part", F.pmod(F.xxhash64(F.lit(17), name), F.lit(parts))).withColumn("at", rank)
     return placed.withColumn(
         block, (F.col("part") * (1 << 20) + F.floor(F.col("at") / SIDE)).cast("long")
-    ).withColumn(place, F.col("at") % SIDE).drop("part", "at", "many")
+    ).withColumn(place, F.col("at") % SIDE).drop("part", "at")
+
+
+def _beside_groups(cells: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
+    """Cells with what is known of their group; few groups are sent to the cells."""
+    return cells.join(F.broadcast(groups) if few else groups, ["lang", "source"])
 
 
-def _priced_alone(cells: DataFrame, groups: DataFrame) -> DataFrame:
+def _priced_alone(cells: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
     """First and second line of the sum, as lang, source, item and value."""
     often = cells.groupBy("lang", "source", "n").agg(F.count("*").alias("times"))
     # A language's rows meet its groups in parts, which grow with the groups.
     salts = groups.groupBy("lang").agg((F.lit(8) + F.floor(F.count("*") / 16)).cast("int").alias("salts"))
     sized = groups.join(salts, "lang")
-    left = often.join(sized.select("lang", "source", "size", "salts"), ["lang", "source"]).select(
+    left = _beside_groups(often, sized.select("lang", "source", "size", "salts"), few).select(
         "lang", "source", "salts", "times", share(F.col("n"), F.col("size")).alias("p"),
         share(F.lit(0).cast("long"), F.col("size")).alias("z"),
     )
@@ -265,9 +292,9 @@ def _priced_alone(cells: DataFrame, groups: DataFrame) -> DataFrame:
     return both.select("lang", "source", "item", (value * F.col("times")).alias("value"))
 
 
-def _priced_jointly(cells: DataFrame, groups: DataFrame) -> DataFrame:
+def _priced_jointly(cells: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
     """Third line of the sum, each pair of groups once."""
-    named = cells.join(groups.select("lang", "source", "block", "row"), ["lang", "source"])
+    named = _beside_groups(cells, groups.select("lang", "source", "block", "row"), few)
     tiles = stage(
         named.select("lang", "tile", "block", "row", "col", "n").groupBy("lang", "tile", "block")
         .applyInPandas(_tile, _TILE),
@@ -300,28 +327,29 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.sum("docs").alias("docs"))
     kept = stage(kept.where(F.col("docs") >= min_docs).select("lang", "term", "all_n"), "kept")
     langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("all_n").alias("all_words"))
-    placed = _numbered(kept, langs.select("lang", F.col("kept").alias("many")), "term", "tile", "col")
+    placed = _numbered(kept, kept.count(), "term", "tile", "col")
     cells = stage(counts.drop("docs").join(placed, ["lang", "term"]), "cells")
 
     seen = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
     seen = stage(seen.distinct(), "sources")
-    many = seen.groupBy("lang").agg(F.count("*").alias("many"))
+    many = seen.count()
     words = cells.groupBy("lang", "source").agg(F.sum("n").alias("words"))
     size = F.greatest(F.coalesce("words", F.lit(0)) + 2 * F.col("kept"), F.lit(1)).cast("long")
     groups = _numbered(seen, many, "source", "block", "row").join(words, ["lang", "source"], "left").join(
-        langs.select("lang", "kept"), "lang", "left"
+        langs, "lang", "left"
     ).withColumn("kept", F.coalesce("kept", F.lit(0)).cast("long")).withColumn("size", size)
-    groups = stage(groups.select("lang", "source", "block", "row", "kept", "size"), "groups")
+    all_size = (F.col("all_words") + 2 * F.col("kept")).alias("all_size")
+    groups = stage(groups.select("lang", "source", "block", "row", "kept", "size", all_size), "groups")
+    few = many <= FEW
 
-    parts = _priced_alone(cells, groups).unionByName(_priced_jointly(cells, groups))
+    parts = _priced_alone(cells, groups, few).unionByName(_priced_jointly(cells, groups, few))
     pairs = parts.groupBy(
         "lang", F.least("source", "item").alias("a"), F.greatest("source", "item").alias("b")
     ).agg(F.sum("value").alias("value"))
     ends = F.array(*(F.struct(F.col(x).alias("source"), F.col(y).alias("item")) for x, y in ("ab", "ba")))
     pairs = pairs.select("lang", F.inline(ends), "value", F.lit("pair").alias("part"))
 
-    whole = langs.select("lang", (F.col("all_words") + 2 * F.col("kept")).alias("all_size"))
-    told = cells.join(groups.select("lang", "source", "size"), ["lang", "source"]).join(whole, "lang").select(
+    told = _beside_groups(cells, groups.select("lang", "source", "size", "all_size"), few).select(
         "lang", "source", F.col("term").alias("item"), share(F.col("n"), F.col("size")).alias("p"),
         share(F.col("all_n"), F.col("all_size")).alias("q"),
     ).where("p > q")

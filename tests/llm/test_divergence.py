@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ledgerlint.llm import divergence
 
@@ -60,9 +61,12 @@ def corpus(seed, groups, docs, words):
     return rows
 
 
-def test_equals_brute_force_over_many_tiles(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_equals_brute_force_over_many_tiles(spark, monkeypatch, few):
     monkeypatch.setattr(divergence, "SIDE", 4)
     monkeypatch.setattr(divergence, "HELD", 50)
+    monkeypatch.setattr(divergence, "LONG", 40)
+    monkeypatch.setattr(divergence, "FEW", few)
     rows = corpus(1, 14, 300, 60)
     assert audit(spark, rows) == brute_force(rows, 3, 4)
 
