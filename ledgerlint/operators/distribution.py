@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import HISTOGRAM_BINS
 from ledgerlint.functions.columns import finite
-from ledgerlint.functions.normal import normal_quantile
+from ledgerlint.functions.rank_sums import with_quantile_sums
 from ledgerlint.operators.baskets import invoice_basket_metric
 from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
 from ledgerlint.sources.staging import stage
 
 VARIABLES = ("Quantity", "Unit Price", "Basket Value")
-#: Ranks that one row stands for while their quantiles are summed.
-RANK_RUN = 65_536
 
 
 def distribution_values(lines: DataFrame) -> DataFrame:
@@ -188,51 +186,37 @@ def value_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def plot_position(rank: Column, n: Column) -> Column:
-    """Filliben's median of the order statistic of a rank among ``n`` uniform values."""
-    last = F.pow(F.lit(0.5), F.lit(1.0) / n)
-    return (
-        F.when(rank == n, last).when(rank == 1, 1.0 - last).otherwise((rank - 0.3175) / (n + 0.365))
-    )
-
-
 def qq_points(values: DataFrame) -> DataFrame:
     """Normal Q-Q points with the fitted line, per variable.
 
     One point for each distinct value, with its ranks and the mean of their
     theoretical quantiles. Slope, intercept and r are fitted to all values, each
-    rank with its own quantile. A variable needs more than three values.
+    rank with its own quantile; the quantiles of a value's ranks are summed in
+    closed form. A variable needs more than three values.
     """
-    sizes = values.groupBy("variable").agg(F.sum("weight").alias("n")).where("n > 3")
+    # One row for each variable.
+    sizes = values.groupBy("variable").agg(
+        F.sum("weight").alias("n"), F.sum(F.col("value") * F.col("weight")).alias("sx")
+    ).where("n > 3").withColumn("mean", F.col("sx") / F.col("n"))
     ranked = value_ranks(values.join(sizes.select("variable"), "variable", "left_semi"))
-    # A value with many copies is cut into runs before its ranks are spelled out.
-    runs = ranked.join(sizes, "variable").withColumn(
-        "start", F.explode(F.sequence("first_rank", "last_rank", F.lit(RANK_RUN)))
-    )
-    ranks = runs.withColumn(
-        "rank", F.explode(F.sequence("start", F.least(F.col("start") + (RANK_RUN - 1), F.col("last_rank"))))
-    ).withColumn("t", normal_quantile(plot_position(F.col("rank"), F.col("n"))))
+    runs = ranked.join(sizes, "variable")
     points = stage(
-        ranks.groupBy("variable", "value", "first_rank", "last_rank").agg(
-            F.sum("t").alias("t"), F.sum(F.col("t") * F.col("t")).alias("tt"), F.count("t").alias("w")
+        with_quantile_sums(runs, "first_rank", "last_rank", "n").select(
+            "variable", "value", "first_rank", "last_rank", "weight", "n", "mean", "t", "tt"
         ),
         "points",
     )
-    x, t, w = F.col("value"), F.col("t"), F.col("w")
+    w, t, off = F.col("weight"), F.col("t"), F.col("value") - F.col("mean")
     moments = points.groupBy("variable").agg(
-        F.sum(w).alias("n"), F.sum(x * w).alias("sx"), F.sum(t).alias("st"), F.sum("tt").alias("stt"),
-        F.sum(x * t).alias("sxt"),
-    ).withColumn("mean", F.col("sx") / F.col("n"))
-    spread = points.join(moments.select("variable", "mean"), "variable").groupBy("variable").agg(
-        F.sum(w * (x - F.col("mean")) * (x - F.col("mean"))).alias("dxx")
+        F.first("n").alias("n"), F.first("mean").alias("mean"), F.sum(t).alias("st"), F.sum("tt").alias("stt"),
+        F.sum(off * t).alias("both"), F.sum(w * off * off).alias("dxx"),
     )
-    both = F.col("sxt") - F.col("st") * F.col("mean")
-    dtt = F.col("stt") - F.col("st") * F.col("st") / F.col("n")
-    line = moments.join(spread, "variable").select(
+    slope = F.try_divide("both", F.col("stt") - F.col("st") * F.col("st") / F.col("n"))
+    line = moments.select(
         "variable",
-        F.try_divide(both, dtt).alias("slope"),
-        (F.col("mean") - F.try_divide(both, dtt) * F.col("st") / F.col("n")).alias("intercept"),
-        F.try_divide(both, F.sqrt(dtt * F.col("dxx"))).alias("r"),
+        slope.alias("slope"),
+        (F.col("mean") - slope * F.col("st") / F.col("n")).alias("intercept"),
+        F.try_divide("both", F.sqrt((F.col("stt") - F.col("st") * F.col("st") / F.col("n")) * F.col("dxx"))).alias("r"),
     )
     return points.select(
         "variable", F.col("value").alias("sample"), "first_rank", "last_rank", (t / w).alias("theoretical")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
 from ledgerlint.functions.normal import normal_quantile
+from ledgerlint.functions.rank_sums import with_quantile_sums
 from ledgerlint.operators import baskets, distribution, forest, monitoring, normality
 from ledgerlint.operators import anomalies, profiling
 from tests.helpers import column, five, line, lines
@@ -70,8 +71,37 @@ def test_qq_of_normal_data_is_a_line(spark):
     assert (row.slope, row.intercept) == pytest.approx((3, 10), rel=0.05)
 
 
-def test_qq_keeps_tails_and_fits_all_values(spark, monkeypatch):
-    monkeypatch.setattr(distribution, "RANK_RUN", 7)
+@pytest.mark.parametrize("n", [4, 31, 64, 65, 70, 1000, 300_000])
+def test_sums_of_quantiles_over_runs_of_ranks(spark, n):
+    rng = np.random.default_rng(n)
+    ends = [(1, n), (1, 1), (n, n), (n // 2, n // 2 + 1), (1, min(n, 40)), (max(1, n - 40), n)]
+    ends += [(int(a), int(min(n, a + rng.integers(0, 1 + n // 3)))) for a in rng.integers(1, n + 1, 60)]
+    ends += [(int(a), int(min(n, a + rng.integers(0, 12)))) for a in rng.integers(1, n + 1, 60)]
+    runs = spark.createDataFrame([(a, b, n) for a, b in ends], "a long, b long, n long")
+    u = (np.arange(1, n + 1) - 0.3175) / (n + 0.365)
+    u[0], u[-1] = 1 - 0.5 ** (1 / n), 0.5 ** (1 / n)
+    z = np.array([NormalDist().inv_cdf(p) for p in u])
+    for r in with_quantile_sums(runs, "a", "b", "n").collect():
+        part = z[r.a - 1 : r.b]
+        assert r.t == pytest.approx(part.sum(), abs=1e-11 * max(1.0, np.abs(part).sum()))
+        assert r.tt == pytest.approx((part * part).sum(), rel=1e-11, abs=1e-12 * len(part))
+
+
+def test_runs_of_ranks_among_a_trillion(spark):
+    """Neighbouring runs add up to their union: no digits are lost to cancellation."""
+    n, at = 10**12, 3 * 10**11
+    rows = [(at, at + 5), (at + 6, at + 10**6), (at, at + 10**6), (1, at - 1), (1, n), (at + 10**6 + 1, n), (at + 3, at + 3)]
+    runs = spark.createDataFrame([(a, b, n) for a, b in rows], "a long, b long, n long")
+    t = {(r.a, r.b): (r.t, r.tt) for r in with_quantile_sums(runs, "a", "b", "n").collect()}
+    for i in (0, 1):
+        few, more, both, left, whole, right, one = (t[k][i] for k in rows)
+        assert few + more == pytest.approx(both, rel=1e-12)
+        assert few / 6 == pytest.approx(one, rel=1e-10)
+        assert left + both + right == pytest.approx(whole, abs=1e-3 if i == 0 else 1e-2)
+    assert t[(1, n)][1] == pytest.approx(n, rel=1e-9)
+
+
+def test_qq_keeps_tails_and_fits_all_values(spark):
     data = np.r_[np.random.default_rng(3).lognormal(2, 1.8, 5000), [4.0] * 50]
     spots = np.array([(i - 0.3175) / (len(data) + 0.365) for i in range(1, len(data) + 1)])
     spots[[0, -1]] = 1 - 0.5 ** (1 / len(data)), 0.5 ** (1 / len(data))
