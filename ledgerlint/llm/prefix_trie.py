@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.llm.mixing import words_in
-from ledgerlint.sources.staging import stage
+from ledgerlint.sources.staging import discard, stage
 
 #: Moduli and bases of the four polynomials (primes below 2 ** 31).
 MODULI = np.array([2147483647, 2147483629, 2147483587, 2147483579], dtype=np.int64)
@@ -180,7 +180,8 @@ def turn_prefixes(conversations: DataFrame) -> DataFrame:
         symbol.alias("symbol"), words_in(text).alias("words"),
     )
     # The order holds rows of a hot conversation apart; equal rows may lie in any order.
-    ordered = stage(turns, "turns").repartitionByRange(
+    rows = stage(turns, "turns")
+    ordered = rows.repartitionByRange(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id", "turn", "symbol"
     ).withColumn("part", F.spark_partition_id()).sortWithinPartitions("conv_id", "turn", "symbol")
     local = stage(ordered.mapInArrow(_prefixes, _PREFIXES), "prefixes")
@@ -196,14 +197,17 @@ def turn_prefixes(conversations: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("part", "inside", "hash", "total"))).alias("tails")
     )
     before = carried.mapInPandas(_carry, "conv_id long, part int, n long, before_hash binary, before_total long")
-    joined = local.join(stage(before, "carried"), ["conv_id", "part"], "left").select(
+    before = stage(before, "carried")
+    joined = local.join(before, ["conv_id", "part"], "left").select(
         "conv_id", (F.col("position") + F.coalesce("n", F.lit(0))).alias("depth"), "hash",
         (F.col("total") + F.coalesce("before_total", F.lit(0))).alias("total"),
         F.coalesce("before_hash", _nothing()).alias("before_hash"), _nothing().alias("less_hash"),
         F.col("position").alias("step"), F.lit(False).alias("ends"),
     )
-    whole = joined.mapInArrow(_shifted, _SHIFTED)
-    return stage(whole.select("conv_id", F.col("depth").alias("position"), "hash", "total"), "turn-prefixes")
+    shifted = joined.mapInArrow(_shifted, _SHIFTED)
+    whole = stage(shifted.select("conv_id", F.col("depth").alias("position"), "hash", "total"), "turn-prefixes")
+    discard(rows, local, before)
+    return whole
 
 
 def _carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +269,9 @@ def rebuilt(prefixes: DataFrame, family: int = FAMILY, shared: int = SHARED) ->
         F.lit(True).alias("ends"),
     )
     rows = later.unionByName(from_base).unionByName(turnless).mapInArrow(_shifted, _SHIFTED)
-    return stage(rows.drop("hash"), "rebuilt")
+    whole = stage(rows.drop("hash"), "rebuilt")
+    discard(prefixes, joints)
+    return whole
 
 
 def two_fattest(low: Column, high: Column) -> Column:
@@ -302,18 +308,22 @@ def located(pending: DataFrame, trie: DataFrame, strings: DataFrame, steps: int)
     ``name, length, depth`` (of the last equal prefix), ``leaf_key`` (its next
     prefix, null if it ends there), and the edge: ``edge`` (last key), ``edge_hi``.
     """
-    handles = trie.where("hi > 0").select("handle", F.struct("name", "lo", "hi", "last").alias("node"))
-    at = strings.select("name", "depth", "key")
-    none = F.struct(
+    mine = strings.join(pending.select("name"), "name", "left_semi")
+    node = F.struct("name", "lo", "hi", "last")
+    handles = trie.where("hi > 0").select(F.col("handle").alias("key"), node.alias("node"))
+    # What each prefix finds in the hash table of handles; the search looks at few of them.
+    table = stage(mine.join(handles, "key", "left").select("name", "depth", "key", "next", "node"), "handles")
+    probe = table.select("name", "depth", "node")
+    root = F.struct(
         F.lit(None).cast("long").alias("name"), F.lit(-1).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"),
         _root().alias("last"),
     )
     state = pending.select("name", "length", F.lit(0).cast("long").alias("a"), F.col("length").alias("b"),
-                           none.alias("found"))
+                           root.alias("found"))
     for _ in range(steps):
         open_one = F.col("a") < F.col("b")
         state = state.withColumn("depth", F.when(open_one, two_fattest(F.col("a"), F.col("b"))))
-        state = state.join(at, ["name", "depth"], "left").join(handles, F.col("key") == F.col("handle"), "left")
+        state = state.join(probe, ["name", "depth"], "left")
         hit = F.col("node").isNotNull()
         state = state.select(
             "name", "length", F.when(hit, F.col("node.hi")).otherwise(F.col("a")).alias("a"),
@@ -321,36 +331,38 @@ def located(pending: DataFrame, trie: DataFrame, strings: DataFrame, steps: int)
             F.when(hit, F.col("node")).otherwise(F.col("found")).alias("found"),
         )
     # Does the string hold the whole of the node found? Then it goes on to a child, or leaves there.
-    here = at.select(F.col("name"), F.col("depth").alias("hi"), F.col("key").alias("own"))
-    state = state.withColumn("hi", F.col("found.hi")).join(here, ["name", "hi"], "left")
-    holds = (F.col("hi") == 0) | F.coalesce(F.col("own") == F.col("found.last"), F.lit(False))
-    after = at.select("name", (F.col("depth") - 1).alias("hi"), F.col("key").alias("next"))
-    firsts = trie.where("hi > 0").select("first", F.struct("name", "lo", "hi", "last").alias("child"))
-    state = state.withColumn("holds", holds).join(after, ["name", "hi"], "left").withColumn(
-        "next", F.when(F.col("holds"), F.col("next"))
-    ).join(firsts, F.col("next") == F.col("first"), "left")
-    state = state.withColumn(
-        "edge", F.when(~F.col("holds"), F.col("found")).otherwise(F.col("child"))
-    ).select("name", "length", F.col("hi").alias("base"), "edge")
+    here = table.select("name", F.col("depth").alias("hi"), "key", "next")
+    holds = F.coalesce(F.col("key") == F.col("found.last"), F.lit(False))
+    state = state.withColumn("hi", F.col("found.hi")).join(here, ["name", "hi"], "left").select(
+        "name", "length", "hi", "found", holds.alias("holds"), F.when(holds, F.col("next")).alias("first")
+    )
+    found = stage(state, "found")
+    firsts = trie.where("hi > 0").select("first", node.alias("child"))
+    edge = F.when(~F.col("holds"), F.col("found")).otherwise(F.col("child"))
+    state = found.join(firsts, "first", "left").select("name", "length", F.col("hi").alias("base"), edge.alias("edge"))
     # The last depth at which string and edge are equal.
     on = state.where("edge IS NOT NULL").select("name", F.col("edge.name").alias("rep"), F.col("edge.lo").alias("lo"),
                                                 F.col("edge.hi").alias("hi"))
-    both = on.join(at, "name").where("depth > lo AND depth <= hi").select("name", "rep", "depth", "key")
-    theirs = at.select(F.col("name").alias("rep"), "key")
-    equal = both.join(theirs, ["rep", "key"]).groupBy("name").agg(F.max("depth").alias("equal"))
+    both = on.join(table.select("name", "depth", "key"), "name").where("depth > lo AND depth <= hi")
+    theirs = strings.select(F.col("name").alias("rep"), "key")
+    equal = both.select("name", "rep", "depth", "key").join(theirs, ["rep", "key"]).groupBy("name").agg(
+        F.max("depth").alias("equal")
+    )
     state = state.join(equal, "name", "left").select(
         "name", "length", F.coalesce("equal", "base").alias("depth"), F.col("edge.last").alias("edge"),
         F.col("edge.hi").alias("edge_hi"),
     )
-    leaf = at.select("name", (F.col("depth") - 1).alias("depth"), F.col("key").alias("leaf_key"))
-    return state.join(leaf, ["name", "depth"], "left")
+    leaf = table.select("name", "depth", F.col("next").alias("leaf_key"))
+    exits = stage(state.join(leaf, ["name", "depth"], "left"), "exits")
+    discard(table, found)
+    return exits
 
 
 def build(strings: DataFrame, ends: DataFrame) -> DataFrame:
     """The trie of all strings: name, lo, hi, handle, first, last, up and words of each compacted node.
 
-    ``strings`` has name, depth, key and total of every prefix; ``ends`` has name
-    and length of every string.
+    ``strings`` has name, depth, key, next (key) and total of every prefix, the empty
+    one included; ``ends`` has name and length of every string.
     """
     spark = strings.sparkSession
     longest = ends.agg(F.max("length")).first()[0] or 0
@@ -364,24 +376,25 @@ def build(strings: DataFrame, ends: DataFrame) -> DataFrame:
     trie = stage(trie, "trie")
     pending = stage(ends.where("length > 0").select("name", "length"), "pending")
     while not pending.isEmpty():
-        exits = stage(located(pending, trie, strings, steps), "exits")
+        exits = located(pending, trie, strings, steps)
         order = F.struct(F.xxhash64("name"), "name")
         chosen = exits.where("leaf_key IS NOT NULL").groupBy("leaf_key").agg(F.min_by("name", order).alias("name"))
-        leaves = exits.join(chosen.select("name"), "name", "left_semi").select(
-            "name", F.col("depth").alias("lo"), F.col("length").alias("hi")
-        )
+        chosen = stage(chosen.join(exits.select("name", "depth", "length"), "name"), "chosen")
+        leaves = chosen.select("name", F.col("depth").alias("lo"), F.col("length").alias("hi"))
         # Edges end where a string leaves them, or ends inside.
         cuts = exits.where("edge IS NOT NULL AND depth < edge_hi").select(F.col("edge").alias("last"), "depth").distinct()
-        split = trie.select("last", "name", "lo", "hi").join(cuts, "last")
+        split = stage(trie.select("last", "name", "lo", "hi").join(cuts, "last"), "split")
         along = Window.partitionBy("last").orderBy("depth")
         upper = split.select("name", F.coalesce(F.lag("depth").over(along), F.col("lo")).alias("lo"),
                              F.col("depth").alias("hi"))
         lower = split.groupBy("last", "name", "hi").agg(F.max("depth").alias("lo")).select("name", "lo", "hi")
         fresh = _dressed(leaves.unionByName(upper).unionByName(lower), strings)
-        whole = trie.join(cuts.select("last").distinct(), "last", "left_anti")
-        trie = stage(whole.unionByName(fresh), "trie")
+        whole = trie.join(split.select("last").distinct(), "last", "left_anti")
+        grown = stage(whole.unionByName(fresh), "trie")
         done = exits.where("leaf_key IS NULL").select("name").unionByName(chosen.select("name"))
-        pending = stage(pending.join(done, "name", "left_anti"), "pending")
+        left = stage(pending.join(done, "name", "left_anti"), "pending")
+        discard(trie, pending, exits, chosen, split)
+        trie, pending = grown, left
     return trie
 
 
@@ -397,13 +410,15 @@ def subtree_sums(nodes: DataFrame, figures: list[str], least: str) -> DataFrame:
         )
         further = state.select(F.col("key").alias("above"), F.col("above").alias("further"))
         kept = [c for c in nodes.columns if c not in (*figures, least)]
-        state = stage(
+        raised = stage(
             state.join(risen, "key", "left").join(further, "above", "left").select(
                 *kept, *((F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in figures),
                 F.least(least, f"more_{least}").alias(least), F.col("further").alias("above"),
             ),
             "rising",
         )
+        discard(state)
+        state = raised
     return state.drop("above")
 
 
@@ -471,10 +486,12 @@ def trie_nodes(conversations: DataFrame, family: int = FAMILY, shared: int = SHA
         ),
         "ends",
     )
-    strings = prefixes.where("depth > 0").select(F.col("conv_id").alias("name"), "depth", "key", "total").join(
-        ends.select("name"), "name", "left_semi"
-    )
-    strings = stage(strings, "strings")
+    named = prefixes.withColumnRenamed("conv_id", "name").join(ends.select("name"), "name", "left_semi")
+    empty = ends.select("name", F.lit(0).cast("long").alias("depth"), _root().alias("key"),
+                        F.lit(0).cast("long").alias("total"))
+    named = named.where("depth > 0").select("name", "depth", "key", "total").unionByName(empty)
+    after = named.select("name", (F.col("depth") - 1).alias("depth"), F.col("key").alias("next"))
+    strings = stage(named.join(after, ["name", "depth"], "left"), "strings")
     trie = build(strings, ends)
 
     children = trie.groupBy(F.col("up").alias("key")).agg(F.count("*").alias("children"))
