@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlint.config import BASKET_PERCENTILES, CAP_LABELS, RECOMMENDED_PERCENTILE
 from ledgerlint.functions.columns import finite, first_non_null, order_key, pct
 from ledgerlint.operators.joins import attach_group_values
-from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.operators.quantiles import exact_quantiles
 from ledgerlint.sources.staging import stage
 
 
@@ -58,19 +58,19 @@ def basket_values(lines: DataFrame) -> DataFrame:
 
 
 def _thresholds(
-    baskets: DataFrame, percentiles: Sequence[float], direct_rows: int
+    baskets: DataFrame, percentiles: Sequence[float], parts: int | None
 ) -> list[float | None]:
     probs = [p / 100 for p in percentiles]
-    return exact_quantiles(baskets, "basket_value", probs, direct_rows=direct_rows)
+    return exact_quantiles(baskets, "basket_value", probs, parts=parts)
 
 
 def basket_percentiles(
     baskets: DataFrame,
     percentiles: Sequence[float] = BASKET_PERCENTILES,
-    direct_rows: int = DIRECT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """``(percentile, basket_value)``. ``baskets`` is read several times."""
-    values = _thresholds(baskets, percentiles, direct_rows)
+    values = _thresholds(baskets, percentiles, parts)
     return baskets.sparkSession.createDataFrame(
         list(zip(map(float, percentiles), values)),
         "percentile double, basket_value double",
@@ -81,10 +81,10 @@ def top_baskets(baskets: DataFrame, k: int = 5) -> DataFrame:
     return baskets.orderBy(F.desc("basket_value"), "invoice").limit(k)
 
 
-def basket_stats(baskets: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def basket_stats(baskets: DataFrame, parts: int | None = None) -> DataFrame:
     """One row: count, mean, median, sample deviation, coefficient of variation."""
     (median,) = exact_quantiles(
-        baskets, "basket_value", [0.5], direct_rows=direct_rows
+        baskets, "basket_value", [0.5], parts=parts
     )
     mean, std = F.avg("basket_value"), F.stddev_samp("basket_value")
     return baskets.agg(
@@ -99,10 +99,10 @@ def basket_stats(baskets: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFram
 def cap_impact(
     baskets: DataFrame,
     percentiles: Sequence[float] = BASKET_PERCENTILES,
-    direct_rows: int = DIRECT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Per candidate cap: baskets strictly above it, all counted in one scan."""
-    caps = _thresholds(baskets, percentiles, direct_rows)
+    caps = _thresholds(baskets, percentiles, parts)
     above = [
         F.count_if(F.col("basket_value") > F.lit(cap).cast("double")).alias(f"n{i}")
         for i, cap in enumerate(caps)
@@ -121,6 +121,6 @@ def cap_impact(
     return row.select(F.inline(F.array(*entries)))
 
 
-def recommended_cap(baskets: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    impact = cap_impact(baskets, direct_rows=direct_rows)
+def recommended_cap(baskets: DataFrame, parts: int | None = None) -> DataFrame:
+    impact = cap_impact(baskets, parts=parts)
     return impact.where(F.col("percentile") == RECOMMENDED_PERCENTILE)

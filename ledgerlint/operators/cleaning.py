@@ -16,7 +16,7 @@ from ledgerlint.config import CleaningConfig
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import first_non_null, order_key, pct
 from ledgerlint.operators.joins import attach_group_values
-from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
+from ledgerlint.operators.quantiles import column_quantiles
 from ledgerlint.sources.staging import stage
 
 PAIR = ("invoice", "stockcode")
@@ -147,22 +147,17 @@ def add_basket_value(lines: DataFrame) -> DataFrame:
 
 
 def cap_thresholds(
-    lines: DataFrame, config: CleaningConfig, direct_rows: int = DIRECT_ROWS
+    lines: DataFrame, config: CleaningConfig, parts: int | None = None
 ) -> dict[str, float | None]:
-    """Caps from non-credit lines. Reads ``lines`` several times."""
+    """Caps from non-credit lines. Reads ``lines`` once for each cap, and both ranked together."""
     sales = lines.where(~p.is_credit())
     paid = sales.where(F.col("basket_value") > 0)
-    (price_cap,), (basket_cap,) = at_once(
-        [
-            lambda: exact_quantiles(
-                sales, "price", [config.price_cap_q], direct_rows=direct_rows
-            ),
-            lambda: exact_quantiles(
-                paid, "basket_value", [config.basket_cap_q], direct_rows=direct_rows
-            ),
-        ]
+    caps = column_quantiles(
+        {"price_cap": (sales, "price"), "basket_cap": (paid, "basket_value")},
+        {"price_cap": [config.price_cap_q], "basket_cap": [config.basket_cap_q]},
+        parts=parts,
     )
-    return {"price_cap": price_cap, "basket_cap": basket_cap}
+    return {name: cap for name, (cap,) in caps.items()}
 
 
 def _above(column: str, cap: float | None) -> Column:

@@ -7,16 +7,14 @@ value is weighted by the lines of its invoices, not joined back to them.
 
 from __future__ import annotations
 
-from functools import partial
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlint.config import HISTOGRAM_BINS
 from ledgerlint.functions.columns import finite
 from ledgerlint.functions.rank_sums import with_quantile_sums
 from ledgerlint.operators.baskets import invoice_basket_metric
-from ledgerlint.operators.quantiles import DIRECT_ROWS, at_once, exact_quantiles
+from ledgerlint.operators.quantiles import distinct_quantiles, value_ranks
 from ledgerlint.sources.staging import stage
 
 VARIABLES = ("Quantity", "Unit Price", "Basket Value")
@@ -113,25 +111,10 @@ def histogram_log10(values: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     return histogram(logs.withColumn("value", F.log10("value")), bins)
 
 
-def _quantiles_of(
-    values: DataFrame, probs: dict[str, list[float]], direct_rows: int
-) -> dict[str, list[float]]:
-    """Weighted quantiles of each named variable at its own probabilities."""
-
-    def one(name: str) -> list[float]:
-        chosen = values.where(F.col("variable") == name)
-        return exact_quantiles(
-            chosen, "value", probs[name], weight="weight", direct_rows=direct_rows
-        )
-
-    results = at_once([partial(one, name) for name in probs])
-    return dict(zip(probs, results))
-
-
-def boxplot_stats(values: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def boxplot_stats(values: DataFrame, parts: int | None = None) -> DataFrame:
     """Quartiles, whiskers at 1.5 IQR and the rows beyond them."""
     names = [name for name, _, _, _ in _variables(values)]
-    found = _quantiles_of(values, {n: [0.25, 0.5, 0.75] for n in names}, direct_rows)
+    found = distinct_quantiles(values, {n: [0.25, 0.5, 0.75] for n in names}, parts)
     quartiles, fences = found, {}
     for name, (q1, _, q3) in found.items():
         reach = 1.5 * (q3 - q1)
@@ -164,28 +147,6 @@ def boxplot_stats(values: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFram
     )
 
 
-def value_ranks(values: DataFrame) -> DataFrame:
-    """``values`` with the first and last rank of each value in its variable.
-
-    Values are range-partitioned; a running sum within each part is shifted by
-    the weight of the parts before it, of which there is one row each.
-    """
-    parts = stage(
-        values.repartitionByRange("variable", "value").withColumn("part", F.spark_partition_id()), "parts"
-    )
-    sums = parts.groupBy("variable", "part").agg(F.sum("weight").alias("inside"))
-    before = Window.partitionBy("variable").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("variable", "part", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("offset"))
-    running = F.sum("weight").over(Window.partitionBy("variable", "part").orderBy("value"))
-    return (
-        parts.withColumn("running", running)
-        .join(offsets, ["variable", "part"])
-        .withColumn("last_rank", F.col("offset") + F.col("running"))
-        .withColumn("first_rank", F.col("last_rank") - F.col("weight") + 1)
-        .select("variable", "value", "weight", "first_rank", "last_rank")
-    )
-
-
 def qq_points(values: DataFrame) -> DataFrame:
     """Normal Q-Q points with the fitted line, per variable.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
 from ledgerlint.functions import predicates as p
-from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.operators.quantiles import exact_quantiles
 from ledgerlint.sources.staging import stage
 
 FEATURES = ("quantity", "price", "basket_value")
@@ -158,7 +158,7 @@ def score_lines(
 
 
 def remove_outliers(
-    lines: DataFrame, config: CleaningConfig, direct_rows: int = DIRECT_ROWS
+    lines: DataFrame, config: CleaningConfig, parts: int | None = None
 ) -> DataFrame:
     """Drop the ``isolation_contam`` share of sale lines that isolate fastest.
 
@@ -173,7 +173,7 @@ def remove_outliers(
         "scored",
     )
     (threshold,) = exact_quantiles(
-        scored, SCORE, [1.0 - config.isolation_contam], direct_rows=direct_rows
+        scored, SCORE, [1.0 - config.isolation_contam], parts=parts
     )
     outlier = p.holds(F.col(SCORE) > F.lit(threshold).cast("double"))
     return scored.where(~outlier).drop(SCORE)

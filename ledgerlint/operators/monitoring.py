@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlint.functions import predicates as p
 from ledgerlint.functions.columns import finite, truncate_ntz
 from ledgerlint.operators.joins import attach_group_values, complete
-from ledgerlint.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from ledgerlint.operators.quantiles import exact_quantiles
 from ledgerlint.sources.staging import stage
 
 MIN_SHARE = 1e-6
@@ -23,7 +23,7 @@ def psi_buckets(
     column: str,
     is_expected: Column,
     buckets: int = 10,
-    direct_rows: int = DIRECT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Shares of both samples per quantile bucket of the expected one.
 
@@ -36,7 +36,7 @@ def psi_buckets(
         p.holds(is_expected).alias("expected"),
     ).where(F.col("x").isNotNull())
     probs = [i / buckets for i in range(1, buckets)]
-    edges = exact_quantiles(data.where("expected"), "x", probs, direct_rows=direct_rows)
+    edges = exact_quantiles(data.where("expected"), "x", probs, parts=parts)
     bucket = F.lit(0)
     for edge in edges:
         bucket = bucket + (F.col("x") > F.lit(edge).cast("double")).cast("int")
@@ -68,10 +68,10 @@ def psi(
     column: str,
     is_expected: Column,
     buckets: int = 10,
-    direct_rows: int = DIRECT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Population stability index as one row."""
-    per_bucket = psi_buckets(values, column, is_expected, buckets, direct_rows)
+    per_bucket = psi_buckets(values, column, is_expected, buckets, parts)
     return per_bucket.agg(F.sum("contribution").alias("psi"))
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlint.config import HIGH_NULL_PCT
 from ledgerlint.functions import predicates as p
@@ -85,26 +85,70 @@ def high_null_columns(lines: DataFrame) -> DataFrame:
     return null_counts(lines).where(F.col("null_pct") > HIGH_NULL_PCT)
 
 
+def _lane(field: T.StructField) -> str:
+    """The kind of value a column's values are compared as."""
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return "real"
+    if isinstance(field.dataType, (T.IntegralType, T.BooleanType, T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return "whole"
+    return "text"
+
+
+def _as_lane(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(field.dataType, T.TimestampNTZType):
+        # Microseconds, without passing through a time zone.
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", start, value)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_micros(value)
+    return value.cast({"real": "double", "whole": "long", "text": "string"}[_lane(field)])
+
+
+def _approximate_counts(lines: DataFrame) -> DataFrame:
+    """A sketch of a fixed size for each column, all in one scan."""
+    row = lines.agg(
+        F.count(F.lit(1)).alias("total"),
+        *(F.approx_count_distinct(f"`{c}`").alias(f"c{i}") for i, c in enumerate(lines.columns)),
+    )
+    entries = [
+        F.struct(F.lit(i).alias("column"), F.col(f"c{i}").alias("found"), "total") for i in range(len(lines.columns))
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def unique_counts(lines: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column. Reads ``lines`` once per column.
+    """Distinct non-null values per column, in one scan.
 
-    Each column is counted on its own, so a pass over a stored table reads one
-    column and a frequent value costs one row per task. ``approximate`` uses a
-    fixed-size sketch per column and shuffles nothing else.
+    Every line yields a row (column number, value) for each column. They are
+    combined by hash before the one exchange of values, so a value that repeats
+    travels once per task; the second exchange has a row per column and task.
+    Values are compared by type: text, whole numbers and real numbers each have a
+    field of their own. ``approximate`` uses sketches and exchanges nothing else.
     """
-    count = F.count(F.lit(1))
-
-    def column(c: str) -> DataFrame:
-        if approximate:
-            return lines.agg(F.approx_count_distinct(c).alias("unique_count"), count.alias("total_count"))
-        values = lines.groupBy(F.col(c).alias("v")).agg(count.alias("n"))
-        total = F.coalesce(F.sum("n"), F.lit(0))
-        return values.agg(F.count("v").alias("unique_count"), total.alias("total_count"))
-
-    found = [column(c).select(F.lit(c).alias("column_name"), "*") for c in lines.columns]
-    return reduce(DataFrame.unionByName, found).select(
-        "column_name", "unique_count", pct(F.col("unique_count"), F.col("total_count")).alias("unique_pct"),
-        "total_count",
+    fields = lines.schema.fields
+    if approximate:
+        counts = _approximate_counts(lines)
+    else:
+        kinds = {"text": "string", "whole": "long", "real": "double"}
+        cells = [
+            F.struct(
+                F.lit(i).alias("column"),
+                *((_as_lane(f) if _lane(f) == k else F.lit(None)).cast(t).alias(k) for k, t in kinds.items()),
+            )
+            for i, f in enumerate(fields)
+        ]
+        values = lines.select(F.inline(F.array(*cells))).groupBy("column", *kinds).agg(F.count(F.lit(1)).alias("n"))
+        held = F.col("text").isNotNull() | F.col("whole").isNotNull() | F.col("real").isNotNull()
+        counts = values.groupBy("column").agg(F.count_if(held).alias("found"), F.sum("n").alias("total"))
+    names = lines.sparkSession.createDataFrame(
+        [(i, f.name) for i, f in enumerate(fields)], "column int, column_name string"
+    )
+    found, total = F.coalesce("found", F.lit(0)), F.coalesce("total", F.lit(0))
+    return names.join(counts, "column", "left").select(
+        "column_name", found.alias("unique_count"), pct(found, total).alias("unique_pct"), total.alias("total_count")
     )
 
 

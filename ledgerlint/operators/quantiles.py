@@ -1,12 +1,11 @@
-"""Exact quantiles of columns too large, or too varied, for one task.
+"""Exact quantiles by ranks over range partitions.
 
 The built-in exact percentile keeps a map of every distinct value in a single
-buffer. Here the wanted ranks are narrowed down instead: an approximate sketch
-proposes split points, one aggregate counts the rows of each interval exactly,
-and only intervals that hold a wanted rank stay open. Each pass reads the
-column once without shuffling rows and shrinks the open part about
-thousandfold. When what is open is small, its distinct values are ranked. The
-sketch only proposes splits; all ranks come from exact counts.
+buffer. Here values are combined on the map side, so a frequent value is one row
+per task, and the distinct values are dealt into range partitions. One row for each
+partition tells which of them holds a wanted rank; only those are read again, and
+running sums in them give the values. No task sees more than a range of values, at
+any size, and several columns share the passes.
 
 Linear interpolation between the two neighbouring order statistics.
 """
@@ -14,176 +13,132 @@ Linear interpolation between the two neighbouring order statistics.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from typing import TypeVar
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.functions.columns import finite
+from ledgerlint.sources.staging import stage
 
-DIRECT_ROWS = 2_000_000
-SPLITS = 1024
-_INF = math.inf
-T = TypeVar("T")
+KEY = ("variable", "value")
 
 
-@dataclass(frozen=True)
-class _Interval:
-    """Values in ``[low, high)``: their rows, weight and the weight below."""
+def ranged(values: DataFrame, parts: int | None = None) -> DataFrame:
+    """``values`` (variable, value, weight) stored in order, with the number ``part`` of their range.
 
-    low: float
-    high: float
-    rows: int
-    weight: int
-    below: int
+    ``parts`` fixes the number of ranges; by default Spark sizes them.
+    """
+    dealt = values.repartitionByRange(*([] if parts is None else [parts]), *KEY)
+    return stage(dealt.withColumn("part", F.spark_partition_id()), "parts")
 
-    def holds(self, rank: int) -> bool:
-        return self.below <= rank < self.below + self.weight
 
+def _running() -> Window:
+    return Window.partitionBy("variable", "part").orderBy("value")
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probs: Sequence[float],
-    weight: str | None = None,
-    direct_rows: int = DIRECT_ROWS,
-) -> list[float | None]:
-    """Quantiles of ``column`` at ``probs``; nulls, NaN and infinities ignored.
 
-    ``weight`` names an integer column saying how often each value counts.
-    ``df`` is read a few times, so pass a stored table. All None when empty.
+def value_ranks(values: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct ``values`` with the first and last rank of each value in its variable.
+
+    A running sum within each part is shifted by the weight of the parts before it,
+    of which there is one row each.
     """
-    value = finite(F.col(column).cast("double"))
-    times = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    data = df.select(value.alias("x"), times.alias("w")).where(
-        F.col("x").isNotNull() & (F.col("w") > 0)
+    stored = ranged(values, parts)
+    sums = stored.groupBy("variable", "part").agg(F.sum("weight").alias("inside"))
+    before = Window.partitionBy("variable").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("variable", "part", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("offset"))
+    return (
+        stored.withColumn("running", F.sum("weight").over(_running()))
+        .join(offsets, ["variable", "part"])
+        .withColumn("last_rank", F.col("offset") + F.col("running"))
+        .withColumn("first_rank", F.col("last_rank") - F.col("weight") + 1)
+        .select(*KEY, "weight", "first_rank", "last_rank")
     )
-    totals = data.agg(F.count("x").alias("rows"), F.sum("w").alias("weight")).first()
-    if not totals["rows"]:
-        return [None] * len(probs)
-    total = totals["weight"]
-
-    spots = []
-    for p in probs:
-        position = p * (total - 1)
-        low = min(math.floor(position), total - 1)
-        spots.append((low, min(low + 1, total - 1), position - low))
-    ranks = sorted({r for low, high, _ in spots for r in (low, high)})
-
-    everything = _Interval(-_INF, _INF, totals["rows"], total, 0)
-    found = _values_at(data, [everything], ranks, direct_rows)
-    return [
-        found[low] if not part else found[low] + (found[high] - found[low]) * part
-        for low, high, part in spots
-    ]
-
-
-def at_once(calls: Sequence[Callable[[], T]]) -> list[T]:
-    """Results of independent calls whose Spark jobs may overlap."""
-    if len(calls) < 2:
-        return [call() for call in calls]
-    with ThreadPoolExecutor(len(calls)) as pool:
-        return list(pool.map(lambda call: call(), calls))
-
-
-def _values_at(
-    data: DataFrame, intervals: list[_Interval], ranks: list[int], direct_rows: int
-) -> dict[int, float]:
-    found: dict[int, float] = {}
-    while True:
-        opened = []
-        for interval in intervals:
-            inside = [r for r in ranks if r not in found and interval.holds(r)]
-            if inside and math.nextafter(interval.low, _INF) >= interval.high:
-                found.update((r, interval.low) for r in inside)
-            elif inside:
-                opened.append(interval)
-        if not opened:
-            return found
-        active = data.where(_within(opened))
-        if sum(i.rows for i in opened) <= direct_rows:
-            found.update(_rank_directly(active, opened, ranks))
-            return found
-        intervals = _count_intervals(active, opened)
-
-
-def _within(intervals: list[_Interval]) -> Column:
-    """Row filter for the open intervals, neighbours merged."""
-    merged: list[list[float]] = []
-    for interval in intervals:
-        if merged and merged[-1][1] == interval.low:
-            merged[-1][1] = interval.high
-        else:
-            merged.append([interval.low, interval.high])
-    keep = F.lit(False)
-    for low, high in merged:
-        keep = keep | ((F.col("x") >= F.lit(low)) & (F.col("x") < F.lit(high)))
-    return keep
-
-
-def _with_bucket(data: DataFrame, splits: list[float], column: str, name: str) -> DataFrame:
-    """``name``: number of the interval between ``splits`` that holds ``column``."""
-    if len(splits) == 2:
-        return data.withColumn(name, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(data)
-
-
-def _count_intervals(active: DataFrame, opened: list[_Interval]) -> list[_Interval]:
-    """Cut the open intervals at sketch quantiles and count each piece."""
-    grid = [i / SPLITS for i in range(SPLITS + 1)]
-    proposed = active.agg(
-        F.percentile_approx("x", grid, F.lit(10 * SPLITS)).alias("s")
-    ).first()["s"]
-    # The next double after each split isolates a value with many copies.
-    cuts = {c for s in proposed for c in (s, math.nextafter(s, _INF))}
-    cuts.update(edge for i in opened for edge in (i.low, i.high))
-    splits = sorted(cuts | {-_INF, _INF})
-    counted = (
-        _with_bucket(active, splits, "x", "bucket")
-        .groupBy("bucket")
-        .agg(F.count("x").alias("rows"), F.sum("w").alias("weight"))
-        .collect()
-    )  # at most about two rows per split
-    by_bucket = {int(r["bucket"]): (r["rows"], r["weight"]) for r in counted}
-
-    lows = [i.low for i in opened]
-    below = [i.below for i in opened]
-    pieces = []
-    for bucket in sorted(by_bucket):
-        rows, weight = by_bucket[bucket]
-        owner = bisect_right(lows, splits[bucket]) - 1
-        pieces.append(
-            _Interval(splits[bucket], splits[bucket + 1], rows, weight, below[owner])
-        )
-        below[owner] += weight
-    return pieces
-
-
-def _rank_directly(
-    active: DataFrame, opened: list[_Interval], ranks: list[int]
-) -> dict[int, float]:
-    """Rank the distinct values of the open intervals; at most ``direct_rows``."""
-    edges = sorted({e for i in opened for e in (i.low, i.high)} | {-_INF, _INF})
-    below = {i.low: i.below for i in opened}
-    offsets = F.array(*(F.lit(below.get(e, 0)).cast("long") for e in edges))
-    counted = active.groupBy("x").agg(F.sum("w").alias("w"))
-    running = Window.partitionBy("bucket").orderBy("x")
-    spans = (
-        _with_bucket(counted, edges, "x", "bucket")
-        .withColumn("end", F.sum("w").over(running))
-        .withColumn("end", F.col("end") + F.get(offsets, F.col("bucket").cast("int")))
-        .select("x", (F.col("end") - F.col("w") - 0.5).alias("a"), (F.col("end") - 0.5).alias("b"))
-    )
-    # A value holds the ranks whose positions fall between its two ends.
-    marks = [-_INF, *map(float, ranks), _INF]
-    spans = _with_bucket(spans, marks, "a", "first")
-    spans = _with_bucket(spans, marks, "b", "last")
-    rows = spans.where(F.col("first") < F.col("last")).select("x", "first", "last").collect()
+
+
+def _values_at(stored: DataFrame, wanted: Mapping[str, Sequence[int]], sums: Sequence[tuple]) -> dict:
+    """The value at each wanted rank (from 0) of each variable, as {(variable, rank): value}.
+
+    ``sums`` are (variable, part, weight), in the order of the parts.
+    """
+    spots, below = [], dict.fromkeys(wanted, 0)
+    for variable, part, weight in sums:
+        start = below[variable]
+        spots += [(variable, part, r - start, r) for r in wanted[variable] if start <= r < start + weight]
+        below[variable] = start + weight
+    # A few rows: two for each probability.
+    asked = stored.sparkSession.createDataFrame(spots, "variable string, part int, inside long, rank long")
+    opened = F.lit(False)
+    for variable, part in sorted({(s[0], s[1]) for s in spots}):
+        opened = opened | ((F.col("part") == part) & (F.col("variable") == variable))
+    running = stored.where(opened).withColumn("after", F.sum("weight").over(_running()))
+    inside = (F.col("inside") < F.col("after")) & (F.col("inside") >= F.col("after") - F.col("weight"))
+    found = running.join(asked, ["variable", "part"]).where(inside).select("variable", "rank", "value").collect()
+    return {(r["variable"], r["rank"]): r["value"] for r in found}
+
+
+def distinct_quantiles(
+    values: DataFrame, probs: Mapping[str, Sequence[float]], parts: int | None = None
+) -> dict[str, list[float | None]]:
+    """Quantiles of each named variable at its own probabilities; all None for one without values.
+
+    ``values`` has variable, value and weight, one row for each distinct value, and
+    weights above 0.
+    """
+    stored = ranged(values.select(*KEY, "weight").where(F.col("variable").isin(list(probs))), parts)
+    per_part = stored.groupBy("variable", "part").agg(F.sum("weight").alias("w")).collect()
+    sums = sorted((r["variable"], r["part"], r["w"]) for r in per_part)
+    totals = dict.fromkeys(probs, 0)
+    for variable, _, weight in sums:
+        totals[variable] += weight
+
+    spots = {}
+    for variable, total in totals.items():
+        spots[variable] = []
+        for p in probs[variable] if total else ():
+            position = p * (total - 1)
+            low = min(math.floor(position), total - 1)
+            spots[variable].append((low, min(low + 1, total - 1), position - low))
+    wanted = {v: sorted({r for low, high, _ in s for r in (low, high)}) for v, s in spots.items()}
+    found = _values_at(stored, wanted, sums) if sums else {}
+
+    def at(variable: str, low: int, high: int, part: float) -> float:
+        first = found[variable, low]
+        return first if not part else first + (found[variable, high] - first) * part
+
     return {
-        rank: r["x"] for r in rows for rank in ranks[int(r["first"]) : int(r["last"])]
+        v: [at(v, *spot) for spot in spots[v]] if totals[v] else [None] * len(probs[v]) for v in probs
     }
+
+
+def column_quantiles(
+    columns: Mapping[str, tuple[DataFrame, str]],
+    probs: Mapping[str, Sequence[float]],
+    weight: str | None = None,
+    parts: int | None = None,
+) -> dict[str, list[float | None]]:
+    """Quantiles of several columns at once: a frame and a column of it by name.
+
+    Null, NaN and infinities are ignored. ``weight`` names an integer column of the
+    frames saying how often each value counts. Frames are read once.
+    """
+    long = None
+    for name, (df, column) in columns.items():
+        times = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+        one = df.select(
+            F.lit(name).alias("variable"), finite(F.col(column).cast("double")).alias("value"), times.alias("weight")
+        )
+        long = one if long is None else long.unionByName(one)
+    usable = long.where(F.col("value").isNotNull() & (F.col("weight") > 0))
+    # Adding 0.0 makes -0.0 equal to it.
+    distinct = usable.groupBy("variable", (F.col("value") + F.lit(0.0)).alias("value")).agg(
+        F.sum("weight").alias("weight")
+    )
+    return distinct_quantiles(distinct, probs, parts)
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, probs: Sequence[float], weight: str | None = None, parts: int | None = None
+) -> list[float | None]:
+    """Quantiles of ``column`` at ``probs``; all None when there is no value."""
+    return column_quantiles({column: (df, column)}, {column: list(probs)}, weight, parts)[column]

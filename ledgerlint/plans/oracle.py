@@ -11,6 +11,7 @@ from ledgerlint.config import (
     CAP_LABELS,
     EU_COUNTRIES,
     HISTOGRAM_BINS,
+    NORMALITY_ALPHA,
     NORMALITY_SAMPLE,
     WATERFALL_STEPS,
 )
@@ -381,6 +382,28 @@ vals AS (
   UNION ALL SELECT 'Basket Value', basket_value FROM tx JOIN metric USING (invoice)
 )"""
 
+# Prices and quantities that are null, infinite or negative; NaN is null once read.
+TRAPS = """,
+coded AS (SELECT *, CAST(substr(stockcode, 2) AS BIGINT) AS code FROM tx),
+traps AS (
+  SELECT * EXCLUDE (code) REPLACE (
+    CASE (code * 7 + abs(quantity)) % 101 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'inf'::DOUBLE
+         WHEN 3 THEN -price WHEN 4 THEN '-inf'::DOUBLE ELSE price END AS price,
+    CASE WHEN (code + abs(quantity)) % 103 = 0 THEN NULL ELSE quantity END AS quantity)
+  FROM coded
+)"""
+SANITY_METRICS_TRAPS = f"WITH {TX}{TRAPS} {SANITY_METRICS.replace('FROM tx', 'FROM traps')}"
+FINITE_TRAPS = f"""
+WITH {TX}{TRAPS}{METRIC.replace("tx", "traps")},
+vals AS (
+  SELECT 'Quantity' AS variable, CAST(quantity AS DOUBLE) AS value FROM traps
+  UNION ALL SELECT 'Unit Price', price FROM traps
+  UNION ALL SELECT 'Basket Value', basket_value FROM traps JOIN metric USING (invoice)
+)
+SELECT variable, count(*) AS row_count, round(min(value), 4) AS low, round(max(value), 4) AS high,
+       round(avg(value), 4) AS mean
+FROM vals WHERE value IS NOT NULL AND isfinite(value) GROUP BY variable"""
+
 ROLLUP = f"""
 , rollup_all AS (
   SELECT invoice, coalesce(sum(quantity * price), 0e0) AS basket_value,
@@ -491,7 +514,7 @@ def _poly_sql(coefficients: tuple[float, ...], u: str) -> str:
     return " + ".join(f"({c!r}) * pow({u}, {i})" for i, c in enumerate(coefficients))
 
 
-SHAPIRO = f"""
+_WEIGHTED = f"""
 WITH {TX}
 , metric AS (
   SELECT invoice, coalesce(sum(quantity), 0) * avg(price) AS basket_value
@@ -536,11 +559,48 @@ weighted AS (
          END AS a
   FROM scored s JOIN outer_weights USING (variable)
 )
+"""
+
+SHAPIRO = f"""{_WEIGHTED}
 SELECT variable, count(*) AS sample_size,
        round(least(pow(sum(a * value), 2) / (var_pop(value) * count(*)), 1e0), 6) AS statistic
 FROM weighted GROUP BY variable"""
 
 
+def _normal_tail(z: str) -> str:
+    """Probability above ``z``: Taylor's series near 0, else Laplace's continued fraction."""
+    density = f"(exp(-0.5e0 * {z} * {z}) / sqrt(2e0 * pi()))"
+    fraction = f"abs({z})"
+    for k in range(60, 0, -1):
+        fraction = f"(abs({z}) + {k}e0 / {fraction})"
+    series = "1e0"
+    for k in range(40, 0, -1):
+        series = f"(1e0 + {z} * {z} / {2 * k + 1}e0 * {series})"
+    far = f"{density} / {fraction}"
+    return (
+        f"CASE WHEN abs({z}) < 2.5e0 THEN 0.5e0 - {density} * {z} * {series} "
+        f"WHEN {z} > 0 THEN {far} ELSE 1e0 - {far} END"
+    )
+
+
+# Royston's approximation for samples of twelve and more.
+NORMALITY = f"""{_WEIGHTED},
+tested AS (
+  SELECT variable, count(*) AS sample_size,
+         least(pow(sum(a * value), 2) / (var_pop(value) * count(*)), 1e0) AS statistic
+  FROM weighted GROUP BY variable
+),
+scaled AS (
+  SELECT *, (ln(1e0 - statistic) - ({_poly_sql(normality._LARGE_MEAN, "ln(sample_size)")}))
+         / exp({_poly_sql(normality._LARGE_LOG_SD, "ln(sample_size)")}) AS z
+  FROM tested
+),
+proven AS (SELECT *, {_normal_tail("z")} AS p FROM scaled)
+SELECT variable, round(p, 6) AS p_value, round(statistic, 6) AS statistic,
+       CASE WHEN p < {NORMALITY_ALPHA} THEN 'No' ELSE 'Yes' END AS is_normal, sample_size, '' AS notes
+FROM proven"""
+
+
 CAP_IMPACT = f"""{ROLLUP},
 impact AS ({_union([
     f"SELECT {p}e0 AS percentile, '{CAP_LABELS[p]}' AS approach, t AS threshold, "
@@ -713,6 +773,34 @@ ORACLE_SQL: dict[str, str] = {
     "boxplot_stats_refined": _boxplot(VALUES),
     "qq_points": QQ_POINTS,
     "shapiro_statistics": SHAPIRO,
+    "normality_tests": NORMALITY,
+    "csv_round_trip": _select(
+        "SELECT count(*) AS rows_read, CAST(sum(quantity) AS BIGINT) AS quantity, round(sum(price), 2) AS price, "
+        "count(customer_id) AS customers, count(description) AS descriptions, "
+        "strftime(min(invoicedate), '%Y-%m-%d %H:%M:%S') AS first_date FROM tx"
+    ),
+    "reuse_or_build": _select(
+        "SELECT '1 first years' AS step, 'built' AS action, "
+        "count(*) FILTER (WHERE source_year = '1995-1997') AS row_count FROM tx "
+        "UNION ALL SELECT '2 no change', 'reused', count(*) FILTER (WHERE source_year = '1995-1997') FROM tx "
+        "UNION ALL SELECT '3 last years added', 'rebuilt', count(*) FROM tx "
+        "UNION ALL SELECT '4 last years changed', 'rebuilt', "
+        "count(*) FILTER (WHERE source_year = '1995-1997' OR quantity > 0) FROM tx"
+    ),
+    "row_rules_stream": _select(
+        f"SELECT *, round({BASKET}, 4) AS basket_value, {BUCKET} AS country_bucket, "
+        f"CAST({CREDIT} AS INTEGER) AS is_cancelled FROM tx "
+        f"WHERE NOT {TECHNICAL} AND price <= 10000 AND NOT {ZERO_SALE}"
+    ),
+    "anomaly_flags_stream": _select(
+        "SELECT *, " + ", ".join(f"{c} AS {n}" for n, c in FLAGS.items()) + " FROM tx"
+    ),
+    "drop_technical_traps": _select(f"SELECT * FROM traps WHERE NOT {TECHNICAL}", TRAPS),
+    "drop_extreme_price_traps": _select("SELECT * FROM traps WHERE price <= 10000", TRAPS),
+    "drop_zero_price_traps": _select(f"SELECT * FROM traps WHERE NOT {ZERO_SALE}", TRAPS),
+    "basket_value_traps": _select(f"SELECT *, round({BASKET}, 4) AS basket_value FROM traps", TRAPS),
+    "sanity_metrics_traps": SANITY_METRICS_TRAPS,
+    "finite_values_traps": FINITE_TRAPS,
     "round_trip": _select(
         "SELECT count(*) AS rows_written, count(*) AS rows_read, 0 AS differing FROM tx"
     ),

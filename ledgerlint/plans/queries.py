@@ -16,14 +16,15 @@ from ledgerlint.functions.columns import truncate_ntz
 from ledgerlint.functions.predicates import is_credit
 from ledgerlint.operators import anomalies, baskets, checks, cleaning, distribution
 from ledgerlint.operators import forest, monitoring, normality, profiling
-from ledgerlint.operators.quantiles import DIRECT_ROWS
 from ledgerlint.operators.waterfall import label_lines, loss_totals, waterfall
 from ledgerlint.plans.cleaning_run import run_cleaning
 from ledgerlint.sources import fixture
 from ledgerlint.sources.manifest import file_manifest
 from ledgerlint.sources.schema import LINE_COLUMNS, RAW_SCHEMA
 from ledgerlint.sources.staging import stage, staging_dir
-from ledgerlint.sources.tables import combine_years, load_metadata, read_lines, write_lines
+from ledgerlint.sources.tables import combine_years, load_metadata, read_lines, read_year_csv, write_lines
+from ledgerlint.sources.versions import read_or_rebuild
+from ledgerlint.streaming import row_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +39,10 @@ IMPUTE = CleaningConfig(
 )
 WITH_FOREST = CleaningConfig(date_min=fixture.DATE_MIN, date_max=fixture.DATE_MAX)
 SALT = "ledger"
-# So few rows are ranked directly that the tables of any check are refined first.
-REFINED_ROWS = 200
+# Files in which the lines of some years arrive.
+STREAM_FILES = 8
+# So many ranges that those of small tables hold a few values each, as large tables have.
+MANY_PARTS = 64
 
 
 def _on_view(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -107,8 +110,86 @@ def _round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cap_thresholds(valued: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    caps = cleaning.cap_thresholds(valued, CONFIG, direct_rows)
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as CSV by year, read back and counted."""
+    path = f"{staging_dir(spark)}/csv-{uuid.uuid4().hex}"
+    view = fixture.transactions(spark, sf_dir)
+    header = dict(zip(LINE_COLUMNS, RAW_SCHEMA.fieldNames()))
+    raw = view.drop("source_year").select(*(F.col(c).alias(header.get(c, c)) for c in LINE_COLUMNS[:-1]))
+    write_lines(raw, path, fmt="csv")
+    again = combine_years({"all": read_year_csv(spark, path)})
+    return rounded(
+        again.agg(
+            F.count("*").alias("rows_read"), F.sum("quantity").alias("quantity"), F.sum("price").alias("price"),
+            F.count("customer_id").alias("customers"), F.count("description").alias("descriptions"),
+            F.min("invoicedate").cast("string").alias("first_date"),
+        ),
+        "price", digits=2,
+    )
+
+
+def _reuse_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is done with a stored table as its source files stay, grow and change."""
+    base = f"{staging_dir(spark)}/reuse-{uuid.uuid4().hex}"
+    incoming, table = f"{base}/incoming", f"{base}/combined"
+    view = fixture.transactions(spark, sf_dir)
+    years = {year: view.where(F.col("source_year") == year) for year in (fixture.FIRST_YEARS, fixture.LAST_YEARS)}
+    steps = []
+
+    def visit(step: str) -> None:
+        lines, action = read_or_rebuild(spark, table, f"{incoming}/*", lambda: spark.read.parquet(f"{incoming}/*"))
+        steps.append((step, action, lines.count()))
+
+    write_lines(years[fixture.FIRST_YEARS], f"{incoming}/first")
+    visit("1 first years")
+    visit("2 no change")
+    write_lines(years[fixture.LAST_YEARS], f"{incoming}/last")
+    visit("3 last years added")
+    write_lines(years[fixture.LAST_YEARS].where("quantity > 0"), f"{incoming}/last", mode="overwrite")
+    visit("4 last years changed")
+    return spark.createDataFrame(steps, "step string, action string, row_count long")
+
+
+def _streamed(rules: Callable[[DataFrame], DataFrame]) -> Query:
+    """Rules over lines that arrive in files, processed in two runs of several batches."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = f"{staging_dir(spark)}/stream-{uuid.uuid4().hex}"
+        incoming, sink, checkpoint = (f"{base}/{name}" for name in ("incoming", "sink", "checkpoint"))
+        view = fixture.transactions(spark, sf_dir)
+        for year in (fixture.FIRST_YEARS, fixture.LAST_YEARS):
+            arrived = view.where(F.col("source_year") == year).repartition(STREAM_FILES, "invoice", "stockcode")
+            arrived.write.mode("append").parquet(incoming)
+            out = row_rules.run(spark, incoming, sink, checkpoint, rules, files_per_batch=STREAM_FILES // 2)
+        return out
+
+    return query
+
+
+def _row_rules_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_streamed(row_rules.apply_row_rules)(spark, sf_dir), "basket_value")
+
+
+def _on_traps(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    """A single-pass operator over the view with null, infinite and negative values."""
+    return lambda spark, sf_dir: operator(fixture.transactions_with_traps(spark, sf_dir))
+
+
+def _finite_values(lines: DataFrame) -> DataFrame:
+    """What the distributions keep of each variable."""
+    values = distribution.distribution_values(stage(lines, "lines"))
+    weighted = F.col("value") * F.col("weight")
+    return rounded(
+        values.groupBy("variable").agg(
+            F.sum("weight").alias("row_count"), F.min("value").alias("low"), F.max("value").alias("high"),
+            (F.sum(weighted) / F.sum("weight")).alias("mean"),
+        ),
+        "low", "high", "mean",
+    )
+
+
+def _cap_thresholds(valued: DataFrame, parts: int | None = None) -> DataFrame:
+    caps = cleaning.cap_thresholds(valued, CONFIG, parts)
     return rounded(cleaning.capped_counts(valued, caps), "price_cap", "basket_cap")
 
 
@@ -179,6 +260,10 @@ def _qq_points(values: DataFrame) -> DataFrame:
     return points.withColumn("theoretical", F.col("theoretical") + 0.0)  # no negative zero
 
 
+def _normality_tests(lines: DataFrame) -> DataFrame:
+    return rounded(normality.normality_tests(lines), "p_value", "statistic", digits=6)
+
+
 def _shapiro_statistics(lines: DataFrame) -> DataFrame:
     return rounded(normality.shapiro_wilk(normality.sample_values(lines)), "statistic", digits=6)
 
@@ -196,8 +281,8 @@ def _forest_counts(valued: DataFrame) -> DataFrame:
     return both.select("credit_lines", "credit_kept", "sale_lines", within.alias("within_share"))
 
 
-def _boxplot(values: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    table = distribution.boxplot_stats(values, direct_rows)
+def _boxplot(values: DataFrame, parts: int | None = None) -> DataFrame:
+    table = distribution.boxplot_stats(values, parts)
     return rounded(table, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
@@ -238,6 +323,18 @@ QUERIES: dict[str, Query] = {
     "file_manifest": _manifest,
     "load_metadata": _on_view(load_metadata),
     "round_trip": _round_trip,
+    "csv_round_trip": _csv_round_trip,
+    "reuse_or_build": _reuse_or_build,
+    # streams
+    "row_rules_stream": _row_rules_stream,
+    "anomaly_flags_stream": _streamed(row_rules.flag_lines),
+    # null, infinite and negative values
+    "drop_technical_traps": _on_traps(cleaning.drop_technical),
+    "drop_extreme_price_traps": _on_traps(cleaning.drop_extreme_price),
+    "drop_zero_price_traps": _on_traps(cleaning.drop_zero_price),
+    "basket_value_traps": _on_traps(lambda lines: rounded(cleaning.add_basket_value(lines), "basket_value")),
+    "sanity_metrics_traps": _on_traps(profiling.sanity_metrics),
+    "finite_values_traps": _on_traps(_finite_values),
     # cleaning steps
     "exact_dedupe": _on_view(cleaning.drop_exact_duplicates),
     "collapse_lines": _on_view(
@@ -254,7 +351,7 @@ QUERIES: dict[str, Query] = {
         lambda lines: rounded(cleaning.add_basket_value(lines), "basket_value")
     ),
     "cap_thresholds": _on_valued(_cap_thresholds),
-    "cap_thresholds_refined": _on_valued(lambda valued: _cap_thresholds(valued, REFINED_ROWS)),
+    "cap_thresholds_refined": _on_valued(lambda valued: _cap_thresholds(valued, MANY_PARTS)),
     "apply_caps": _on_valued(_apply_caps),
     "country_bucket": _on_view(cleaning.add_country_bucket),
     "country_bucket_counts": _on_view(cleaning.country_bucket_counts),
@@ -275,7 +372,7 @@ QUERIES: dict[str, Query] = {
     "schema_overview": _on_stored(profiling.schema_overview),
     "null_counts": _on_view(profiling.null_counts),
     "high_null_columns": _on_view(profiling.high_null_columns),
-    "unique_counts": _on_stored(profiling.unique_counts),
+    "unique_counts": _on_view(profiling.unique_counts),
     "sanity_metrics": _on_view(profiling.sanity_metrics),
     "duplicate_rows": _on_view(profiling.duplicate_rows),
     "date_coverage": _on_view(profiling.date_coverage),
@@ -296,13 +393,13 @@ QUERIES: dict[str, Query] = {
     "histogram": _on_values(_histogram),
     "histogram_log10": _on_values(_histogram_log10),
     "boxplot_stats": _on_values(_boxplot),
-    "boxplot_stats_refined": _on_values(lambda values: _boxplot(values, REFINED_ROWS)),
+    "boxplot_stats_refined": _on_values(lambda values: _boxplot(values, MANY_PARTS)),
     "lines_with_basket_hot": _on_stored(
         lambda lines: rounded(baskets.lines_with_basket(lines, hot_rows=6), "basket_value", digits=7)
     ),
     "qq_points": _on_values(_qq_points),
     "normality_tests": _on_stored(
-        normality.normality_tests, "invoice", "stockcode", "quantity", "price"
+        _normality_tests, "invoice", "stockcode", "quantity", "price"
     ),
     "shapiro_statistics": _on_stored(
         _shapiro_statistics, "invoice", "stockcode", "quantity", "price"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlint.sources.schema import LINE_COLUMNS
+from ledgerlint.sources.schema import LINE_COLUMNS, typed_lines
 from ledgerlint.sources.tables import spread
 
 YEAR_SPLIT = "1998-01-01 00:00:00"
@@ -88,3 +88,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("source_year"),
         F.explode(copies).alias("copy"),
     ).select(*LINE_COLUMNS)
+
+
+def transactions_with_traps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view with null, NaN, infinite and negative prices and null quantities, as read.
+
+    Reading turns NaN into null.
+    """
+    code = F.expr("cast(substr(stockcode, 2) AS long)")
+    slot = (code * 7 + F.abs("quantity")) % 101
+    price = F.when(slot == 0, F.lit(None)).when(slot == 1, float("nan")).when(slot == 2, float("inf"))
+    price = price.when(slot == 3, -F.col("price")).when(slot == 4, float("-inf")).otherwise(F.col("price"))
+    quantity = F.when((code + F.abs("quantity")) % 103 != 0, F.col("quantity"))
+    view = transactions(spark, sf_dir)
+    return typed_lines(view.withColumns({"price": price.cast("double"), "quantity": quantity}))

@@ -1,14 +1,18 @@
 """File digests.
 
 Each file is hashed by one task in fixed-size chunks, so neither the 2 GB
-limit of a binary column nor executor memory bounds the file size.
+limit of a binary column nor executor memory bounds the file size. Files are dealt
+to tasks by their sizes, the largest first, each to the task with least to read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+import re
 import sys
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -17,6 +21,17 @@ from pyspark.sql import functions as F
 
 _CHUNK = 8 * 1024 * 1024
 TASKS_PER_CORE = 4
+#: What opening a file costs, in bytes read meanwhile.
+OPEN_COST = 1024 * 1024
+
+
+@dataclass(frozen=True)
+class SourceFile:
+    """A file as its file system lists it; ``modified`` is in microseconds."""
+
+    uri: str
+    n_bytes: int
+    modified: int
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,20 +59,48 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(done, columns=["uri", "n_bytes", "sha256"])
 
 
-def hash_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(uri, n_bytes, sha256)`` per file, hashed by many tasks."""
-    # From the file index: a scan would leave out empty files.
-    uris = spark.read.format("binaryFile").load(path).inputFiles()
-    listing = spark.createDataFrame([(uri,) for uri in uris], "uri string").select(
-        F.regexp_replace("uri", "^file:/+", "file:///").alias("uri")
-    )
-    # A given number of parts: rows of a few bytes would be put together into one task.
-    parts = max(1, min(len(uris), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
-    return listing.repartition(parts, "uri").mapInPandas(
+def _plain(uri: str) -> str:
+    return re.sub("^file:/+", "file:///", uri)
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> list[SourceFile]:
+    """The files below a path or pattern, by name. Contents are not read."""
+    files = spark.read.format("binaryFile").load(path)
+    found = files.select(
+        F.input_file_name().alias("uri"), "length", F.unix_micros("modificationTime").alias("modified")
+    ).collect()
+    known = {_plain(r["uri"]): SourceFile(_plain(r["uri"]), r["length"], r["modified"]) for r in found}
+    # From the file index: a scan leaves out empty files.
+    for uri in map(_plain, files.inputFiles()):
+        known.setdefault(uri, SourceFile(uri, 0, 0))
+    return [known[uri] for uri in sorted(known)]
+
+
+def deal(files: Iterable[SourceFile], parts: int) -> list[tuple[str, int]]:
+    """(uri, part): the largest file first, to the part that has least to read."""
+    load = [(0, part) for part in range(parts)]
+    dealt = []
+    for file in sorted(files, key=lambda f: (-f.n_bytes, f.uri)):
+        total, part = heapq.heappop(load)
+        dealt.append((file.uri, part))
+        heapq.heappush(load, (total + file.n_bytes + OPEN_COST, part))
+    return dealt
+
+
+def hash_listed(spark: SparkSession, files: list[SourceFile]) -> DataFrame:
+    """``(uri, n_bytes, sha256)`` of listed files, hashed by many tasks."""
+    parts = max(1, min(len(files), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
+    listing = spark.createDataFrame(deal(files, parts), "uri string, part int")
+    return listing.repartitionById(parts, "part").select("uri").mapInPandas(
         _hash_batches, "uri string, n_bytes long, sha256 string"
     )
 
 
+def hash_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(uri, n_bytes, sha256)`` per file below a path or pattern."""
+    return hash_listed(spark, list_files(spark, path))
+
+
 def file_manifest(
     spark: SparkSession, path: str, expected: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -4,7 +4,8 @@ A staged table is plain Parquet in the shared folder named by
 ``spark.checkpoint.dir``: it survives the loss of executors, cuts lineage, and
 later passes read only the columns they need. Tables lie under
 ``<folder>/ledgerlint/<application id>``; results are lazy over them, so they stay
-until the application ends or ``drop_staged`` is called. In local mode, where the
+until the application ends or ``drop_staged`` is called. A table that nothing reads
+any more, because what came of it is stored itself, can go at once (``discard``). In local mode, where the
 setting is optional, a temporary folder is made once and removed at exit.
 """
 
@@ -14,11 +15,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -41,11 +44,25 @@ def staging_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ledgerlint/{app}"
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove all tables staged by this application; results over them end with them."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, staging_dir(spark))
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that no frame in use reads; others are left alone.
+
+    ``tables`` are frames as ``stage`` returned them.
+    """
+    for table in tables:
+        if path := _PATHS.pop(table, None):
+            _remove(table.sparkSession, path)
 
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -53,4 +70,6 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _PATHS[stored] = path
+    return stored

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlint.functions.columns import truncate_ntz
 from ledgerlint.sources import manifest, tables
 from ledgerlint.sources.schema import LINE_SCHEMA, RAW_SCHEMA, typed_lines
-from ledgerlint.sources.staging import stage, staging_dir
+from ledgerlint.sources.staging import discard, stage, staging_dir
 from ledgerlint.streaming.row_rules import apply_row_rules
 from tests.helpers import column, five, line, lines
 
@@ -169,6 +170,14 @@ def test_stage_uses_the_shared_folder_and_prunes_columns(spark):
     assert sorted(column(plan, "invoice")) == ["489435", "489437", "C489436"]
 
 
+def test_discard_removes_one_staged_table(spark):
+    first, second = stage(five(spark), "first"), stage(five(spark), "second")
+    path = first.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    discard(first, five(spark))
+    assert not os.path.exists(path) and second.count() == 5
+    discard(first)
+
+
 def test_row_rules_work_on_a_stream(spark, tmp_path):
     five(spark).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(LINE_SCHEMA).parquet(str(tmp_path / "in"))
