@@ -798,7 +798,7 @@ ORACLE_SQL: dict[str, str] = {
     "drop_technical_traps": _select(f"SELECT * FROM traps WHERE NOT {TECHNICAL}", TRAPS),
     "drop_extreme_price_traps": _select("SELECT * FROM traps WHERE price <= 10000", TRAPS),
     "drop_zero_price_traps": _select(f"SELECT * FROM traps WHERE NOT {ZERO_SALE}", TRAPS),
-    "basket_value_traps": _select(f"SELECT *, round({BASKET}, 4) AS basket_value FROM traps", TRAPS),
+    "basket_value_traps": _select(f"SELECT *, round({BASKET}, 4) + 0e0 AS basket_value FROM traps", TRAPS),
     "sanity_metrics_traps": SANITY_METRICS_TRAPS,
     "finite_values_traps": FINITE_TRAPS,
     "round_trip": _select(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from ledgerlint.functions.columns import truncate_ntz
 from ledgerlint.sources import manifest, tables
 from ledgerlint.sources.schema import LINE_SCHEMA, RAW_SCHEMA, typed_lines
 from ledgerlint.sources.staging import discard, stage, staging_dir
+from ledgerlint.streaming import row_rules
 from ledgerlint.streaming.row_rules import apply_row_rules
-from tests.helpers import column, five, line, lines
+from tests.helpers import FIVE, column, five, line, lines
 
 HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
 
@@ -194,3 +196,25 @@ def test_row_rules_work_on_a_stream(spark, tmp_path):
     want = apply_row_rules(five(spark))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert column(got.orderBy("invoice"), "is_cancelled") == [0, 1]
+
+
+def test_a_stream_stopped_in_the_middle_is_taken_up(spark, tmp_path):
+    rows = [line(r) for r in FIVE] + [line(invoice=f"7{i:03d}", price=None if i % 9 == 0 else i * 1.0) for i in range(60)]
+    whole = lines(spark, rows)
+    incoming, sink, mark = (str(tmp_path / x) for x in ("incoming", "sink", "checkpoint"))
+    whole.repartition(12, "invoice").write.parquet(incoming)
+    # Stopped once a batch is done, with files left.
+    arriving = row_rules.arriving_lines(spark, incoming, files_per_batch=1)
+    query = row_rules.apply_row_rules(arriving).writeStream.format("parquet").option(
+        "checkpointLocation", mark).trigger(processingTime="0 seconds").start(sink)
+    while query.lastProgress is None:
+        time.sleep(0.05)
+    query.stop()
+    assert len(os.listdir(f"{mark}/commits")) >= 1
+    out = row_rules.run(spark, incoming, sink, mark, files_per_batch=5)
+    want = apply_row_rules(whole)
+    assert sorted(map(repr, out.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    # Nothing new, nothing twice; then more arrives.
+    assert row_rules.run(spark, incoming, sink, mark).count() == want.count()
+    lines(spark, [line(invoice="late")]).write.mode("append").parquet(incoming)
+    assert row_rules.run(spark, incoming, sink, mark).count() == want.count() + 1
