@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns in one, named ``doc``, so that no name clashes with an operator's own."""
+    names = ("`" + c.replace("`", "``") + "`" for c in docs.columns)
+    return F.struct(*map(F.col, names)).alias("doc")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Hand texts to Python in Arrow batches of at most so many rows.
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import SPACES, mix64, row_key, small_batches
+from ledgerlint.llm.common import SPACES, mix64, packed, row_key, small_batches
 from ledgerlint.sources.staging import stage
 
 #: Bits of a filter for each line, and at most.
@@ -203,7 +203,7 @@ def _without() -> Column:
             kept.append("\n".join(rest))
         return pd.DataFrame({"n_dropped": counts, "kept": kept})
 
-    return cut("text", "__gone")
+    return cut("text", "gone")
 
 
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -225,21 +225,19 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
         slim.mapInArrow(_suspects(context.broadcast(twice), min_chars), "row string, key string"), "suspects"
     )
     condemned = stage(pairs.groupBy("key").count().where(F.col("count") >= min_docs).select("key"), "condemned")
-    losses = pairs.join(condemned, "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("__gone"))
+    losses = pairs.join(condemned, "key", "left_semi").groupBy("row").agg(F.collect_set("key").alias("gone"))
 
     # A filter of the condemned keys tells which documents need the join.
     met, _ = filters(condemned, bits, min_chars)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")]
-    marked = docs.select(*names).withColumn("__touched", _touched(context.broadcast(met), min_chars))
-    clean = marked.where(~F.col("__touched")).select(
-        *names, n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), text.alias("kept")
+    kept_columns = [F.col("doc").getField(c).alias(c) for c in names]
+    marked = docs.select(packed(docs), "text", row_key("doc_id", "text").alias("row"), n_lines.alias("n_lines"))
+    marked = marked.withColumn("touched", _touched(context.broadcast(met), min_chars))
+    clean = marked.where("NOT touched").select(
+        *kept_columns, "n_lines", F.lit(0).cast("long").alias("n_dropped"), text.alias("kept")
     )
-    losing = marked.where("__touched").withColumn("__row", row_key("doc_id", "text"))
-    losing = losing.join(losses.withColumnRenamed("row", "__row"), "__row", "left")
-    cut = losing.withColumn("__cut", _without()).select(
-        *names, n_lines.alias("n_lines"), F.col("__cut.n_dropped"), F.col("__cut.kept")
-    )
-    return clean.unionByName(cut)
+    cut = marked.where("touched").join(losses, "row", "left").withColumn("cut", _without())
+    return clean.unionByName(cut.select(*kept_columns, "n_lines", F.col("cut.n_dropped"), F.col("cut.kept")))
 
 
 def digests(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:

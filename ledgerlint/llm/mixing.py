@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import row_key
+from ledgerlint.llm.common import packed, row_key, unpacked
 from ledgerlint.sources.staging import stage
 
 #: Documents of a chunk on average, and chunks that meet in one of the next level.
@@ -209,10 +209,8 @@ def mix(docs: DataFrame, **parameters) -> DataFrame:
     and their copies added up.
     """
     chosen = decide(docs, **parameters).where("size > 0 AND copies > 0")
-    totals = chosen.groupBy("row").agg(F.sum("copies").cast("int").alias("__copies"))
-    one = Window.partitionBy("__row").orderBy("__row")
-    rows = docs.withColumn("__row", row_key("doc_id", "text"))
-    rows = rows.withColumn("__n", F.row_number().over(one)).where("__n = 1")
-    rows = rows.join(totals.withColumnRenamed("row", "__row"), "__row")
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return rows.select(*docs.columns)
+    totals = chosen.groupBy("row").agg(F.sum("copies").cast("int").alias("copies"))
+    one = Window.partitionBy("row").orderBy("row")
+    rows = docs.select(packed(docs), row_key("doc_id", "text").alias("row"))
+    rows = rows.withColumn("n", F.row_number().over(one)).where("n = 1").join(totals, "row")
+    return unpacked(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)

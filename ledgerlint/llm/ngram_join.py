@@ -36,9 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import mix64, row_key, small_batches
+from ledgerlint.llm.common import mix64, packed, row_key, small_batches, unpacked
 from ledgerlint.llm.graph import components
-from ledgerlint.sources.staging import stage
+from ledgerlint.sources.staging import discard, stage
 
 #: Documents worked on at a time, and words whose hash a task remembers.
 BLOCK = 128
@@ -303,15 +303,15 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
     )
     # One document of each node that shares a word lends its text.
     one = members.join(groups.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min("row").alias("__row")
+        F.min("row").alias("row")
     )
-    texts = docs.select(row_key("doc_id", "text").alias("__row"), "text")
-    lent = texts.join(one, "__row").select("node", "text")
+    texts = docs.select(row_key("doc_id", "text").alias("row"), "text")
+    lent = texts.join(one, "row").select("node", "text")
     sets = stage(
         lent.mapInArrow(_sets(n), "node long, grams array<long>, bits array<long>").withColumn("size", F.size("grams")).dropDuplicates(["node"]),
         "sets",
     )
-    known = spark.createDataFrame([], "u long, v long, linked boolean")
+    known, tables = spark.createDataFrame([], "u long, v long, linked boolean"), []
     found = spark.createDataFrame([], "node long, component long")
     for turn in range(STAR_ROUNDS + 1):
         here = groups.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -336,10 +336,14 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
             pairs = _near(both, num, den).select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"), "pairs")
         checked = stage(_verified(pairs, sets, num, den), "checked")
+        discard(here, pairs)
         known = known.unionByName(checked)
+        tables.append(checked)
         if checked.where("linked").isEmpty():
             continue
-        found = components(known.where("linked").select("u", "v"))
+        before, found = found, components(known.where("linked").select("u", "v"))
+        discard(before)
+    discard(groups, sets, *tables)
     return found
 
 
@@ -347,7 +351,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     """row, doc_id, n_shingles, node and component_id of each document.
 
     Sets link when ``den * intersection >= num * union``; component_id is the
-    smallest doc_id that can be reached by links. ``docs`` is read several times.
+    smallest doc_id that can be reached by links. ``docs`` is read several times; the
+    result is stored.
     """
     small_batches(docs.sparkSession)
     slim = docs.select(row_key("doc_id", "text").alias("row"), "doc_id", "text")
@@ -361,7 +366,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     by_node = least.join(names, "component").select("node", "component_id")
     named = full.join(by_node, "node", "left").select("row", "doc_id", "n_shingles", "node", "component_id")
     empty = members.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    return named.unionByName(empty.select("row", "doc_id", "n_shingles", "node", "component_id"))
+    placed = stage(named.unionByName(empty.select("row", "doc_id", "n_shingles", "node", "component_id")), "placed")
+    discard(members, least, found)
+    return placed
 
 
 def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -374,11 +381,14 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
 
     Documents without words are kept. Of repeated rows one stays.
     """
-    placed = stage(join(docs, n, num, den), "placed")
+    placed = join(docs, n, num, den)
     full = placed.where("n_shingles > 0")
-    stays = full.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("s")).select(F.col("s.row").alias("__row"))
-    stays = stays.unionByName(placed.where("n_shingles = 0").select(F.col("row").alias("__row"))).distinct()
-    one = Window.partitionBy("__row").orderBy("__row")
-    rows = docs.withColumn("__row", row_key("doc_id", "text")).join(stays, "__row", "left_semi")
-    wordless = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
-    return rows.withColumn("__n", F.row_number().over(one)).where((F.col("__n") == 1) | wordless).select(*docs.columns)
+    stays = full.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("s")).select("s.row")
+    rows = docs.select(
+        packed(docs), row_key("doc_id", "text").alias("row"),
+        (F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0).alias("wordless"),
+    )
+    # Of equal rows one is kept in each task before they meet.
+    one = Window.partitionBy("row").orderBy("row")
+    first = rows.where("NOT wordless").withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
+    return unpacked(first.join(stays, "row", "left_semi").unionByName(rows.where("wordless")), docs)

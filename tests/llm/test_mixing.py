@@ -71,6 +71,14 @@ def test_mix_repeats_rows(spark):
     assert mixing.mix(docs).columns == docs.columns
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "w " * (i % 9 + 1), f"s{i % 3}", f"x{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __row string")
+    docs = docs.selectExpr("*", "'n' AS n", "'r' AS row", "7 AS copies", "'y' AS __copies", "'z' AS doc")
+    got = mixing.mix(docs).collect()
+    assert got and {tuple(r) for r in got} <= {(*r, "n", "r", 7, "y", "z") for r in rows}
+
+
 def test_empty_table(spark):
     docs = frame(spark).where("doc_id = -1")
     assert mixing.taken(docs).collect() == []

@@ -95,6 +95,32 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 7, 8, 8]
 
 
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_components_equal_a_search(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    rng = random.Random(few)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(9, 9), (500, 501), (501, 500)]
+    least = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in range(400):
+        for u, v in edges:
+            if u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    got = graph.components(spark.createDataFrame(edges, "u long, v long"))
+    assert {r.node: r.component for r in got.collect()} == least
+    assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_keep_one_keeps_columns_of_any_name_and_rows_without_words(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "a", "b"), (1, text, "a", "b"), (2, text + " end", "c", "d"), (3, "", "e", "f"), (3, "", "e", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row string, `a.b` string")
+    docs = docs.selectExpr("*", "'n' AS n", "'r' AS row", "'x' AS doc", "true AS wordless", "'k' AS __n")
+    got = ngram_join.keep_one(docs).collect()
+    assert sorted(tuple(r) for r in got) == sorted(
+        (d, t, x, y, "n", "r", "x", True, "k") for d, t, x, y in (rows[0], rows[3], rows[4])
+    )
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.link_documents(docs).collect() == []
