@@ -1,4 +1,4 @@
-"""The inverse normal distribution as a column expression.
+"""The inverse normal distribution, for arrays.
 
 Wichura's algorithm AS 241 (1988): a rational function around the median and two
 in the tails, good to sixteen digits.
@@ -6,8 +6,13 @@ in the tails, good to sixteen digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import sys
+
+import numpy as np
+from pyspark import cloudpickle
+
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The published coefficients, constant term first, of numerator and denominator.
 CENTRE = (
@@ -30,20 +35,18 @@ FAR_TAIL = (
 )
 
 
-def _ratio(table: tuple, x: Column) -> Column:
-    def poly(coefficients: tuple[float, ...]) -> Column:
-        out = F.lit(coefficients[-1])
-        for c in reversed(coefficients[:-1]):
-            out = out * x + F.lit(c)
-        return out
-
-    return poly(table[0]) / poly(table[1])
+def _ratio(table: tuple, x: np.ndarray) -> np.ndarray:
+    return np.polyval(table[0][::-1], x) / np.polyval(table[1][::-1], x)
 
 
-def normal_quantile(p: Column) -> Column:
-    """Standard normal quantile of probabilities strictly between 0 and 1."""
-    q = p - F.lit(0.5)
-    r = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
-    tail = F.when(r <= 5.0, _ratio(NEAR_TAIL, r - F.lit(1.6))).otherwise(_ratio(FAR_TAIL, r - F.lit(5.0)))
-    centre = q * _ratio(CENTRE, F.lit(0.180625) - q * q)
-    return F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * tail)
+def normal_quantile(p: np.ndarray) -> np.ndarray:
+    """Standard normal quantiles of probabilities strictly between 0 and 1."""
+    p = np.asarray(p, dtype=np.float64)
+    q = p - 0.5
+    out = np.empty_like(q)
+    centre = np.abs(q) <= 0.425
+    out[centre] = q[centre] * _ratio(CENTRE, 0.180625 - q[centre] * q[centre])
+    r = np.sqrt(-np.log(np.minimum(p, 1.0 - p)[~centre]))
+    tail = np.where(r <= 5.0, _ratio(NEAR_TAIL, r - 1.6), _ratio(FAR_TAIL, r - 5.0))
+    out[~centre] = np.sign(q[~centre]) * tail
+    return out

@@ -19,12 +19,19 @@ d(P / phi^k) / du = (P' + k z P) / phi^(k + 1).
 from __future__ import annotations
 
 import math
+import sys
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerlint.functions.normal import normal_quantile
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Ranks at either end that are added one by one.
 TAIL = 32
 #: A run is short if it has at most this share of the ranks between it and the nearer end.
@@ -54,105 +61,86 @@ def derivatives(polynomial: list[float], order: int) -> list[list[float]]:
 QUANTILE, SQUARE = [0.0, 1.0], [0.0, 0.0, 1.0]
 
 
-def _poly(coefficients: list[float], z: Column) -> Column:
-    out = F.lit(float(coefficients[-1]))
-    for c in reversed(coefficients[:-1]):
-        out = out * z + F.lit(float(c))
-    return out
-
-
-def plot_position(rank: Column, n: Column) -> Column:
-    """Filliben's median of the order statistic of a rank among ``n`` uniform values."""
-    last = F.pow(F.lit(0.5), F.lit(1.0) / n)
-    return F.when(rank == n, last).when(rank == 1, 1.0 - last).otherwise(inner_position(rank, n))
-
-
-def inner_position(rank: Column, n: Column) -> Column:
-    return (rank - 0.3175) / (n + 0.365)
-
+def plot_position(rank: np.ndarray, n: int) -> np.ndarray:
+    """Filliben's medians of the order statistics of ranks among ``n`` uniform values."""
+    last = 0.5 ** (1.0 / n)
+    return np.where(rank == n, last, np.where(rank == 1, 1.0 - last, (rank - 0.3175) / (n + 0.365)))
 
-def _one_by_one(ranks: Column, n: Column) -> Column:
-    """Sums over a few ranks, as a struct."""
-    zero = F.struct(F.lit(0.0).alias("t"), F.lit(0.0).alias("tt"))
 
-    def add(sums: Column, rank: Column) -> Column:
-        z = normal_quantile(plot_position(rank, n))
-        return F.struct((sums["t"] + z).alias("t"), (sums["tt"] + z * z).alias("tt"))
+def _poly(coefficients: list[float], z: np.ndarray) -> np.ndarray:
+    return np.polyval(coefficients[::-1], z)
 
-    return F.aggregate(ranks, zero, add)
 
-
-def _between(low: Column, high: Column) -> Column:
-    nothing = F.array().cast("array<bigint>")
-    return F.when(low <= high, F.sequence(low, high)).otherwise(nothing)
-
-
-def _around_middle(polynomial: list[float], z: Column, step: Column, w: Column) -> Column:
+def _around_middle(polynomial: list[float], z: np.ndarray, step: np.ndarray, w: np.ndarray) -> np.ndarray:
     """The sum over ``w`` ranks in steps of ``step`` around the middle one's z."""
     n2, square = w * w, step * step
     # Sums of the 2nd, 4th and 6th powers of the distances from the middle.
-    moments = ((2, 1 / 24, F.lit(1.0)), (4, 1 / 5760, n2 * 3.0 - 7.0), (6, 1 / 967680, n2 * n2 * 3.0 - n2 * 18.0 + 31.0))
-    terms, inner = derivatives(polynomial, 6), F.lit(0.0)
+    moments = ((2, 1 / 24, 1.0), (4, 1 / 5760, n2 * 3.0 - 7.0), (6, 1 / 967680, n2 * n2 * 3.0 - n2 * 18.0 + 31.0))
+    terms, inner = derivatives(polynomial, 6), 0.0
     for k, factor, moment in reversed(moments):
-        inner = (inner + _poly([c * factor for c in terms[k - 1]], z) * moment) * square
+        inner = (inner + factor * _poly(terms[k - 1], z) * moment) * square
     return w * (_poly(polynomial, z) + (n2 - 1.0) * inner)
 
 
-def _end_correction(polynomial: list[float], z: Column, step: Column) -> Column:
-    terms, square, out = derivatives(polynomial, 5), step * step, F.lit(0.0)
-    for k, factor in reversed(CORRECTION):
-        out = out * square + _poly([c * factor for c in terms[k - 1]], z)
-    return out * step
+def _end_correction(polynomial: list[float], z: np.ndarray, step: np.ndarray) -> np.ndarray:
+    terms, out = derivatives(polynomial, 5), 0.0
+    for k, factor in CORRECTION:
+        out = out + factor * _poly(terms[k - 1], z) * step**k
+    return out
+
+
+def _tail_sums(first: np.ndarray, last: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the ranks of each run that are among the outermost."""
+    ranks = np.unique(np.r_[np.arange(1, min(TAIL, n) + 1), np.arange(max(1, n - TAIL + 1), n + 1)])
+    z = normal_quantile(plot_position(ranks, n))
+    low, high = np.searchsorted(ranks, first, side="left"), np.searchsorted(ranks, last, side="right")
+    sums = (np.r_[0.0, np.cumsum(x)] for x in (z, z * z))
+    t, tt = (x[high] - x[low] for x in sums)
+    return t, tt
+
+
+def quantile_sums(first: np.ndarray, last: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the quantiles, and of their squares, of the ranks from ``first`` to ``last`` among ``n``."""
+    t, tt = _tail_sums(first, last, n)
+    low, high = np.maximum(first, TAIL + 1), np.minimum(last, n - TAIL)
+    some = high >= low
+    low, high = low[some].astype(np.float64), high[some].astype(np.float64)
+    w, whole = high - low + 1.0, n + 0.365
+    short = w <= SHORT * np.minimum(low, n + 1.0 - high)
+
+    def z_and_step(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        z = normal_quantile((rank - 0.3175) / whole)
+        phi = PEAK * np.exp(-0.5 * z * z)
+        return z, phi, 1.0 / (whole * phi)
+
+    sums = np.empty((2, len(w)))
+    z, _, step = z_and_step(0.5 * (low + high)[short])
+    za, pa, sa = z_and_step(low[~short] - 0.5)
+    zb, pb, sb = z_and_step(high[~short] + 0.5)
+    integrals = whole * (pa - pb), w[~short] - whole * (zb * pb - za * pa)
+    for out, polynomial, integral in zip(sums, (QUANTILE, SQUARE), integrals):
+        out[short] = _around_middle(polynomial, z, step, w[short])
+        out[~short] = integral + _end_correction(polynomial, zb, sb) - _end_correction(polynomial, za, sa)
+    t[some] += sums[0]
+    tt[some] += sums[1]
+    return t, tt
+
+
+def _summed(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.DataFrame:
+    out = pd.DataFrame({"t": np.zeros(len(n)), "tt": np.zeros(len(n))})
+    a, b, sizes = (x.to_numpy(np.int64) for x in (first, last, n))
+    for size in np.unique(sizes):  # one for each variable
+        rows = sizes == size
+        t, tt = quantile_sums(a[rows], b[rows], int(size))
+        out.loc[rows, "t"], out.loc[rows, "tt"] = t, tt
+    return out
 
 
-def with_quantile_sums(runs: DataFrame, first: str, last: str, n: str) -> DataFrame:
-    """``runs`` with the sums ``t`` of quantiles and ``tt`` of their squares over each run of ranks.
+def sums_of_quantiles(first: str, last: str, n: str) -> Column:
+    """The sums ``t`` of quantiles and ``tt`` of their squares over each run of ranks.
 
-    ``first`` and ``last`` name the run's ranks, ``n`` the number of all values.
+    ``first`` and ``last`` name the run's ranks, ``n`` the number of all values. The
+    formulas are evaluated for whole batches: as one column expression they make a
+    method too long to be compiled.
     """
-    a, b, size = F.col(first), F.col(last), F.col(n)
-    whole = size.cast("double") + 0.365
-    # Ranks between the tails; the run may hold none of them, then z stays 0.
-    low, high = F.greatest(a, F.lit(TAIL + 1).cast("long")), F.least(b, size - TAIL)
-    out = runs.withColumns({"__low": low.cast("double"), "__high": high.cast("double")})
-    low, high, w = F.col("__low"), F.col("__high"), F.col("__w")
-    out = out.withColumn("__w", F.greatest(high - low + 1.0, F.lit(0.0)))
-    short = w <= F.least(low, size + 1.0 - high) * SHORT
-    out = out.withColumn("__short", short).withColumns(
-        {
-            # Both ends half a rank outside, or the middle of a short run.
-            "__left": F.when(w == 0.0, (size + 1.0) * 0.5).when(short, (low + high) * 0.5).otherwise(low - 0.5),
-            "__right": F.when((w == 0.0) | short, (size + 1.0) * 0.5).otherwise(high + 0.5),
-        }
-    )
-    # Divisions may be null to the planner; these never are.
-    places = {
-        z: F.coalesce(normal_quantile(inner_position(F.col(at), size)), F.lit(0.0))
-        for z, at in (("__za", "__left"), ("__zb", "__right"))
-    }
-    za, zb, pa, pb = (F.col(x) for x in ("__za", "__zb", "__pa", "__pb"))
-    out = out.withColumns(places).withColumns(
-        {"__pa": F.exp(za * za * -0.5) * PEAK, "__pb": F.exp(zb * zb * -0.5) * PEAK}
-    )
-    out = out.withColumns(
-        {"__sa": F.coalesce(1.0 / (whole * pa), F.lit(0.0)), "__sb": F.coalesce(1.0 / (whole * pb), F.lit(0.0))}
-    )
-    sa, sb = F.col("__sa"), F.col("__sb")
-
-    def summed(polynomial: list[float], integral: Column) -> Column:
-        ends = _end_correction(polynomial, zb, sb) - _end_correction(polynomial, za, sa)
-        return F.when(F.col("__short"), _around_middle(polynomial, za, sa, w)).otherwise(integral + ends)
-
-    out = out.withColumn("__t", summed(QUANTILE, whole * (pa - pb)))
-    out = out.withColumn("__tt", summed(SQUARE, w - whole * (zb * pb - za * pa)))
-    # The tails, where at most 2 * TAIL values have a rank.
-    below = _between(a, F.least(b, F.lit(TAIL).cast("long")))
-    above = _between(F.greatest(a, size - TAIL + 1, F.lit(TAIL + 1).cast("long")), b)
-    outer = F.when((a <= TAIL) | (b > size - TAIL), _one_by_one(F.concat(below, above), size))
-    out = out.withColumn("__outer", outer)
-    inside = F.when(w > 0.0, F.col("__t")).otherwise(0.0), F.when(w > 0.0, F.col("__tt")).otherwise(0.0)
-    sums = {
-        name: value + F.coalesce(F.col("__outer")[name], F.lit(0.0)) for name, value in zip(("t", "tt"), inside)
-    }
-    extra = [c for c in out.columns if c.startswith("__")]
-    return out.withColumns(sums).drop(*extra)
+    return F.pandas_udf(_summed, "t double, tt double")(first, last, n)

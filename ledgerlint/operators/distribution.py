@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import HISTOGRAM_BINS
 from ledgerlint.functions.columns import finite
-from ledgerlint.functions.rank_sums import with_quantile_sums
+from ledgerlint.functions.rank_sums import sums_of_quantiles
 from ledgerlint.operators.baskets import invoice_basket_metric
 from ledgerlint.operators.quantiles import distinct_quantiles, value_ranks
 from ledgerlint.sources.staging import stage
@@ -161,10 +161,9 @@ def qq_points(values: DataFrame) -> DataFrame:
     ).where("n > 3").withColumn("mean", F.col("sx") / F.col("n"))
     ranked = value_ranks(values.join(sizes.select("variable"), "variable", "left_semi"))
     runs = ranked.join(sizes, "variable")
+    summed = runs.withColumn("sums", sums_of_quantiles("first_rank", "last_rank", "n"))
     points = stage(
-        with_quantile_sums(runs, "first_rank", "last_rank", "n").select(
-            "variable", "value", "first_rank", "last_rank", "weight", "n", "mean", "t", "tt"
-        ),
+        summed.select("variable", "value", "first_rank", "last_rank", "weight", "n", "mean", "sums.t", "sums.tt"),
         "points",
     )
     w, t, off = F.col("weight"), F.col("t"), F.col("value") - F.col("mean")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
 from ledgerlint.functions.normal import normal_quantile
-from ledgerlint.functions.rank_sums import with_quantile_sums
+from ledgerlint.functions.rank_sums import quantile_sums, sums_of_quantiles
 from ledgerlint.operators import baskets, distribution, forest, monitoring, normality
 from ledgerlint.operators import anomalies, profiling
 from tests.helpers import column, five, line, lines
@@ -49,11 +49,10 @@ def test_boxplot(spark):
     assert (weighted.median, weighted.outlier_count, weighted.row_count) == (1, 2, 11)
 
 
-def test_normal_quantile(spark):
-    p = [1e-300, 1e-12, 0.01, 0.075, 0.2, 0.5, 0.6, 0.925, 0.99999, 1 - 1e-12]
-    rows = spark.createDataFrame([(x,) for x in p], "p double").select("p", normal_quantile(F.col("p")).alias("z"))
-    for r in rows.collect():
-        assert r.z == pytest.approx(NormalDist().inv_cdf(r.p), rel=1e-12, abs=1e-12)
+def test_normal_quantile():
+    p = np.array([1e-300, 1e-12, 0.01, 0.075, 0.2, 0.5, 0.6, 0.925, 0.99999, 1 - 1e-12])
+    want = [NormalDist().inv_cdf(x) for x in p]
+    assert normal_quantile(p) == pytest.approx(want, rel=1e-12, abs=1e-12)
 
 
 def test_qq_of_few_values_plots_each(spark):
@@ -72,33 +71,38 @@ def test_qq_of_normal_data_is_a_line(spark):
 
 
 @pytest.mark.parametrize("n", [4, 31, 64, 65, 70, 1000, 300_000])
-def test_sums_of_quantiles_over_runs_of_ranks(spark, n):
+def test_sums_of_quantiles_over_runs_of_ranks(n):
     rng = np.random.default_rng(n)
     ends = [(1, n), (1, 1), (n, n), (n // 2, n // 2 + 1), (1, min(n, 40)), (max(1, n - 40), n)]
-    ends += [(int(a), int(min(n, a + rng.integers(0, 1 + n // 3)))) for a in rng.integers(1, n + 1, 60)]
-    ends += [(int(a), int(min(n, a + rng.integers(0, 12)))) for a in rng.integers(1, n + 1, 60)]
-    runs = spark.createDataFrame([(a, b, n) for a, b in ends], "a long, b long, n long")
+    ends += [(int(a), int(min(n, a + rng.integers(0, 1 + n // 3)))) for a in rng.integers(1, n + 1, 300)]
+    ends += [(int(a), int(min(n, a + rng.integers(0, 12)))) for a in rng.integers(1, n + 1, 300)]
     u = (np.arange(1, n + 1) - 0.3175) / (n + 0.365)
     u[0], u[-1] = 1 - 0.5 ** (1 / n), 0.5 ** (1 / n)
     z = np.array([NormalDist().inv_cdf(p) for p in u])
-    for r in with_quantile_sums(runs, "a", "b", "n").collect():
-        part = z[r.a - 1 : r.b]
-        assert r.t == pytest.approx(part.sum(), abs=1e-11 * max(1.0, np.abs(part).sum()))
-        assert r.tt == pytest.approx((part * part).sum(), rel=1e-11, abs=1e-12 * len(part))
+    for (a, b), t, tt in zip(ends, *quantile_sums(*np.array(ends).T, n)):
+        part = z[a - 1 : b]
+        assert t == pytest.approx(part.sum(), abs=1e-11 * max(1.0, np.abs(part).sum()))
+        assert tt == pytest.approx((part * part).sum(), rel=1e-11, abs=1e-12 * len(part))
 
 
-def test_runs_of_ranks_among_a_trillion(spark):
+def test_runs_of_ranks_among_a_trillion():
     """Neighbouring runs add up to their union: no digits are lost to cancellation."""
     n, at = 10**12, 3 * 10**11
     rows = [(at, at + 5), (at + 6, at + 10**6), (at, at + 10**6), (1, at - 1), (1, n), (at + 10**6 + 1, n), (at + 3, at + 3)]
-    runs = spark.createDataFrame([(a, b, n) for a, b in rows], "a long, b long, n long")
-    t = {(r.a, r.b): (r.t, r.tt) for r in with_quantile_sums(runs, "a", "b", "n").collect()}
-    for i in (0, 1):
-        few, more, both, left, whole, right, one = (t[k][i] for k in rows)
+    for i, sums in enumerate(quantile_sums(*np.array(rows).T, n)):
+        few, more, both, left, whole, right, one = sums
         assert few + more == pytest.approx(both, rel=1e-12)
         assert few / 6 == pytest.approx(one, rel=1e-10)
         assert left + both + right == pytest.approx(whole, abs=1e-3 if i == 0 else 1e-2)
-    assert t[(1, n)][1] == pytest.approx(n, rel=1e-9)
+    assert whole == pytest.approx(n, rel=1e-9)
+
+
+def test_sums_as_a_column(spark):
+    runs = spark.createDataFrame([(1, 4, 10), (5, 10, 10), (2, 90, 200)], "a long, b long, n long")
+    found = runs.select(sums_of_quantiles("a", "b", "n").alias("s")).select("s.t", "s.tt").collect()
+    for row, (a, b, n) in zip(found, [(1, 4, 10), (5, 10, 10), (2, 90, 200)]):
+        t, tt = quantile_sums(np.array([a]), np.array([b]), n)
+        assert (row.t, row.tt) == pytest.approx((t[0], tt[0]), rel=1e-14)
 
 
 def test_qq_keeps_tails_and_fits_all_values(spark):
