@@ -294,6 +294,10 @@ def build(vectors: DataFrame, seed: int = 3) -> DataFrame:
     h = F.xxhash64(F.lit(seed), "vec_id")
     dealt = vectors.join(sizes, "dim").withColumn("h", h).withColumn("shard", F.pmod("h", "shards").cast("int"))
     dealt = dealt.select("dim", "shard", "h", "node", "vec_id", "many", "vector")
+    # A task for each few shards: by their bytes they would be put together into one.
+    spark = vectors.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = dealt.repartition(tasks, "dim", "shard")
     return stage(dealt.groupBy("dim", "shard").applyInPandas(_built(seed), _INDEX), "index")
 
 

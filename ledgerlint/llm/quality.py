@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.llm.common import held_out, small_batches
@@ -213,7 +213,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, max_rows, seed)
     schema = "label int, key long, ids array<int>, values array<float>, statistics array<float>"
-    described = sample.mapInArrow(_described, schema).dropDuplicates(["key"])
+    # Of a repeated key the row of least content stays, whatever the partitioning.
+    content = F.md5(F.to_json(F.struct("label", "ids", "values", "statistics")))
+    first = Window.partitionBy("key").orderBy("content")
+    described = sample.mapInArrow(_described, schema).withColumn("content", content).withColumn(
+        "at", F.row_number().over(first)
+    ).where(F.col("at") == 1).drop("content", "at")
     return described.repartition(1).mapInArrow(_fit(seed), "model binary").first()["model"]
 
 
