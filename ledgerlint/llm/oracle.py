@@ -98,24 +98,46 @@ marked AS (SELECT *, regexp_extract(l, '^(?:[ \t]*>)+') AS marks FROM cut),
 line AS (
     SELECT r, conv_id, turn, mid, i, length(regexp_replace(marks, '[^>]', '', 'g')) AS level,
         substr(l, length(marks) + 1) AS body,
-        lower(trim(regexp_replace(substr(l, length(marks) + 1), '\s+', ' ', 'g'))) AS norm
+        lower(trim(regexp_replace(substr(l, length(marks) + 1), '[\s\x00-\x03]+', ' ', 'g'))) AS norm
     FROM marked
 ),
 own AS (
     SELECT r, trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (
             WHERE level = 0 AND NOT (regexp_matches(norm, '(wrote|writes|said):$') AND following > level)
-        ), ''), ' ' || chr(9) || chr(10) || chr(13)) AS text,
-        count(*) FILTER (WHERE level > 0 AND norm <> '') AS n_quoted
+        ), ''), ' ' || chr(9) || chr(10) || chr(13)) AS text
     FROM (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) AS following FROM line)
     GROUP BY r
 ),
-known AS (SELECT * FROM line WHERE norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+started AS (
+    SELECT *, coalesce(lag(norm) OVER w = '' OR lag(level) OVER w <> level, true)::INTEGER AS s
+    FROM line WINDOW w AS (PARTITION BY r ORDER BY i)
+),
+passage AS (
+    SELECT r, conv_id, turn, mid, p, any_value(level) AS level, string_agg(norm, ' ' ORDER BY i) AS t
+    FROM (SELECT *, sum(s) OVER (PARTITION BY r ORDER BY i) AS p FROM started)
+    WHERE norm <> '' GROUP BY r, conv_id, turn, mid, p
+),
+sentence AS (
+    SELECT r, conv_id, turn, mid, level,
+        unnest(string_split(regexp_replace(t, '([.!?]) ', '\1' || chr(2), 'g'), chr(2))) AS norm
+    FROM passage
+),
+amount AS (SELECT r, count(*) AS n_quoted FROM sentence WHERE level > 0 AND norm <> '' GROUP BY r),
+known AS (
+    SELECT conv_id, turn, mid, level, norm FROM sentence
+    WHERE norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL
+),
+wrote AS (
+    SELECT conv_id, turn, norm FROM known WHERE level = 0
+    UNION SELECT conv_id, turn, norm FROM line
+    WHERE level = 0 AND norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL
+),
 quoted AS (
     SELECT conv_id, turn, mid, level, norm, count(*) AS n FROM known WHERE level > 0 GROUP BY ALL
 ),
 found AS (
     SELECT q.conv_id, q.turn, q.mid, q.level, q.norm, q.n, max(w.turn) AS origin
-    FROM quoted q JOIN known w ON w.level = 0 AND w.conv_id = q.conv_id AND w.norm = q.norm AND w.turn < q.turn
+    FROM quoted q JOIN wrote w ON w.conv_id = q.conv_id AND w.norm = q.norm AND w.turn < q.turn
     GROUP BY ALL
 ),
 votes AS (SELECT conv_id, turn, mid, origin, level, sum(n) AS n FROM found GROUP BY ALL),
@@ -133,14 +155,14 @@ chain AS (
 ),
 root AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM chain GROUP BY ALL)
 SELECT m.conv_id, m.turn, m.role, own.text, reply_to, coalesce(thread, m.turn) AS thread,
-    CAST(coalesce(depth, 0) AS INTEGER) AS depth, CAST(n_quoted AS INTEGER) AS n_quoted,
+    CAST(coalesce(depth, 0) AS INTEGER) AS depth, CAST(coalesce(n_quoted, 0) AS INTEGER) AS n_quoted,
     CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked,
     '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || own.text || chr(10) AS formatted,
     row_number() OVER (
         PARTITION BY m.conv_id ORDER BY coalesce(thread, m.turn) NULLS LAST, coalesce(depth, 0),
         m.turn NULLS LAST, m.role NULLS FIRST, m.mid
     ) - 1 AS position
-FROM message m JOIN own USING (r) LEFT JOIN link ON link.mid = m.mid
+FROM message m JOIN own USING (r) LEFT JOIN amount USING (r) LEFT JOIN link ON link.mid = m.mid
 LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn"""
 
 _TRIE = r"""

@@ -1,19 +1,22 @@
 """Chat formatting by quotation linking, with DataFrame functions only.
 
-A line's quote level is the number of ``>`` marks before it. Quoted lines are
-normalised and hashed, and linked to the latest earlier message of the same
-conversation that wrote the line itself. A message replies to the message that
-wrote most of its outermost quoted lines; ties go to the later one. Messages
-linked in this way form threads. The result has every message without its
+A line's quote level is the number of ``>`` marks before it. Neighbouring lines of one
+level, up to a blank line, are a passage: they are joined and normalised across line
+ends, so that a passage wrapped anew is the same, and cut into sentences, so that a
+part of it is found too. Each quoted sentence is hashed and linked to the latest
+earlier message of the same conversation that wrote it itself, as a sentence or as a
+line. A message replies to the message that wrote most of its outermost quoted
+sentences; ties go to the later one. Messages linked in this way form threads. The result has every message without its
 quotes, in reply order: a thread stands where its first message stood, and
 within it each message comes after the one it replies to.
 
-Links are found with a running maximum over the lines that share a hash, not by
-pairing lines, and positions with a range-partitioned sort, so a conversation or
-a line that holds a third of all rows is spread over many tasks.
+Links are found with running maxima over the messages that share a hash, not by
+pairing them, and positions by counting; both run over range partitions, with what a
+partition begins with carried over, so a conversation or a sentence that holds a
+third of all rows is spread over many tasks.
 
 Cases: a null text is empty; a message without quotes keeps its text but for
-outer white space; blank lines link with nothing; a null conversation or turn
+outer white space; blank lines end a passage and link with nothing; a null conversation or turn
 links with nothing, and its thread is the message itself; messages that share a
 turn are ordered by role and text; repeated rows are all returned; other
 columns are dropped.
@@ -31,13 +34,17 @@ _MARKS = r"^(?:[ \t]*>)+"
 _ROW_IN_PARTITION = (1 << 33) - 1
 
 
+#: Set between passages, and after their level; normalised texts do not hold them.
+_CUT, _LEVEL = "\x02", "\x03"
+
+
 def _lines(text: Column) -> Column:
     """Lines as (level, body, norm): marks counted and removed, text normalised."""
 
     def parse(line: Column) -> Column:
         marks = F.regexp_extract(line, _MARKS, 0)
         body = F.substr(line, F.length(marks) + 1)
-        norm = F.lower(F.btrim(F.regexp_replace(body, r"\s+", " ")))
+        norm = F.lower(F.btrim(F.regexp_replace(body, r"[\s\x00-\x03]+", " ")))
         return F.struct(
             F.length(F.regexp_replace(marks, r"[^>]", "")).alias("level"),
             body.alias("body"), norm.alias("norm"),
@@ -46,6 +53,27 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, F.lit("")), r"\r?\n", -1), parse)
 
 
+def _sentences(lines: Column) -> Column:
+    """Sentences of all passages, as (level, norm)."""
+
+    def joined(line: Column, i: Column) -> Column:
+        before = F.try_element_at(lines, F.when(i > 0, i))
+        starts = F.coalesce((before["norm"] == "") | (before["level"] != line["level"]), F.lit(True))
+        opening = F.concat(F.lit(_CUT), line["level"].cast("string"), F.lit(_LEVEL))
+        return F.when(line["norm"] == "", "").otherwise(
+            F.concat(F.when(starts, opening).otherwise(F.lit(" ")), line["norm"])
+        )
+
+    def cut(passage: Column) -> Column:
+        level = F.substring_index(passage, _LEVEL, 1)
+        text = F.substr(passage, F.length(level) + 2)
+        parts = F.split(F.regexp_replace(text, r"([.!?]) ", f"$1{_CUT}"), _CUT)
+        return F.transform(parts, lambda s: F.struct(level.cast("int").alias("level"), s.alias("norm")))
+
+    passages = F.filter(F.split(F.array_join(F.transform(lines, joined), ""), _CUT), lambda x: x != "")
+    return F.flatten(F.transform(passages, cut))
+
+
 def _own_text(lines: Column) -> Column:
     """The lines that are no quotes, without the heads that introduce quotes."""
 
@@ -59,25 +87,37 @@ def _own_text(lines: Column) -> Column:
     )
 
 
+def _latest_before(both: DataFrame) -> DataFrame:
+    """``both`` with origin: the latest source_turn of its (conv_id, hash) before its turn."""
+    key = ["conv_id", "hash"]
+    ordered = both.repartitionByRange(*key, "turn").withColumn("part", F.spark_partition_id())
+    ordered = stage(ordered, "voiced")
+    local = Window.partitionBy(*key, "part").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    # A sentence in several parts: what the parts before hold of it, one row for each part.
+    tops = ordered.groupBy(*key, "part").agg(F.max("source_turn").alias("top"))
+    spread = tops.join(tops.groupBy(*key).count().where("count > 1").select(*key), key, "left_semi")
+    earlier = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spread.select(*key, "part", F.max("top").over(earlier).alias("carried"))
+    inside = ordered.withColumn("inside", F.max("source_turn").over(local))
+    return inside.join(carried, [*key, "part"], "left").withColumn("origin", F.greatest("inside", "carried"))
+
+
 def _links(parsed: DataFrame) -> DataFrame:
     """conv_id, mid and the turn replied to, for messages whose quotes were found."""
-    lines = parsed.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
-        "conv_id", "turn", "mid", F.explode("lines").alias("line")
-    )
-    lines = lines.select(
-        "conv_id", "turn", "mid", "line.level", F.md5(F.col("line.norm")).alias("hash")
-    ).where(F.col("line.norm") != "")
-    quoted = lines.where("level > 0").groupBy("conv_id", "hash", "turn", "mid", "level").agg(
+    placed = parsed.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+
+    def voiced(part: str) -> DataFrame:
+        said = placed.select("conv_id", "turn", "mid", F.explode(part).alias("said")).where(F.col("said.norm") != "")
+        return said.select("conv_id", "turn", "mid", "said.level", F.md5(F.col("said.norm")).alias("hash"))
+
+    sentences = voiced("sentences")
+    quoted = sentences.where("level > 0").groupBy("conv_id", "hash", "turn", "mid", "level").agg(
         F.count("*").alias("n")
     )
     wanted = quoted.select("conv_id", "hash").distinct()
-    written = lines.where("level = 0").join(wanted, ["conv_id", "hash"], "left_semi")
+    written = sentences.unionByName(voiced("lines")).where("level = 0").join(wanted, ["conv_id", "hash"], "left_semi")
     written = written.select("conv_id", "hash", "turn").distinct().withColumn("source_turn", F.col("turn"))
-    before = (
-        Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    )
-    both = quoted.unionByName(written, allowMissingColumns=True)
-    found = both.withColumn("origin", F.max("source_turn").over(before))
+    found = _latest_before(quoted.unionByName(written, allowMissingColumns=True))
     found = found.where("mid IS NOT NULL AND origin IS NOT NULL")
     votes = found.groupBy("conv_id", "turn", "mid", "origin", "level").agg(F.sum("n").alias("n"))
     best = F.max(F.struct(-F.col("level"), F.col("n"), F.col("origin"))).alias("best")
@@ -124,10 +164,10 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     named = messages.select("conv_id", "turn", "role", "text")
     parsed = named.withColumn("mid", row_key("conv_id", "turn", "role", "text")).withColumn(
         "lines", _lines(F.col("text"))
-    )
+    ).withColumn("sentences", _sentences(F.col("lines")))
     links = stage(_links(parsed), "links")
     threads = _threads(links)
-    levels = F.filter("lines", lambda x: (x["level"] > 0) & (x["norm"] != ""))
+    levels = F.filter("sentences", lambda x: x["level"] > 0)
     clean = parsed.select(
         "conv_id", "turn", "role", "mid", F.size(levels).alias("n_quoted"),
         _own_text(F.col("lines")).alias("text"),

@@ -22,6 +22,11 @@ MAIL = [
     (3, None, "user", "no turn"),
     (3, 1, "user", ""),
     (3, 1, "user", ""),
+    (4, 0, "user", "A long thought that goes on\nover the end of a line. Then another one!\nAnd a third."),
+    (4, 1, "assistant", "no quote here\nwhatever follows"),
+    (4, 2, "user", "> A long thought that\n> goes on over the end of\n> a line.\nWrapped anew."),
+    (4, 3, "user", "> then another\n> one!\n\nOnly a part.\n> whatever follows\nA line."),
+    (4, 4, "user", "> Wrapped anew.\n> > And a third.\n>\n> Only a part. \x02\x03 A line."),
     (3, 2, "user", "a > b\n  > quoted with blank\n" + "long " * 20000),
 ]
 
@@ -32,20 +37,35 @@ def brute(rows):
         for line in re.split(r"\r?\n", text or ""):
             marks = re.match(r"(?:[ \t]*>)*", line)[0]
             body = line[len(marks):]
-            out.append((marks.count(">"), body, re.sub(r"\s+", " ", body).strip(" ").lower()))
+            norm = re.sub(r"[\s\x00-\x03]+", " ", body).strip(" ").lower()
+            out.append((marks.count(">"), body, norm))
         return out
 
+    def sentences(lines):
+        passages, before = [], None
+        for level, _, norm in lines:
+            if norm:
+                if before == level:
+                    passages[-1][1].append(norm)
+                else:
+                    passages.append((level, [norm]))
+            before = level if norm else None
+        return [(level, s) for level, words in passages for s in re.split(r"(?<=[.!?]) ", " ".join(words)) if s]
+
     parsed = [parse(r[3]) for r in rows]
+    cut = [sentences(lines) for lines in parsed]
+    wrote = [
+        {n for level, n in c if not level} | {n for level, _, n in p if not level and n} for c, p in zip(cut, parsed)
+    ]
     reply = {}
     for i, (conv, turn, _, _) in enumerate(rows):
         if conv is None or turn is None:
             continue
         votes = {}
-        for level, _, norm in parsed[i]:
-            if not level or not norm:
+        for level, norm in cut[i]:
+            if not level:
                 continue
-            at = [r[1] for r, p in zip(rows, parsed)
-                  if r[0] == conv and r[1] is not None and r[1] < turn and any(x[0] == 0 and x[2] == norm for x in p)]
+            at = [r[1] for r, w in zip(rows, wrote) if r[0] == conv and r[1] is not None and r[1] < turn and norm in w]
             if at:
                 votes[level, max(at)] = votes.get((level, max(at)), 0) + 1
         if votes:
@@ -88,6 +108,25 @@ def test_equals_sql(spark):
     assert difference(spark, con, "", lambda spark, sf_dir: quotes.link_quotes(frame), sql) is None
 
 
+def test_wrapped_and_partial_quotes_link(spark):
+    frame = spark.createDataFrame(MAIL, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: r for r in quotes.link_quotes(frame.where("conv_id = 4")).collect()}
+    assert [(got[t]["reply_to"], got[t]["n_quoted"], got[t]["n_linked"]) for t in range(5)] == [
+        (None, 0, 0), (None, 0, 0), (0, 1, 1), (1, 2, 2), (3, 4, 4)
+    ]
+
+
+def test_a_common_sentence_of_a_hot_conversation(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        rows = [(1, t, "user", f"> Me too.\nMe too.\nturn {t}") for t in range(3000)]
+        frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        got = quotes.link_quotes(frame.repartition(10)).collect()
+        assert {r["turn"]: r["reply_to"] for r in got} == {t: t - 1 if t else None for t in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_every_reply_follows_its_message(spark):
     rows = [(7, 0, "user", "line 0")]
     rows += [(7, t, "user", f"> line {t - 1 - t % 3 if t > 3 else 0}\nline {t}") for t in range(1, 60)]
