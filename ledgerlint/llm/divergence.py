@@ -38,7 +38,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,7 +47,7 @@ from ledgerlint.sources.staging import stage
 
 SCALE = 1_000_000_000
 #: Groups and terms of a tile: a power of two.
-SIDE = 64
+SIDE = 128
 #: Distinct terms of all groups a task holds, after a batch, before it passes them on.
 HELD = 300_000
 #: Bytes of a text whose terms are listed at a time.
@@ -185,9 +184,10 @@ class Quadtree:
 
 def walk(a: Quadtree, b: Quadtree) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of leaves in one column: row and leaf in ``a``, row and leaf in ``b``."""
-    row_a = row_b = at_a = at_b = np.zeros(1, dtype=np.int64)
+    row_a = row_b = np.zeros(1, dtype=np.int16)
+    at_a = at_b = np.zeros(1, dtype=np.int32)
     for level in range(len(a.levels)):
-        under_a, under_b = a.children(level), b.children(level)
+        under_a, under_b = (tree.children(level).astype(np.int32) for tree in (a, b))
         found = []
         for upper in range(8):
             ra, rb, column = upper >> 2, (upper >> 1) & 1, upper & 1
@@ -217,32 +217,40 @@ def shared_terms(a: Quadtree, b: Quadtree, sizes_a: np.ndarray, sizes_b: np.ndar
 
 
 _TILE = "lang string, tile long, block long, levels binary, lengths array<int>, counts binary"
+_TILE_FIELDS = pa.schema(
+    [("lang", pa.string()), ("tile", pa.int64()), ("block", pa.int64()), ("levels", pa.binary()),
+     ("lengths", pa.list_(pa.int32())), ("counts", pa.binary())]
+)
 _PRICED = "lang string, block long, row int, other long, other_row int, value long"
 
 
-def _tile(cells: pd.DataFrame) -> pd.DataFrame:
-    tree = Quadtree.build(*(cells[c].to_numpy(np.int64) for c in ("row", "col", "n")))
+def _tile(key: tuple, cells: pa.Table) -> pa.Table:
+    tree = Quadtree.build(*(cells.column(c).to_numpy().astype(np.int64) for c in ("row", "col", "n")))
     levels, lengths, counts = tree.packed()
-    first = cells.iloc[0]
-    return pd.DataFrame(
-        {"lang": [first["lang"]], "tile": [first["tile"]], "block": [first["block"]], "levels": [levels],
-         "lengths": [lengths], "counts": [counts]}
-    )
+    names = {name: [value.as_py()] for name, value in zip(("lang", "tile", "block"), key)}
+    return pa.table({**names, "levels": [levels], "lengths": [lengths], "counts": [counts]}, schema=_TILE_FIELDS)
 
 
-def _joint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over shared terms of all pairs of groups in a pair of tiles."""
     for batch in batches:
-        for unit in batch.itertuples(index=False):
-            a = Quadtree.unpacked(unit.levels, unit.lengths, unit.counts)
-            b = Quadtree.unpacked(unit.other_levels, unit.other_lengths, unit.other_counts)
-            value = shared_terms(a, b, np.asarray(unit.sizes, np.int64), np.asarray(unit.other_sizes, np.int64))
-            if unit.block == unit.other:
+        for i in range(batch.num_rows):
+            unit = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            a = Quadtree.unpacked(unit["levels"], unit["lengths"], unit["counts"])
+            b = Quadtree.unpacked(unit["other_levels"], unit["other_lengths"], unit["other_counts"])
+            value = shared_terms(a, b, np.array(unit["sizes"], np.int64), np.array(unit["other_sizes"], np.int64))
+            if unit["block"] == unit["other"]:
                 value = np.triu(value, 1)
             row, other_row = np.nonzero(value)
-            yield pd.DataFrame(
-                {"lang": unit.lang, "block": unit.block, "row": row, "other": unit.other,
-                 "other_row": other_row, "value": value[row, other_row]}
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.repeat(pa.scalar(unit["lang"], pa.string()), len(row)),
+                    "block": pa.repeat(pa.scalar(unit["block"], pa.int64()), len(row)),
+                    "row": pa.array(row, pa.int32()),
+                    "other": pa.repeat(pa.scalar(unit["other"], pa.int64()), len(row)),
+                    "other_row": pa.array(other_row, pa.int32()),
+                    "value": pa.array(value[row, other_row], pa.int64()),
+                }
             )
 
 
@@ -297,7 +305,7 @@ def _priced_jointly(cells: DataFrame, groups: DataFrame, few: bool) -> DataFrame
     named = _beside_groups(cells, groups.select("lang", "source", "block", "row"), few)
     tiles = stage(
         named.select("lang", "tile", "block", "row", "col", "n").groupBy("lang", "tile", "block")
-        .applyInPandas(_tile, _TILE),
+        .applyInArrow(_tile, _TILE),
         "tiles",
     )
     # Sizes by place; a block has SIDE groups at most.
@@ -310,7 +318,7 @@ def _priced_jointly(cells: DataFrame, groups: DataFrame, few: bool) -> DataFrame
                           for c in ("block", "levels", "lengths", "counts", "sizes"))
     )
     units = held.join(others, ["lang", "tile"]).where(F.col("block") <= F.col("other"))
-    found = units.mapInPandas(_joint, _PRICED).groupBy("lang", "block", "row", "other", "other_row").agg(
+    found = units.mapInArrow(_joint, _PRICED).groupBy("lang", "block", "row", "other", "other_row").agg(
         F.sum("value").alias("value")
     )
     names = groups.select("lang", "block", "row", "source")
