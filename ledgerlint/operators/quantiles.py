@@ -3,8 +3,8 @@
 The built-in exact percentile keeps a map of every distinct value in a single
 buffer. Here values are combined on the map side, so a frequent value is one row
 per task, and the distinct values are dealt into range partitions. One row for each
-partition tells which of them holds a wanted rank; only those are read again, and
-running sums in them give the values. No task sees more than a range of values, at
+partition tells which of them holds a wanted rank; only those are read again, for the
+rows whose running sums hold it. No task sees more than a range of values, at
 any size, and several columns share the passes.
 
 Linear interpolation between the two neighbouring order statistics.
@@ -13,8 +13,13 @@ Linear interpolation between the two neighbouring order statistics.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +28,44 @@ from ledgerlint.sources.staging import stage
 
 KEY = ("variable", "value")
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _accumulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of a partition with the weight of their variable up to and with them."""
+    last, total = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = pc.dictionary_encode(batch.column("variable"))
+        codes = names.indices.to_numpy()
+        weights = batch.column("weight").to_numpy()
+        starts = np.r_[True, codes[1:] != codes[:-1]]
+        sums = np.cumsum(weights)
+        # What was summed up before each variable's first row.
+        before = np.maximum.accumulate(np.where(starts, np.arange(len(codes)), 0))
+        running = sums - (sums - weights)[before]
+        if batch.column("variable")[0].as_py() == last:
+            running[before == 0] += total
+        last, total = batch.column("variable")[-1].as_py(), int(running[-1])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(running, pa.int64())], names=[*batch.schema.names, "running"]
+        )
+
 
 def ranged(values: DataFrame, parts: int | None = None) -> DataFrame:
-    """``values`` (variable, value, weight) stored in order, with the number ``part`` of their range.
+    """``values`` (variable, value, weight) stored by ranges: ``part`` is the number of the range,
+    ``running`` the weight of the variable in it up to and with the value.
 
     ``parts`` fixes the number of ranges; by default Spark sizes them.
     """
-    dealt = values.repartitionByRange(*([] if parts is None else [parts]), *KEY)
-    return stage(dealt.withColumn("part", F.spark_partition_id()), "parts")
-
-
-def _running() -> Window:
-    return Window.partitionBy("variable", "part").orderBy("value")
+    dealt = values.select(*KEY, F.col("weight").cast("long").alias("weight")).repartitionByRange(
+        *([] if parts is None else [parts]), *KEY
+    )
+    ordered = dealt.withColumn("part", F.spark_partition_id()).sortWithinPartitions(*KEY)
+    summed = "variable string, value double, weight long, part int, running long"
+    return stage(ordered.mapInArrow(_accumulated, summed), "parts")
 
 
 def value_ranks(values: DataFrame, parts: int | None = None) -> DataFrame:
@@ -44,12 +75,11 @@ def value_ranks(values: DataFrame, parts: int | None = None) -> DataFrame:
     of which there is one row each.
     """
     stored = ranged(values, parts)
-    sums = stored.groupBy("variable", "part").agg(F.sum("weight").alias("inside"))
+    sums = stored.groupBy("variable", "part").agg(F.max("running").alias("inside"))
     before = Window.partitionBy("variable").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("variable", "part", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("offset"))
     return (
-        stored.withColumn("running", F.sum("weight").over(_running()))
-        .join(offsets, ["variable", "part"])
+        stored.join(offsets, ["variable", "part"])
         .withColumn("last_rank", F.col("offset") + F.col("running"))
         .withColumn("first_rank", F.col("last_rank") - F.col("weight") + 1)
         .select(*KEY, "weight", "first_rank", "last_rank")
@@ -66,15 +96,19 @@ def _values_at(stored: DataFrame, wanted: Mapping[str, Sequence[int]], sums: Seq
         start = below[variable]
         spots += [(variable, part, r - start, r) for r in wanted[variable] if start <= r < start + weight]
         below[variable] = start + weight
-    # A few rows: two for each probability.
-    asked = stored.sparkSession.createDataFrame(spots, "variable string, part int, inside long, rank long")
-    opened = F.lit(False)
-    for variable, part in sorted({(s[0], s[1]) for s in spots}):
-        opened = opened | ((F.col("part") == part) & (F.col("variable") == variable))
-    running = stored.where(opened).withColumn("after", F.sum("weight").over(_running()))
-    inside = (F.col("inside") < F.col("after")) & (F.col("inside") >= F.col("after") - F.col("weight"))
-    found = running.join(asked, ["variable", "part"]).where(inside).select("variable", "rank", "value").collect()
-    return {(r["variable"], r["rank"]): r["value"] for r in found}
+    # Two for each probability at most; the scan skips all files of other ranges.
+    found = F.lit(False)
+    for variable, part, inside, _ in spots:
+        after = F.col("running")
+        held = (after > inside) & (after - F.col("weight") <= inside)
+        found = found | ((F.col("part") == part) & (F.col("variable") == variable) & held)
+    rows = stored.where(found).collect()
+    held_by = {}
+    for variable, part, inside, rank in spots:
+        for r in rows:
+            if (r["variable"], r["part"]) == (variable, part) and 0 <= r["running"] - inside - 1 < r["weight"]:
+                held_by[variable, rank] = r["value"]
+    return held_by
 
 
 def distinct_quantiles(
@@ -85,8 +119,8 @@ def distinct_quantiles(
     ``values`` has variable, value and weight, one row for each distinct value, and
     weights above 0.
     """
-    stored = ranged(values.select(*KEY, "weight").where(F.col("variable").isin(list(probs))), parts)
-    per_part = stored.groupBy("variable", "part").agg(F.sum("weight").alias("w")).collect()
+    stored = ranged(values.where(F.col("variable").isin(list(probs))), parts)
+    per_part = stored.groupBy("variable", "part").agg(F.max("running").alias("w")).collect()
     sums = sorted((r["variable"], r["part"], r["w"]) for r in per_part)
     totals = dict.fromkeys(probs, 0)
     for variable, _, weight in sums:
