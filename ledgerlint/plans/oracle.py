@@ -1,7 +1,7 @@
 """SQL equivalents of the registered queries, for DuckDB.
 
 Queries without an entry have no plain SQL form: file digests, the isolation
-forest and runs that use it, normal quantiles, random samples and sketches.
+forest and runs that use it.
 """
 
 from __future__ import annotations
@@ -775,7 +775,8 @@ ORACLE_SQL: dict[str, str] = {
     "shapiro_statistics": SHAPIRO,
     "normality_tests": NORMALITY,
     "csv_round_trip": _select(
-        "SELECT count(*) AS rows_read, CAST(sum(quantity) AS BIGINT) AS quantity, round(sum(price), 2) AS price, "
+        "SELECT count(*) AS rows_read, CAST(sum(quantity) AS BIGINT) AS quantity, "
+        "CAST(sum(CAST(round(price * 1000) AS BIGINT)) AS BIGINT) AS price_thousandths, "
         "count(customer_id) AS customers, count(description) AS descriptions, "
         "strftime(min(invoicedate), '%Y-%m-%d %H:%M:%S') AS first_date FROM tx"
     ),

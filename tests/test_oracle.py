@@ -10,7 +10,7 @@ from ledgerlint.plans.queries import QUERIES
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-NO_SQL = {"file_manifest", "isolation_forest", "clean_orders_with_forest", "normality_tests"}
+NO_SQL = {"file_manifest", "isolation_forest", "clean_orders_with_forest"}
 
 
 @pytest.fixture(scope="module")
