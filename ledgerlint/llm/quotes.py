@@ -106,16 +106,17 @@ def _links(parsed: DataFrame) -> DataFrame:
     """conv_id, mid and the turn replied to, for messages whose quotes were found."""
     placed = parsed.where("conv_id IS NOT NULL AND turn IS NOT NULL")
 
-    def voiced(part: str) -> DataFrame:
-        said = placed.select("conv_id", "turn", "mid", F.explode(part).alias("said")).where(F.col("said.norm") != "")
+    def voiced(messages: DataFrame, units: Column) -> DataFrame:
+        said = messages.select("conv_id", "turn", "mid", F.explode(units).alias("said")).where(F.col("said.norm") != "")
         return said.select("conv_id", "turn", "mid", "said.level", F.md5(F.col("said.norm")).alias("hash"))
 
-    sentences = voiced("sentences")
-    quoted = sentences.where("level > 0").groupBy("conv_id", "hash", "turn", "mid", "level").agg(
-        F.count("*").alias("n")
-    )
+    # Only messages with a mark at the start of a line are parsed for quotes.
+    quoted = voiced(placed.where("marked"), F.col("sentences")).where("level > 0")
+    quoted = quoted.groupBy("conv_id", "hash", "turn", "mid", "level").agg(F.count("*").alias("n"))
     wanted = quoted.select("conv_id", "hash").distinct()
-    written = sentences.unionByName(voiced("lines")).where("level = 0").join(wanted, ["conv_id", "hash"], "left_semi")
+    single = F.transform("lines", lambda x: F.struct(x["level"].alias("level"), x["norm"].alias("norm")))
+    written = voiced(placed, F.concat("sentences", single)).where("level = 0")
+    written = written.join(wanted, ["conv_id", "hash"], "left_semi")
     written = written.select("conv_id", "hash", "turn").distinct().withColumn("source_turn", F.col("turn"))
     found = _latest_before(quoted.unionByName(written, allowMissingColumns=True))
     found = found.where("mid IS NOT NULL AND origin IS NOT NULL")
@@ -161,16 +162,22 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     Returns conv_id, position, turn, role, text, reply_to, thread, depth,
     n_quoted, n_linked and formatted.
     """
-    named = messages.select("conv_id", "turn", "role", "text")
+    named = messages.select("conv_id", "turn", "role", "text").withColumn(
+        "marked", F.coalesce(F.col("text").rlike(r"(?m)^[ \t]*>"), F.lit(False))
+    )
     parsed = named.withColumn("mid", row_key("conv_id", "turn", "role", "text")).withColumn(
         "lines", _lines(F.col("text"))
     ).withColumn("sentences", _sentences(F.col("lines")))
     links = stage(_links(parsed), "links")
     threads = _threads(links)
     levels = F.filter("sentences", lambda x: x["level"] > 0)
-    clean = parsed.select(
-        "conv_id", "turn", "role", "mid", F.size(levels).alias("n_quoted"),
-        _own_text(F.col("lines")).alias("text"),
+    plain = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n", "\n"), F.lit(" \t\r\n"))
+    clean = parsed.where("marked").select(
+        "conv_id", "turn", "role", "mid", F.size(levels).alias("n_quoted"), _own_text(F.col("lines")).alias("text")
+    ).unionByName(
+        parsed.where("NOT marked").select(
+            "conv_id", "turn", "role", "mid", F.lit(0).alias("n_quoted"), plain.alias("text")
+        )
     )
     clean = clean.join(links.select("mid", "reply_to", "n_linked"), "mid", "left")
     clean = clean.join(threads, ["conv_id", "turn"], "left")
