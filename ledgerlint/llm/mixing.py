@@ -13,6 +13,10 @@ Random numbers come from seeded hashes of the source and chunk, and a chunk is
 worked in the order of hashed ids, so that reruns agree whatever the
 partitioning.
 
+Rows that are alike are counted before they are shuffled and dealt in pieces of
+``ALIKE``, so that a row repeated without end fills no chunk. The plan of the
+sources is a table as well: only its sums reach the driver.
+
 Cases: a null text has size 0; a null source is a source of its own, after all
 others; documents of size 0 take no part and are taken 0 words; repeated rows
 are documents of their own; other columns are kept.
@@ -21,6 +25,7 @@ are documents of their own; other columns are kept.
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 from collections.abc import Sequence
 
@@ -35,45 +40,88 @@ from ledgerlint.sources.staging import stage
 #: Documents of a chunk on average, and chunks that meet in one of the next level.
 CHUNK_ROWS = 4096
 FAN_IN = 64
+#: Rows alike that are dealt together, and copies of a row that one task writes.
+ALIKE = 64
+MANY = 1024
 
 
 def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
-    """Shares of ``total`` by weight, none above ``most`` times its size.
+def _ranked(sources: DataFrame, slots: int) -> DataFrame:
+    """``sources`` with slot: the place by code point, null last, modulo ``slots``.
+
+    Places are counted inside range partitions and shifted by the rows of those before,
+    of which there is one count each.
+    """
+    order = F.col("source").asc_nulls_last()
+    dealt = stage(sources.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "sources")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("part").agg(F.count("*").alias("n"))
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(order))
+    place = F.col("offset") + F.col("inside") - 1
+    return dealt.withColumn("inside", inside).join(offsets, "part").select(
+        "source", "size", "rows", F.pmod(place, F.lit(slots)).cast("int").alias("slot")
+    )
+
+
+def water_level(sources: DataFrame, weights: Sequence[float], total: float, most: float) -> float:
+    """Words for each unit of weight when no source gets more than ``most`` times its size.
 
-    The excess over a limit is shared among the others by weight until no
-    target is above its own.
+    ``sources`` (size, slot) stays where it is: each round adds up the sources that the
+    level fills, one row for each slot, and reshares what they leave. The level only
+    rises; rounds end when it fills no further source.
     """
-    limits = [most * s for s in sizes]
-    targets, open_ones, left = [0.0] * len(sizes), list(range(len(sizes))), float(total)
-    while open_ones:
-        unit = left / sum(weights[i] for i in open_ones)
-        full = [i for i in open_ones if unit * weights[i] >= limits[i]]
-        if not full:
-            for i in open_ones:
-                targets[i] = unit * weights[i]
-            break
-        for i in full:
-            targets[i] = float(limits[i])
-            left -= limits[i]
-        left = max(left, 0.0)
-        open_ones = [i for i in open_ones if i not in set(full)]
-    return targets
-
-
-def source_plan(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> list[tuple]:
-    """(source, size, rows, target) of each source, in the order of code points.
-
-    One short row for each source reaches the driver.
+
+    def add_up(rows: DataFrame) -> tuple[int, float, float]:
+        found = rows.groupBy("slot").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        found.sort(key=lambda r: r["slot"])
+        return (
+            sum(r["n"] for r in found), float(sum(r["size"] for r in found)),
+            sum(weights[r["slot"]] * r["n"] for r in found),
+        )
+
+    n_all, _, weight = add_up(sources)
+    level, n_full = (float(total) / weight if n_all else 0.0), 0
+    while True:
+        n, size, taken = add_up(sources.where(_fills(level, weights, most)))
+        if n == n_all:
+            return math.inf
+        if n <= n_full:
+            return level
+        n_full, level = n, max(level, max(total - most * size, 0.0) / (weight - taken))
+
+
+def _weight(weights: Sequence[float]) -> Column:
+    return F.element_at(F.array(*(F.lit(float(w)) for w in weights)), F.col("slot") + 1)
+
+
+def _fills(level: float, weights: Sequence[float], most: float) -> Column:
+    return F.lit(level) * _weight(weights) >= F.lit(float(most)) * F.col("size")
+
+
+def source_plan(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """source, source_size, target, ratio and chunks of each source, stored.
+
+    ``sized`` holds source, size and n, how many rows are alike. However many sources
+    there are, only sums over all of them reach the driver.
     """
-    found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    by_rank = [float(weights[i % len(weights)]) for i in range(len(found))]
-    targets = water_fill([r["size"] for r in found], by_rank, share * sum(r["size"] for r in found), most)
-    return [(r["source"], r["size"], r["rows"], t) for r, t in zip(found, targets)]
+    rows = F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("rows")
+    found = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), rows)
+    ranked = stage(_ranked(found, len(weights)), "ranked")
+    total = share * (ranked.agg(F.sum("size")).first()[0] or 0)
+    level = water_level(ranked, weights, total, most)
+    limit = F.lit(float(most)) * F.col("size")
+    full = F.lit(True) if math.isinf(level) else _fills(level, weights, most)
+    target = F.when(full, limit).otherwise(F.lit(0.0 if math.isinf(level) else level) * _weight(weights))
+    plan = ranked.withColumn("target", target).select(
+        "source", F.col("size").alias("source_size"), "target",
+        F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0.0).alias("ratio"),
+        F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK_ROWS)).cast("int").alias("chunks"),
+    )
+    return stage(plan, "source-plan")
 
 
 def pivot(sizes: np.ndarray, mass: np.ndarray, rng: random.Random) -> np.ndarray:
@@ -114,7 +162,9 @@ def _rng(*parts) -> random.Random:
 
 def _round(seed: int, level: int, last: bool):
     def round_chunk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["h", "row"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["h", "row", "piece", "size"], kind="stable")
+        rows = rows.loc[rows.index.repeat(rows["n"])].reset_index(drop=True)  # alike, but rows of their own
+        rows["n"] = 1
         source, group = rows["source"].iloc[0], int(rows["parent"].iloc[0])
         rng = _rng(seed, level, None if pd.isna(source) else source, group)
         mass = pivot(rows["size"].to_numpy(float), rows["mass"].to_numpy(float), rng)
@@ -139,37 +189,30 @@ def decide(
     ``weights[k % len(weights)]``; the mix holds ``share`` of all words; no
     target is above ``most`` times its source.
     """
+    size = F.coalesce(words_in(F.col("text")) if size is None else size, F.lit(0)).cast("long")
+    # Rows that are alike are counted on the map side and dealt in pieces.
     sized = stage(
         docs.select(
-            F.col("doc_id").cast("string"), row_key("doc_id", "text").alias("row"), F.col(source).alias("source"),
-            (words_in(F.col("text")) if size is None else size).alias("size"),
-        ),
+            F.col("doc_id").cast("string").alias("doc_id"), row_key("doc_id", "text").alias("row"),
+            F.col(source).cast("string").alias("source"), size.alias("size"),
+        ).groupBy("row", "doc_id", "source", "size").agg(F.count("*").alias("n")),
         "sizes",
     )
-    plan = source_plan(sized, weights, share, most)
-    spark = docs.sparkSession
-    rows = [
-        (name, int(total), float(target), max(1, -(-n // CHUNK_ROWS)), target / total if total else 0.0)
-        for name, total, n, target in plan
-    ]
-    sources = spark.createDataFrame(
-        rows, "source string, source_size long, target double, chunks int, ratio double"
-    )
-    sized = sized.withColumn("source", F.col("source").cast("string"))
+    sources = source_plan(sized, weights, share, most)
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    h = F.xxhash64(F.lit(seed), "row")
-    known = known.withColumn("h", h).withColumn("parent", F.pmod(h, F.col("chunks")).cast("int"))
     known = known.withColumn("whole", F.floor("ratio").cast("int"))
     known = known.withColumn("mass", (F.col("ratio") - F.col("whole")) * F.col("size"))
-    columns = ["doc_id", "row", "source", "size", "source_size", "target", "h", "parent", "whole", "mass"]
-    schema = known.select(*columns).schema
-    depth, width = 1, max((r[3] for r in rows), default=1)
+    known = known.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(ALIKE).cast("long"))))
+    known = known.withColumn("n", F.least(F.lit(ALIKE).cast("long"), F.col("n") - F.col("piece")))
+    h = F.xxhash64(F.lit(seed), "row", "piece")
+    known = known.withColumn("h", h).withColumn("parent", F.pmod(h, F.col("chunks")).cast("int"))
+    columns = ["doc_id", "row", "source", "size", "source_size", "target", "h", "piece", "n", "parent", "whole", "mass"]
+    known = known.select(*columns)
+    depth, width = 1, sources.agg(F.max("chunks")).first()[0] or 1
     while width > 1:
         depth, width = depth + 1, -(-width // FAN_IN)
 
-    level = known.select(*columns).groupBy("source", "parent").applyInPandas(
-        _round(seed, 0, depth == 1), schema
-    )
+    level = known.where("size > 0").groupBy("source", "parent").applyInPandas(_round(seed, 0, depth == 1), known.schema)
     level = decided = stage(level, "mix-0")
     fractional = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
     for k in range(1, depth):
@@ -185,8 +228,9 @@ def decide(
             settled, fractional & F.col("source").eqNullSafe(F.col("s")) & (F.col("parent") == F.col("o")), "left"
         )
         decided = joined.withColumn("mass", F.coalesce("m", "mass")).drop("s", "o", "m")
+    idle = known.where("size <= 0").withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("one")
     extra = F.when((F.col("size") > 0) & (F.col("mass") >= F.col("size")), 1).otherwise(0)
-    return decided.select(
+    return decided.unionByName(idle).select(
         "row", F.col("doc_id").cast(docs.schema["doc_id"].dataType), "size", "source_size", "target",
         (F.col("whole") + extra).alias("copies"),
     )
@@ -209,8 +253,22 @@ def mix(docs: DataFrame, **parameters) -> DataFrame:
     and their copies added up.
     """
     chosen = decide(docs, **parameters).where("size > 0 AND copies > 0")
-    totals = chosen.groupBy("row").agg(F.sum("copies").cast("int").alias("copies"))
+    totals = stage(chosen.groupBy("row").agg(F.sum("copies").alias("copies")), "copies")
     one = Window.partitionBy("row").orderBy("row")
-    rows = docs.select(packed(docs), row_key("doc_id", "text").alias("row"))
-    rows = rows.withColumn("n", F.row_number().over(one)).where("n = 1").join(totals, "row")
-    return unpacked(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)
+
+    def first_with(wanted: DataFrame) -> DataFrame:
+        rows = docs.select(packed(docs), row_key("doc_id", "text").alias("row"))
+        return rows.withColumn("n", F.row_number().over(one)).where("n = 1").join(wanted, "row")
+
+    few = first_with(totals.where(F.col("copies") <= MANY)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    )
+    out, many = unpacked(few, docs), totals.where(F.col("copies") > MANY)
+    if many.isEmpty():
+        return out
+    # A row taken very often is written by many tasks.
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(MANY).cast("long")))
+    spread = first_with(many).withColumn("start", start).repartition("row", "start")
+    left = F.least(F.lit(MANY).cast("long"), F.col("copies") - F.col("start"))
+    again = spread.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+    return out.unionByName(unpacked(again, docs))

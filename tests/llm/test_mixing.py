@@ -8,13 +8,55 @@ import pytest
 from ledgerlint.llm import mixing
 
 
-def test_water_fill_shares_the_excess():
-    assert mixing.water_fill([100, 100, 100], [1, 2, 3], 300, 3.0) == [50, 100, 150]
-    # The last would get 150 but stops at 30; the excess goes to the others by weight.
-    got = mixing.water_fill([100, 190, 10], [1, 2, 3], 300, 3.0)
-    assert got == pytest.approx([90, 180, 30])
-    assert mixing.water_fill([], [], 0, 3.0) == []
-    assert mixing.water_fill([0, 5], [1, 2], 5, 3.0) == pytest.approx([0, 5])
+def water_fill(sizes, weights, total, most):
+    """Brute force: targets by weight, the excess of the full ones reshared until none is above."""
+    targets, open_ones, left = [most * s for s in sizes], list(range(len(sizes))), float(total)
+    while open_ones:
+        unit = left / sum(weights[i] for i in open_ones)
+        full = [i for i in open_ones if unit * weights[i] >= most * sizes[i]]
+        if not full:
+            for i in open_ones:
+                targets[i] = unit * weights[i]
+            break
+        left = max(left - sum(most * sizes[i] for i in full), 0.0)
+        open_ones = [i for i in open_ones if i not in full]
+    return targets
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [100, 190, 10], [], [0, 5], [0, 0], [1, 2, 3, 4, 5000, 6, 7, 900] * 9])
+@pytest.mark.parametrize("share", [1.0, 0.4, 4.0])
+def test_targets_share_the_excess(spark, sizes, share):
+    names = [f"s{i:03}" for i in range(max(len(sizes) - 1, 0))] + [None]  # null last
+    rows = [(n, s, 1) for n, s in zip(names, sizes)]
+    sized = spark.createDataFrame(rows, "source string, size long, n long").repartition(5)
+    got = {r["source"]: r["target"] for r in mixing.source_plan(sized, (1, 2, 3), share, 3.0).collect()}
+    weights = [float(i % 3 + 1) for i in range(len(sizes))]
+    want = water_fill(sizes, weights, share * sum(sizes), 3.0)
+    assert [got[n] for n, _, _ in rows] == pytest.approx(want)
+
+
+def test_equal_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 256)
+    monkeypatch.setattr(mixing, "MANY", 50)
+    largest = spark.sparkContext.accumulator(0)
+    pivot = mixing.pivot
+
+    def counted(sizes, mass, rng):
+        assert len(sizes) < 1200  # of 20,000 equal rows
+        largest.add(len(sizes))
+        return pivot(sizes, mass, rng)
+
+    monkeypatch.setattr(mixing, "pivot", counted)
+    rows = [(1, "a b c", "s")] * 20000 + [(i, "w " * (i % 9), "s" if i % 2 else "t") for i in range(2, 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    out = [tuple(r) for r in mixing.taken(docs).collect()]
+    assert len(out) == len(rows) and largest.value > 20000
+    assert sorted(out) == sorted(tuple(r) for r in mixing.taken(docs.repartition(3)).collect())
+    size, target = next((r[2], r[3]) for r in out if r[0] == 1)
+    assert size == 60000 + sum(i % 9 for i in range(2, 2000) if i % 2)
+    assert abs(sum(r[4] for r in out if r[2] == size) - target) <= 8
+    want = sum(r[4] // r[1] for r in out if r[0] == 1)
+    assert mixing.mix(docs).where("doc_id = 1").count() == want
 
 
 def test_pivot_keeps_the_sum_and_leaves_one():
