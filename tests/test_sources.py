@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import os
 import time
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,13 @@ def test_stage_uses_the_shared_folder_and_prunes_columns(spark):
     assert sorted(column(plan, "invoice")) == ["489435", "489437", "C489436"]
 
 
+@pytest.mark.parametrize("folder", ["/mnt/shared", "file:///mnt/shared", "hdfs:///shared/"])
+def test_any_shared_folder_serves_on_a_cluster(spark, folder):
+    context = SimpleNamespace(applicationId="app", master="local-cluster[3,4,10240]", _jsc=spark.sparkContext._jsc)
+    session = SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": folder})
+    assert staging_dir(session) == f"{folder.rstrip('/')}/ledgerlint/app"
+
+
 def test_discard_removes_one_staged_table(spark):
     first, second = stage(five(spark), "first"), stage(five(spark), "second")
     path = first.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
