@@ -226,3 +226,13 @@ def test_a_stream_stopped_in_the_middle_is_taken_up(spark, tmp_path):
     assert row_rules.run(spark, incoming, sink, mark).count() == want.count()
     lines(spark, [line(invoice="late")]).write.mode("append").parquet(incoming)
     assert row_rules.run(spark, incoming, sink, mark).count() == want.count() + 1
+
+
+def test_large_scans_are_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 10)
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(30 * cores).toDF("id")
+    assert tables.dealt(many, "id").rdd.getNumPartitions() == 3 * cores
+    assert sorted(column(tables.dealt(many, "id"), "id")) == list(range(30 * cores))
+    few = spark.range(10 * cores, numPartitions=1).toDF("id")
+    assert tables.dealt(few, "id") is few
