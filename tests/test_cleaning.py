@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlint.config import CleaningConfig
+from ledgerlint.functions.columns import first_non_nulls, order_key
 from ledgerlint.operators import checks, cleaning as c
+from ledgerlint.sources.schema import LINE_SCHEMA
 from tests.helpers import FIVE, column, five, line, lines
 
 NAN = math.nan
@@ -268,3 +271,41 @@ def test_schema_match(spark):
     df = five(spark)
     assert checks.schema_match(df, df, "all").first().passed
     assert checks.schema_match(df, df.drop("price"), "all").first().observed == "price"
+
+
+def test_collapse_takes_first_values_of_rows_with_and_without_nulls(spark):
+    rng = random.Random(5)
+    pick = lambda *values: rng.choice([None, *values])
+    rows = [
+        line(invoice=f"i{rng.randrange(40)}", stockcode=f"s{rng.randrange(3)}", day=pick(1, 2), price=pick(1.0, 2.0),
+             description=pick("a", "b"), customer_id=pick("1", "2"), country=pick("x", "y"),
+             quantity=pick(1, 2), source_year=rng.choice(["p", "q"]))
+        for _ in range(600)
+    ]
+    got = {(r["invoice"], r["stockcode"]): r for r in c.collapse_lines(lines(spark, rows)).collect()}
+    order = order_key(LINE_SCHEMA.fieldNames(), exclude=("invoice", "stockcode"))
+    groups = {}
+    for r in rows:
+        r = dict(zip(LINE_SCHEMA.fieldNames(), r))
+        groups.setdefault((r["invoice"], r["stockcode"]), []).append(r)
+    assert got.keys() == groups.keys()
+    for key, held in groups.items():
+        for name in order:
+            if name == "quantity":
+                want = sum(r[name] or 0 for r in held)
+            else:
+                prefix = order[: order.index(name) + 1]
+                some = [[(r[x] is not None, r[x]) for x in prefix] for r in held if r[name] is not None]
+                want = min(some)[-1][1] if some else None
+            assert got[key][name] == want, (key, name)
+
+
+def test_a_line_without_nulls_is_carried_once(spark):
+    """A prefix for each column would carry its first columns as often as there are columns."""
+    columns = [c for c in LINE_SCHEMA.fieldNames() if c not in ("invoice", "stockcode", "quantity")]
+    order = order_key(LINE_SCHEMA.fieldNames(), exclude=("invoice", "stockcode"))
+    aggregates, _ = first_non_nulls(columns, order)
+    whole, holed = five(spark).limit(1), five(spark, customer_id=None).where("customer_id IS NULL").limit(1)
+    for frame, n in ((whole, 1), (holed, len(columns) - 1)):
+        row = frame.agg(*(a.alias(name) for name, a in aggregates.items())).first()
+        assert sum(v is not None for v in row) == n
