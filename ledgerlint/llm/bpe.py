@@ -21,7 +21,8 @@ with the name of an output is replaced.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -109,14 +110,17 @@ class Merger:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=0)
-        pairs = {}
+        # A pair spells one token only, so none is met twice.
+        keys, merged = array("q"), array("q")
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+                    keys.append(a << 32 | b)
+                    merged.append(rank)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self.keys = np.array(keys, dtype=np.int64)[order]
+        self.merged = np.array(merged, dtype=np.int64)[order]
         self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -203,6 +207,37 @@ class Merger:
         return [packed[a:b] for a, b in zip([0] + ends, ends)]
 
 
+class Encoder:
+    """Packed ids of texts; pieces that were met are remembered."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.merger = Merger(ranks)
+        self.split = regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
+        known, out = self.known, []
+        for at in range(0, len(texts), BLOCK):
+            pieces = [self.split(x) if x else [] for x in texts[at : at + BLOCK]]
+            new = list(set().union(*pieces) - known.keys())
+            known.update(zip(new, self.merger.encode([x.encode() for x in new])))
+            out.extend(b"".join(map(known.__getitem__, x)) for x in pieces)
+            if len(known) > REMEMBERED:
+                known.clear()
+        return out
+
+
+class Decoder:
+    """The bytes that packed ids stand for."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {rank: token for token, rank in ranks.items()}
+
+    def __call__(self, packed: Sequence[bytes | None]) -> list[bytes]:
+        token = self.tokens.__getitem__
+        return [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) if x else b"" for x in packed]
+
+
 class Vocabulary:
     """A rank file and its split pattern, shipped to the executors once."""
 
@@ -217,19 +252,9 @@ class Vocabulary:
 
         @F.pandas_udf("binary")
         def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            merger = Merger(read_ranks(raw.value))
-            split = regex.compile(pattern).findall
-            known: dict[str, bytes] = {}
+            encoder = Encoder(read_ranks(raw.value), pattern)
             for batch in batches:
-                out = []
-                for at in range(0, len(batch), BLOCK):
-                    pieces = [split(x) if x else [] for x in batch.iloc[at : at + BLOCK]]
-                    new = list(set().union(*pieces) - known.keys())
-                    known.update(zip(new, merger.encode([x.encode() for x in new])))
-                    out.extend(b"".join(map(known.__getitem__, x)) for x in pieces)
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                yield pd.Series(out, dtype=object)
+                yield pd.Series(encoder(batch.tolist()), dtype=object)
 
         return packed(text)
 
@@ -239,16 +264,30 @@ class Vocabulary:
 
         @F.pandas_udf("binary")
         def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            tokens = {rank: token for token, rank in read_ranks(raw.value).items()}
+            decoder = Decoder(read_ranks(raw.value))
             for batch in batches:
-                out = [
-                    b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) if x else b""
-                    for x in batch
-                ]
-                yield pd.Series(out, dtype=object)
+                yield pd.Series(decoder(batch.tolist()), dtype=object)
 
         return unpacked(packed)
 
+    def encode_and_decode(self, text: Column) -> Column:
+        """Packed ids of a text column and the bytes that they stand for, as a struct.
+
+        ``decode`` of ``encode`` takes two workers a task, as Spark gives each such
+        function its own; this one takes one, with one table of ranks.
+        """
+        raw, pattern = self.raw, self.pattern
+
+        @F.pandas_udf("ids binary, decoded binary")
+        def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            ranks = read_ranks(raw.value)
+            encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
+            for batch in batches:
+                ids = encoder(batch.tolist())
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoder(ids), dtype=object)})
+
+        return coded(text)
+
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the packed ids of ``text``."""
@@ -262,11 +301,10 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: s
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
-    coded = encode(docs.select("doc_id", "text"), vocabulary)
-    both = decode(coded, vocabulary)
-    return both.select(
+    coded = docs.select("doc_id", vocabulary.encode_and_decode(F.col("text")).alias("coded"))
+    return coded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )

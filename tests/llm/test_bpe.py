@@ -9,6 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pathlib import Path
+from pyspark.sql import functions as F
 
 from ledgerlint.llm import bpe
 from ledgerlint.llm.queries import tokenizer
@@ -68,3 +69,17 @@ def test_digests(coded):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(docs, tokenizer(spark)).collect() == []
+
+
+def test_digests_take_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    plan = bpe.digests(docs, tokenizer(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_encode_and_decode_agree_with_the_two(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    vocabulary = tokenizer(spark)
+    one = docs.select("doc_id", vocabulary.encode_and_decode(F.col("text")).alias("coded")).select("doc_id", "coded.*")
+    two = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).drop("text")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select("doc_id", "ids", "decoded").collect()))
