@@ -31,10 +31,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import small_batches
+from ledgerlint.llm.common import gives_back, small_batches
 
 #: Encoded pieces a task remembers before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Documents whose new pieces are merged together.
 BLOCK = 256
 _NONE = 1 << 62
@@ -251,6 +251,7 @@ class Vocabulary:
         raw, pattern = self.raw, self.pattern
 
         @F.pandas_udf("binary")
+        @gives_back
         def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             encoder = Encoder(read_ranks(raw.value), pattern)
             for batch in batches:
@@ -263,6 +264,7 @@ class Vocabulary:
         raw = self.raw
 
         @F.pandas_udf("binary")
+        @gives_back
         def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             decoder = Decoder(read_ranks(raw.value))
             for batch in batches:
@@ -279,6 +281,7 @@ class Vocabulary:
         raw, pattern = self.raw, self.pattern
 
         @F.pandas_udf("ids binary, decoded binary")
+        @gives_back
         def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             ranks = read_ranks(raw.value)
             encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlint.llm.common import gives_back
 from ledgerlint.sources.staging import discard, stage
 
 FEW = 1 << 17
@@ -47,6 +48,7 @@ def least_labels(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
+@gives_back
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = list(batches)
     u, v = (

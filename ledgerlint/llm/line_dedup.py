@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import SPACES, mix64, packed, row_key, small_batches
+from ledgerlint.llm.common import SPACES, gives_back, mix64, packed, row_key, small_batches
 from ledgerlint.sources.staging import stage
 
 #: Bits of a filter for each line, and at most.
@@ -75,6 +75,7 @@ def _probes(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _fill(bits: int, min_chars: int):
+    @gives_back
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = np.zeros(bits, dtype=bool)
         twice = np.zeros(bits, dtype=bool)
@@ -103,6 +104,7 @@ def _segments(once: np.ndarray, twice: np.ndarray) -> Iterator[pa.RecordBatch]:
         )
 
 
+@gives_back
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
@@ -155,6 +157,7 @@ def holds(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _suspects(held, min_chars: int):
     """(row, key) of the line keys that a filter holds."""
 
+    @gives_back
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import mix64, packed, row_key, small_batches, unpacked
+from ledgerlint.llm.common import gives_back, mix64, packed, row_key, small_batches, unpacked
 from ledgerlint.llm.graph import components
 from ledgerlint.sources.staging import discard, stage
 
@@ -171,6 +171,7 @@ def bit_sketches(value: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _members(n: int):
+    @gives_back
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
@@ -200,6 +201,7 @@ def _keys(n: int, num: int, den: int):
     company; the others are passed on as they are (part is any number).
     """
 
+    @gives_back
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         bands = Bands(num, den)
@@ -239,6 +241,7 @@ def _keys(n: int, num: int, den: int):
 
 
 def _sets(n: int):
+    @gives_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import held_out, small_batches
+from ledgerlint.llm.common import gives_back, held_out, small_batches
 
 BUCKETS = 1 << 15
 RANK = 8
@@ -86,6 +86,7 @@ def describe(text: str | None, buckets: Buckets) -> tuple[np.ndarray, np.ndarray
     return found, values, statistics
 
 
+@gives_back
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     buckets = Buckets()
     for batch in batches:
@@ -170,6 +171,7 @@ class Machine:
 
 
 def _fit(seed: int):
+    @gives_back
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
@@ -228,6 +230,7 @@ def score(docs: DataFrame, model: bytes, threshold: float = 0.3) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @gives_back
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         machine = Machine.__new__(Machine)
         machine.__dict__ = pickle.loads(held.value)

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import weakref
+from collections.abc import Iterator
 
 import public_tokenizers
 import pytest
@@ -9,9 +11,10 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pathlib import Path
+from types import SimpleNamespace
 from pyspark.sql import functions as F
 
-from ledgerlint.llm import bpe
+from ledgerlint.llm import bpe, common
 from ledgerlint.llm.queries import tokenizer
 
 RAW = Path(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
@@ -83,3 +86,25 @@ def test_encode_and_decode_agree_with_the_two(spark):
     one = docs.select("doc_id", vocabulary.encode_and_decode(F.col("text")).alias("coded")).select("doc_id", "coded.*")
     two = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).drop("text")
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select("doc_id", "ids", "decoded").collect()))
+
+
+def test_memory_is_given_back_once_the_task_has_freed_it(monkeypatch):
+    class Held:
+        pass
+
+    seen, alive = [], []
+
+    def pool():
+        return SimpleNamespace(release_unused=lambda: seen.append([ref() for ref in alive]))
+
+    @common.gives_back
+    def run(batches: Iterator[int]) -> Iterator[int]:
+        held = Held()
+        alive.append(weakref.ref(held))
+        for batch in batches:
+            yield batch + bool(held)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", pool)
+    out = run(iter([1, 2]))
+    assert next(out) == 2 and not seen
+    assert list(out) == [3] and seen == [[None]]
