@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ledgerlint.plans.cleaning_run import run_cleaning, save_run
 from ledgerlint.plans.profile_run import run_profile, save_profile
 from ledgerlint.plans.queries import CONFIG, QUERIES
 from ledgerlint.sources import fixture
-from ledgerlint.sources.staging import stage
+from ledgerlint.sources.staging import stage, staging_dir
 from tests.helpers import line, lines
 
 # Rows remaining after each step, from FIXTURES.md.
@@ -83,6 +85,17 @@ def test_labels_cover_null_keys_and_repaired_invoices(spark):
     assert run.waterfall.where("step = 'handle_missing_id'").first().rows_removed == 0
 
 
+def test_one_whole_table_stays_staged(spark):
+    folder = Path(staging_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("*"))
+    impute = CleaningConfig(isolation_contam=0.0, drop_missing_id=False)
+    rows = [line(), line(invoice="2", quantity=-1), line(invoice="3", quantity=-1), line(invoice="3", stockcode="b")]
+    cleaned = run_cleaning(lines(spark, rows), impute).cleaned
+    names = sorted(p.name.split("-")[0] for p in set(folder.glob("*")) - before)
+    assert [n for n in names if n not in ("parts", "verdicts")] == ["labelled", "repaired"]
+    assert sorted(r.invoice for r in cleaned.collect()) == ["3", "489434", "C2"]
+
+
 def test_nothing_is_saved_when_an_assertion_fails(spark, tmp_path):
     run = run_cleaning(lines(spark, [line(day=None)]), CleaningConfig(isolation_contam=0.0))
     with pytest.raises(ValueError, match="date_in_range"):

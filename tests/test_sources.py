@@ -180,6 +180,27 @@ def test_any_shared_folder_serves_on_a_cluster(spark, folder):
     assert staging_dir(session) == f"{folder.rstrip('/')}/ledgerlint/app"
 
 
+def test_shuffle_files_go_when_a_staged_table_is_written(spark):
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    counted = stage(spark.range(0, 100_000, 1, 4).groupBy((F.col("id") % 9973).alias("k")).count(), "counted")
+    for _ in range(50):  # removal is asynchronous
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert counted.agg(F.sum("count")).first()[0] == 100_000
+    assert spark.conf.get(key) == setting
+
+
 def test_discard_removes_one_staged_table(spark):
     first, second = stage(five(spark), "first"), stage(five(spark), "second")
     path = first.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
