@@ -118,6 +118,30 @@ def test_run_with_forest_accounts_for_outliers(spark):
     assert run.cleaned.count() == last.rows_remaining
 
 
+def test_checks_are_made_after_the_forest(spark, tmp_path):
+    """One sale far from all others, alone on the last day, goes before the dates are checked."""
+    keys = [k for k in range(1, 4000) if k % 20 and k % 50 != 7 and k % 40 != 11 and k % 83 and 4 <= (k + 1) % 97][:2000]
+    far = keys[1000]
+    day = F.when(F.col("k") == far, F.lit("2001-07-31")).otherwise(F.lit("1996-03-01")).cast("timestamp_ntz")
+    orders = spark.createDataFrame([(k,) for k in keys], "k long")
+    apart = F.col("k") == far
+    tables = {
+        "lineitem": orders.select(
+            F.col("k").alias("l_orderkey"), F.lit(1).cast("long").alias("l_partkey"), F.lit(1).alias("l_linenumber"),
+            F.when(apart, 90_000.0).otherwise((F.col("k") % 5 + 1).cast("double")).alias("l_quantity"),
+            F.when(apart, 90_000.0).otherwise((F.col("k") % 7 + 10).cast("double")).alias("l_extendedprice"),
+        ),
+        "orders": orders.select(F.col("k").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), day.alias("o_orderdate")),
+        "customer": spark.createDataFrame([(1, 1)], "c_custkey long, c_nationkey int"),
+        "part": spark.createDataFrame([(1, "box")], "p_partkey long, p_name string"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = {r["check"]: r for r in QUERIES["clean_orders_checks"](spark, str(tmp_path)).collect()}
+    assert all(r["passed"] for r in rows.values())
+    assert rows["date_in_range"]["observed"] == "1996-03-01 00:00:00 to 1996-03-01 00:00:00"
+
+
 def test_profile_run_writes_every_report(spark, tmp_path):
     table = stage(fixture.transactions(spark, "/root/testdata/sf0.001"), "lines")
     reports = run_profile(table)

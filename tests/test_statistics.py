@@ -5,6 +5,7 @@ import math
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,6 +297,15 @@ def _valued(spark, n, outliers):
     )
 
 
+def test_a_tree_splits_neighbouring_and_infinite_values():
+    value = 3.3
+    for other in (np.nextafter(value, 4.0), -math.inf):
+        rows = pd.DataFrame({"tree": 0, "quantity": 1.0, "price": 2.0, "basket_value": [value, other] * 4})
+        for seed in range(20):
+            tree = forest._grow(rows, seed, 8).iloc[0]
+            assert tree["feature"][0] == 2 and min(value, other) <= tree["split"][0] < max(value, other)
+
+
 def test_forest_removes_injected_outliers_and_keeps_credit(spark):
     df = _valued(spark, 1000, 6)
     config = CleaningConfig(isolation_contam=0.006)
