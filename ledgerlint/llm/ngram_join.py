@@ -19,6 +19,11 @@ different components is compared with all. Nodes are compared by a bit sketch, w
 Hamming distance is a lower bound too; only pairs that it cannot tell apart are
 emitted and verified.
 
+What is shuffled is kept small. Sketch words, of which few are met again, travel packed
+by bucket, 14 bytes each. Nodes that meet are paired by name before their bit sketches
+are fetched, as copies share many words. Texts are shuffled only where a Bloom filter of
+bounded size suspects that their row is wanted; the exact join decides.
+
 Cases: null and empty texts have the empty set and link with nothing; a text with
 fewer words than ``n`` has its whole sequence as its one n-gram; equal texts are
 in one component; repeated rows are all returned; null ids are never the name of
@@ -31,13 +36,15 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.llm.common import gives_back, mix64, packed, row_key, small_batches, unpacked
 from ledgerlint.llm.graph import components
+from ledgerlint.llm.line_dedup import bloom_bits, filters, hash_keys, holds
 from ledgerlint.sources.staging import discard, stage
 
 #: Documents worked on at a time, and words whose hash a task remembers.
@@ -50,6 +57,12 @@ SEEDS = 12
 STAR_ROUNDS = 4
 #: Bits of the sketch that candidates are compared by.
 BITS = 1024
+#: Buckets that sketch words are dealt into: a power of two.
+BUCKET_BITS = 12
+#: Bits of a word that name it within its bucket; six bytes.
+WORD_BITS = 48
+#: Words whose company a task looks for at a time, at least.
+HELD_WORDS = 1 << 19
 
 
 class _Words(dict):
@@ -193,13 +206,54 @@ def _members(n: int):
     return members
 
 
-def _keys(n: int, num: int, den: int):
-    """Rows (part, key, node, local) of a batch's sketch words.
+_WORDS_SCHEMA = "bucket int, alone binary, met binary, passed binary"
+
+
+def _blobs(bucket: np.ndarray, *columns: np.ndarray) -> pa.Array:
+    """The bytes of the rows of each bucket; rows are sorted by ``bucket``."""
+    data = np.ascontiguousarray(np.concatenate(columns, axis=1))
+    ends = np.searchsorted(bucket, np.arange((1 << BUCKET_BITS) + 1)) * data.shape[1]
+    return pa.Array.from_buffers(
+        pa.binary(), 1 << BUCKET_BITS, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes())]
+    )
+
+
+def _bytes(values: np.ndarray, width: int = 8) -> np.ndarray:
+    """The low bytes of 64-bit integers, one row each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _packed_words(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    """The sketch words (key, node) of a batch by bucket of the key.
 
     Nodes that share a word within a batch are combined before the shuffle: the
-    least one goes to the word's group (part is the word), marked as having
-    company; the others are passed on as they are (part is any number).
+    least one goes to the word's bucket, ``met`` if it has company and ``alone`` if not;
+    the others are ``passed`` on as they are, to any bucket. Words keep the high bits of their key.
     """
+    key = key.view(np.uint64) >> np.uint64(64 - BUCKET_BITS - WORD_BITS)
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    key, node = key[new], node[new]
+    head = np.ones(len(key), dtype=bool)
+    head[1:] = key[1:] != key[:-1]
+    company = head & np.r_[~head[1:], np.zeros(min(1, len(key)), dtype=bool)]
+    bucket = (key >> np.uint64(WORD_BITS)).astype(np.int64)
+    columns = [
+        _blobs(bucket[kind], _bytes(key[kind], WORD_BITS // 8), _bytes(node[kind])) for kind in (head & ~company, company)
+    ]
+    key, node = key[~head], node[~head]
+    anywhere = (mix64(key ^ mix64(node.view(np.uint64))) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    order = np.argsort(anywhere, kind="stable")
+    columns.append(_blobs(anywhere[order], _bytes(key[order]), _bytes(node[order])))
+    filled = sum(np.diff(np.frombuffer(x.buffers()[1], np.int32)) for x in columns)
+    buckets = pa.array(np.arange(1 << BUCKET_BITS), pa.int32())
+    return pa.RecordBatch.from_arrays([buckets, *columns], names=["bucket", "alone", "met", "passed"]).filter(pa.array(filled > 0))
+
+
+def _keys(n: int, num: int, den: int):
+    """The packed sketch words of each batch of texts."""
 
     @gives_back
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,27 +273,72 @@ def _keys(n: int, num: int, den: int):
                 found_nodes.append(m)
                 if len(words) > REMEMBERED:
                     words.clear()
-            key, node = np.concatenate(found_keys), np.concatenate(found_nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.empty(0, bool)
-            key, node = key[new], node[new]
-            head = np.r_[True, key[1:] != key[:-1]] if len(key) else np.empty(0, bool)
-            company = np.r_[~head[1:], False] if len(key) else head
-            part = np.where(head, key, mix64(key.view(np.uint64) ^ mix64(node.view(np.uint64))).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part, pa.int64()),
-                    pa.array(key, pa.int64(), mask=head),
-                    pa.array(node, pa.int64()),
-                    pa.array(~head | company, pa.bool_()),
-                ],
-                names=["part", "key", "node", "local"],
-            )
+            yield _packed_words(np.concatenate(found_keys), np.concatenate(found_nodes))
 
     return keys
 
 
+def _rows_of(blobs: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of all blobs, and how many each has."""
+    found = blobs.to_pylist()
+    counts = np.array([len(x) // width for x in found], dtype=np.int64)
+    return np.frombuffer(b"".join(found), np.uint8).reshape(-1, width), counts
+
+
+def _number(data: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(data), 8), np.uint8)
+    out[:, : data.shape[1]] = data
+    return out.view(np.uint64).ravel()
+
+
+def _shared(key: np.ndarray, node: np.ndarray, met: np.ndarray) -> pa.RecordBatch:
+    """(key, node) of the words that several nodes have; ``met`` tells of company elsewhere."""
+    order = np.lexsort((~met, node, key))
+    key, node, met = key[order], node[order], met[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    key, node, met = key[new], node[new], met[new]
+    same = key[1:] == key[:-1]
+    met[1:] |= same
+    met[:-1] |= same
+    return _pairs(key[met], node[met])
+
+
+def _pairs(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key.view(np.int64), pa.int64()), pa.array(node.view(np.int64), pa.int64())], names=["key", "node"]
+    )
+
+
+@gives_back
+def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) of the words that have company, from packed words in the order of their buckets.
+
+    A bucket is looked at when the next one begins, so no more than one is held beyond ``HELD_WORDS``.
+    """
+    low = np.uint64(WORD_BITS)
+    key, node, met = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch.column(0).to_numpy().astype(np.uint64)
+        width = WORD_BITS // 8
+        for i in (1, 2):
+            data, counts = _rows_of(batch.column(i), width + 8)
+            key = np.r_[key, (np.repeat(bucket, counts) << low) | _number(data[:, :width])]
+            node = np.r_[node, _number(data[:, width:])]
+            met = np.r_[met, np.full(len(data), i == 2)]
+        data, _ = _rows_of(batch.column(3), 16)
+        if len(data):
+            yield _pairs(_number(data[:, :8]), _number(data[:, 8:]))
+        if len(key) >= HELD_WORDS:
+            over = (key >> low) < bucket[-1]
+            if over.any():
+                yield _shared(key[over], node[over], met[over])
+                key, node, met = key[~over], node[~over], met[~over]
+    yield _shared(key, node, met)
+
+
 def _sets(n: int):
     @gives_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,6 +376,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 _COMPARED = ("node", "component", "size", "bits")
 
 
+def _filter(rows: DataFrame) -> Column:
+    """Whether the column ``row`` may be one of ``rows``; it is for all that are. ``rows`` is read twice."""
+    once, _ = filters(rows.select("row"), bloom_bits(rows.count()))
+    held = rows.sparkSession.sparkContext.broadcast(once)
+
+    @F.pandas_udf("boolean")
+    def among(names: pd.Series) -> pd.Series:
+        return pd.Series(holds(held.value, hash_keys([x.encode() for x in names])))
+
+    return among("row")
+
+
 def _near(pairs: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of different components that sizes and bit sketches cannot tell apart."""
     sizes = F.col("size_u") + F.col("size_v")
@@ -293,25 +404,19 @@ def _near(pairs: DataFrame, num: int, den: int) -> DataFrame:
 def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(node, component) of the nodes that link with another one."""
     spark = docs.sparkSession
-    words = docs.select("text").mapInArrow(_keys(n, num, den), "part long, key long, node long, local boolean")
-    order = Window.partitionBy("part").orderBy("node")
-    company = (
-        F.col("local") | (F.lag("node").over(order) != F.col("node")) | (F.lead("node").over(order) != F.col("node"))
-    )
-    groups = stage(
-        words.withColumn("company", F.coalesce(company, F.lit(False))).where("company").select(
-            F.coalesce("key", "part").alias("key"), "node"
-        ).distinct(),
-        "groups",
-    )
+    words = docs.select("text").mapInArrow(_keys(n, num, den), _WORDS_SCHEMA)
+    ordered = words.repartition("bucket").sortWithinPartitions("bucket")
+    groups = stage(ordered.mapInArrow(_company, "key long, node long").distinct(), "groups")
     # One document of each node that shares a word lends its text.
     one = members.join(groups.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min("row").alias("row")
     )
-    texts = docs.select(row_key("doc_id", "text").alias("row"), "text")
+    one = stage(one, "lenders")
+    # Of equal rows one is kept in each task; texts, not their larger sets, are then shuffled once.
+    texts = docs.select(row_key("doc_id", "text").alias("row"), "text").where(_filter(one)).dropDuplicates(["row"])
     lent = texts.join(one, "row").select("node", "text")
     sets = stage(
-        lent.mapInArrow(_sets(n), "node long, grams array<long>, bits array<long>").withColumn("size", F.size("grams")).dropDuplicates(["node"]),
+        lent.mapInArrow(_sets(n), "node long, grams array<long>, bits array<long>").withColumn("size", F.size("grams")),
         "sets",
     )
     known, tables = spark.createDataFrame([], "u long, v long, linked boolean"), []
@@ -321,19 +426,23 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
         here = stage(here, "here")
         split = here.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         live = here.join(split.where("low <> high").select("key"), "key", "left_semi")
-        live = live.join(sets.select("node", "size", "bits"), "node")
-        a = live.select("key", *(F.col(c).alias(f"{c}_u") for c in _COMPARED))
+        drawn = sets.select("node", "size", "bits")
         if turn < STAR_ROUNDS:
             # One member of each group, another one in every round.
-            first = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), *_COMPARED)).alias("hub")
-            b = live.groupBy("key").agg(first).select("key", *(F.col(f"hub.{c}").alias(f"{c}_v") for c in _COMPARED))
-            near = _near(a.join(b, "key"), num, den).select(
-                "node_u", F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"), "differing"
+            first = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "component")).alias("hub")
+            hubs = live.groupBy("key").agg(first).select("key", F.col("hub.node").alias("node_v"), F.col("hub.component").alias("component_v"))
+            met = live.join(hubs, "key").where("component <> component_v").select(
+                F.col("node").alias("node_u"), "node_v", F.col("component").alias("component_u"), "component_v",
+                F.least("node", "node_v").alias("u"), F.greatest("node", "node_v").alias("v"),
             )
-            near = near.join(known, ["u", "v"], "left_anti")
-            best = near.groupBy("node_u").agg(F.min(F.struct("differing", "u", "v")).alias("best"))
+            met = met.distinct().join(known, ["u", "v"], "left_anti")
+            for side in ("v", "u"):
+                met = met.join(drawn.select(*(F.col(c).alias(f"{c}_{side}") for c in drawn.columns)), f"node_{side}")
+            best = _near(met, num, den).groupBy("node_u").agg(F.min(F.struct("differing", "u", "v")).alias("best"))
             pairs = best.select("best.u", "best.v").distinct()
         else:
+            live = live.join(drawn, "node")
+            a = live.select("key", *(F.col(c).alias(f"{c}_u") for c in _COMPARED))
             b = live.select("key", *(F.col(c).alias(f"{c}_v") for c in _COMPARED))
             both = a.join(b, "key").where(F.col("node_u") < F.col("node_v"))
             pairs = _near(both, num, den).select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
@@ -346,7 +455,7 @@ def link_nodes(docs: DataFrame, members: DataFrame, n: int, num: int, den: int)
             continue
         before, found = found, components(known.where("linked").select("u", "v"))
         discard(before)
-    discard(groups, sets, *tables)
+    discard(groups, one, sets, *tables)
     return found
 
 
@@ -386,12 +495,18 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     """
     placed = join(docs, n, num, den)
     full = placed.where("n_shingles > 0")
-    stays = full.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("s")).select("s.row")
+    best = full.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("s"), F.count("*").alias("n"))
+    best = stage(best, "best")
+    stays = best.select("s.row")
+    # Rows alone in their component stay without a shuffle.
+    several = best.where("n > 1").select(F.col("component_id").alias("of"))
+    doubtful = full.join(several, F.col("component_id").eqNullSafe(F.col("of")), "left_semi")
     rows = docs.select(
         packed(docs), row_key("doc_id", "text").alias("row"),
         (F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0).alias("wordless"),
     )
+    rows = rows.withColumn("among", ~F.col("wordless") & _filter(doubtful))
     # Of equal rows one is kept in each task before they meet.
     one = Window.partitionBy("row").orderBy("row")
-    first = rows.where("NOT wordless").withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
-    return unpacked(first.join(stays, "row", "left_semi").unionByName(rows.where("wordless")), docs)
+    first = rows.where("among").withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
+    return unpacked(first.join(stays, "row", "left_semi").unionByName(rows.where("NOT among")), docs)

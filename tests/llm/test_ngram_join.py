@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlint.llm import graph, ngram_join
@@ -86,6 +88,54 @@ def test_every_similar_pair_shares_a_key():
             assert set(keys[names == 1]) & set(keys[names == 2])
 
 
+@pytest.mark.parametrize("held", [1, 1 << 19])
+def test_words_with_company_are_found_in_any_batches(monkeypatch, held):
+    monkeypatch.setattr(ngram_join, "HELD_WORDS", held)
+    rng = np.random.default_rng(held)
+    pool = rng.integers(-(1 << 63), 1 << 63, 4000)
+    key, node = rng.choice(pool, 6000), rng.integers(-(1 << 63), 1 << 63, 300)[rng.integers(0, 300, 6000)]
+    key[:900] = pool[0]  # a common word
+    key, node = np.r_[key, key[:500]], np.r_[node, node[:500]]  # and repeated rows
+    parts = [ngram_join._packed_words(k, n) for k, n in zip(np.array_split(key, 5), np.array_split(node, 5))]
+    parts.append(ngram_join._packed_words(key[:0], node[:0]))
+    packed = pa.Table.from_batches(parts).sort_by("bucket")
+    assert packed.nbytes / len(key) < 40  # small batches; 14 bytes and the share of a bucket's row
+    found = set()
+    for batch in ngram_join._company(iter(packed.to_batches(max_chunksize=700))):
+        found |= set(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    nodes = {}
+    for k, n in zip((key.view(np.uint64) >> np.uint64(4)).tolist(), node.tolist()):
+        nodes.setdefault(k, set()).add(n)
+    assert found == {(k, n) for k, of in nodes.items() if len(of) > 1 for n in of}
+    assert list(b.num_rows for b in ngram_join._company(iter([]))) == [0]
+
+
+def test_a_word_takes_fourteen_bytes():
+    rng = np.random.default_rng(1)
+    key, node = rng.integers(-(1 << 63), 1 << 63, (2, 500_000))
+    batch = ngram_join._packed_words(key, node)
+    assert batch.nbytes < 14.5 * len(key)
+
+
+def test_no_shuffle_files_stay_of_what_is_stored(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = []
+        while found.hasNext():
+            names.append(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    docs = spark.createDataFrame(corpus(2), "doc_id long, text string").repartition(4)
+    before = files()
+    placed = ngram_join.join(docs)
+    for _ in range(50):  # removal is asynchronous
+        if len(files() - before) < 60:
+            break
+        time.sleep(0.2)
+    assert len(files() - before) < 60  # those of counts, a row each
+    assert placed.count() == len(corpus(2))
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(5, text), (3, text + " tail"), (4, "other words of a text"), (4, "other words of a text"), (7, None), (8, ""), (8, "")]
