@@ -242,7 +242,8 @@ class Vocabulary:
     """A rank file and its split pattern, shipped to the executors once."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
-        small_batches(spark)
+        # Ids and decoded text of a batch are held beside it.
+        small_batches(spark, 500)
         self.raw = spark.sparkContext.broadcast(Path(path).read_bytes())
         self.pattern = pattern
 

@@ -61,7 +61,7 @@ BITS = 1024
 BUCKET_BITS = 12
 #: Bits of a word that name it within its bucket; six bytes.
 WORD_BITS = 48
-#: Words whose company a task looks for at a time, at least.
+#: Words that a task packs, or whose company it looks for, at a time, at least.
 HELD_WORDS = 1 << 19
 
 
@@ -224,9 +224,9 @@ def _bytes(values: np.ndarray, width: int = 8) -> np.ndarray:
 
 
 def _packed_words(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-    """The sketch words (key, node) of a batch by bucket of the key.
+    """The sketch words (key, node) of some texts by bucket of the key.
 
-    Nodes that share a word within a batch are combined before the shuffle: the
+    Nodes that share a word within them are combined before the shuffle: the
     least one goes to the word's bucket, ``met`` if it has company and ``alone`` if not;
     the others are ``passed`` on as they are, to any bucket. Words keep the high bits of their key.
     """
@@ -253,16 +253,16 @@ def _packed_words(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
 
 
 def _keys(n: int, num: int, den: int):
-    """The packed sketch words of each batch of texts."""
+    """The packed sketch words of texts, ``HELD_WORDS`` or somewhat more at a time."""
 
     @gives_back
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         bands = Bands(num, den)
         plan = bands.of(1)
+        found_keys, found_nodes, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            found_keys, found_nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for at in range(0, len(texts), BLOCK):
                 value, sizes = ngram_sets(texts[at : at + BLOCK], n, words)
                 largest = int(sizes.max(initial=1))
@@ -271,9 +271,13 @@ def _keys(n: int, num: int, den: int):
                 k, m = sketch_keys(value, sizes, _nodes(value, sizes), plan)
                 found_keys.append(k)
                 found_nodes.append(m)
+                held += len(k)
                 if len(words) > REMEMBERED:
                     words.clear()
-            yield _packed_words(np.concatenate(found_keys), np.concatenate(found_nodes))
+                if held >= HELD_WORDS:
+                    yield _packed_words(np.concatenate(found_keys), np.concatenate(found_nodes))
+                    found_keys, found_nodes, held = found_keys[:1], found_nodes[:1], 0
+        yield _packed_words(np.concatenate(found_keys), np.concatenate(found_nodes))
 
     return keys
 
@@ -466,7 +470,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     smallest doc_id that can be reached by links. ``docs`` is read several times; the
     result is stored.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 500)
     slim = docs.select(row_key("doc_id", "text").alias("row"), "doc_id", "text")
     schema = slim.select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("node")).schema
     members = stage(slim.mapInArrow(_members(n), schema), "members")
